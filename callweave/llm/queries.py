@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import digests
+from .repair import token_index, write_shards
 from .sharding import shard
 from .simhash import near_duplicates
 
@@ -22,8 +24,16 @@ def op3_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op4_repair_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index(write_shards(_table(spark, sf_dir, "documents"), end_id=0))
+
+
+def op8_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash_near_dedup, op3_minimax_sharding)
+    f.__name__: f for f in (op2_simhash_near_dedup, op3_minimax_sharding, op4_repair_token_shards, op8_speculative_bpe)
 }
 
 #: None of these can be said in SQL; tests/llm holds them against brute force.
