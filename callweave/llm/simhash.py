@@ -1,16 +1,17 @@
 """SimHash near-duplicates by meet-in-the-middle ball hashing.
 
 Two fingerprints that differ in at most ``radius`` bits have a common variant
-within ``radius / 2`` flips of both.  So every fingerprint emits all variants in
-that ball, variants meet in a shuffle, and all members of a variant are linked
-to its smallest one.  Members of one variant are within ``radius`` of each other,
-hence a star is as good as all pairs, and a hot group costs rows in proportion
-to its members.
-
-A ball of radius 2 has 2,081 variants, nearly all of which meet nothing.  A
-lossless filter comes first: of two fingerprints within 4 bits, one 32-bit half
-differs in at most 2 bits, so the half-balls of radius 1 (66 keys) meet.  Only
-fingerprints that meet another one there emit their full ball.
+within half the radius of both.  Fingerprints emit all variants of that ball,
+variants meet in a shuffle, and colliding pairs are verified.
+
+The ball of a 64-bit fingerprint for radius 4 has 2,081 variants, nearly all of
+which meet nothing.  So balls are first laid around halves: of two fingerprints
+within 4 bits, one 32-bit half differs in at most 2 bits, and the balls of
+radius 1 around these halves (33 variants each) meet.  Keys that few
+fingerprints share have their pairs verified.  Where many share a key, as in a
+large group of near copies, its members emit their full balls: all members of a
+full variant are within ``radius`` of each other, so each is linked to the
+smallest alone, and rows grow with the members and not with their pairs.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .components import connected_components
 from .storage import written
 
+FEW = 16  # members of a key whose pairs are verified; fuller keys go on to full balls
 BLOCK = 1 << 16  # shingles hashed at a time, so that one huge text needs no huge list
 
 
@@ -71,32 +73,45 @@ def ball_masks(radius: int, bits: int = 64) -> list[int]:
     return [_signed(sum(1 << i for i in c)) for r in range(radius + 1) for c in combinations(range(bits), r)]
 
 
-def _may_link(fps: DataFrame) -> DataFrame:
-    """Fingerprints that share a half-ball key with another one (for radius 4 or less)."""
+def _half_keys(fps: DataFrame) -> DataFrame:
+    """(k, fp): each half of each fingerprint with at most one bit flipped."""
     i = F.col("i")
     half = F.when(i < 33, F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(F.shiftrightunsigned("fp", 32))
     flip = F.expr("case when i % 33 = 0 then 0L else shiftleft(1L, cast(i % 33 as int) - 1) end")
-    keys = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(65))).alias("i")).select(
-        "fp", (half.bitwiseXOR(flip) + F.when(i < 33, F.lit(0)).otherwise(F.lit(1 << 32))).alias("k")
+    return fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(65))).alias("i")).select(
+        (half.bitwiseXOR(flip) + F.when(i < 33, F.lit(0)).otherwise(F.lit(1 << 32))).alias("k"), "fp"
     )
-    met = keys.groupBy("k").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("k")
-    return keys.join(met, "k", "left_semi").select("fp").distinct()
+
+
+def ball_links(fps: DataFrame, radius: int = 4) -> DataFrame:
+    """Edges (a, b) by full balls: every fingerprint emits all its variants."""
+    masks = ", ".join(f"{m}L" if m != -(1 << 63) else "shiftleft(1L, 63)" for m in ball_masks(radius // 2))
+    balls = fps.select("fp", F.explode(F.expr(f"transform(array({masks}), m -> fp ^ m)")).alias("v"))
+    least = F.first("fp").over(Window.partitionBy("v").orderBy("fp").rowsBetween(Window.unboundedPreceding, 0))
+    met = balls.withColumn("least", least).where("least <> fp").select(F.col("least").alias("a"), F.col("fp").alias("b"))
+    return met.distinct()
 
 
 def links(fps: DataFrame, radius: int = 4) -> DataFrame:
-    """Edges (a, b) that connect all fingerprints within ``radius`` bits.
+    """Edges (a, b) that connect all fingerprints within ``radius`` (0, 2 or 4) bits.
 
     ``fps`` has one distinct column fp.  The edges are a spanning set, not all
-    pairs: each variant links its members to its smallest member.
+    pairs.  Half-ball keys with up to FEW members have their pairs verified;
+    members of fuller keys emit their full balls, whose stars need no pairs.
     """
-    if not 0 <= radius <= 4:
-        raise ValueError("radius must be 0 to 4")
-    near = written(_may_link(fps), "near")
-    masks = ", ".join(f"{m}L" if m != -(1 << 63) else "shiftleft(1L, 63)" for m in ball_masks((radius + 1) // 2))
-    balls = near.select("fp", F.explode(F.expr(f"transform(array({masks}), m -> fp ^ m)")).alias("v"))
-    least = F.first("fp").over(Window.partitionBy("v").orderBy("fp").rowsBetween(Window.unboundedPreceding, 0))
-    met = balls.withColumn("least", least).where("least <> fp").select(F.col("least").alias("a"), F.col("fp").alias("b"))
-    return met.distinct().where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
+    if radius not in (0, 2, 4):
+        raise ValueError("radius must be 0, 2 or 4")
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
+    keys = _half_keys(fps.repartition(parts, "fp"))
+    met = keys.groupBy("k").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
+    met = written(met.where((F.col("n") > 2) | near), "met-keys")
+    members = written(keys.join(met.where("n > 2").select("k", "n"), "k"), "met-members")
+    few = members.where(F.col("n") <= FEW)
+    pairs = few.select("k", F.col("fp").alias("a")).join(few.select("k", F.col("fp").alias("b")), "k").where("a < b")
+    many = members.where(F.col("n") > FEW).select("fp").distinct().repartition(parts, "fp")
+    edges = met.where("n = 2").select("a", "b").unionByName(pairs.where(near).select("a", "b"))
+    return edges.unionByName(ball_links(many, radius)).distinct()
 
 
 def near_duplicates(
@@ -109,12 +124,7 @@ def near_duplicates(
     and link like any other; repeated rows and equal texts share a component; a
     component whose ids are all null has a null id; an empty table gives no
     rows.  Other columns of ``docs`` are ignored.
-
-    An odd radius is widened by the ball and cut back by the check on each edge,
-    which then may miss links of a star; only even radii keep that exact.
     """
-    if radius % 2:
-        raise ValueError("radius must be even")
     rows = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
     fps = rows.groupBy("fp").agg(F.min("id").alias("first_id"))
     roots = written(connected_components(links(fps.select("fp"), radius)), "roots")
