@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import language, quality, toxicity
 from .bpe import digests
 from .repair import token_index, write_shards
 from .sharding import shard
@@ -28,12 +29,36 @@ def op4_repair_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index(write_shards(_table(spark, sf_dir, "documents"), end_id=0))
 
 
+def op5_bloom_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
+def op6_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
+
+
+def op10_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.learn(docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash_near_dedup, op3_minimax_sharding, op4_repair_token_shards, op8_speculative_bpe)
+    f.__name__: f
+    for f in (
+        op2_simhash_near_dedup,
+        op3_minimax_sharding,
+        op4_repair_token_shards,
+        op5_bloom_language_id,
+        op6_ordinal_toxicity,
+        op8_speculative_bpe,
+        op10_bradley_terry_quality,
+    )
 }
 
 #: None of these can be said in SQL; tests/llm holds them against brute force.
