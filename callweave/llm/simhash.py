@@ -1,17 +1,17 @@
 """SimHash near-duplicates by meet-in-the-middle ball hashing.
 
 Two fingerprints that differ in at most ``radius`` bits have a common variant
-within half the radius of both.  Fingerprints emit all variants of that ball,
-variants meet in a shuffle, and colliding pairs are verified.
-
-The ball of a 64-bit fingerprint for radius 4 has 2,081 variants, nearly all of
-which meet nothing.  So balls are first laid around halves: of two fingerprints
-within 4 bits, one 32-bit half differs in at most 2 bits, and the balls of
-radius 1 around these halves (33 variants each) meet.  Keys that few
-fingerprints share have their pairs verified.  Where many share a key, as in a
-large group of near copies, its members emit their full balls: all members of a
-full variant are within ``radius`` of each other, so each is linked to the
-smallest alone, and rows grow with the members and not with their pairs.
+within half the radius of both.  Fingerprints emit all variants of that ball and
+variants meet in a shuffle.  All members of a variant are within ``radius`` of
+each other, so each is linked to the smallest alone: rows grow with the members
+of a group of near copies, and not with their pairs.
+
+The ball for radius 4 has 2,081 variants, and most fingerprints have no
+neighbour at all.  A lossless filter therefore comes first, the same method on
+halves: of two fingerprints within 4 bits, one 32-bit half differs in at most 2
+bits, so the balls of radius 1 around these halves (33 variants each) meet.
+Collisions of keys that few fingerprints share are verified; fingerprints
+without a verified one, or a crowded key, emit no full ball.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .components import connected_components
 from .storage import written
 
-FEW = 16  # members of a key whose pairs are verified; fuller keys go on to full balls
+FEW = 16  # members of a key whose pairs are verified; the members of fuller keys all go on
 BLOCK = 1 << 16  # shingles hashed at a time, so that one huge text needs no huge list
 
 
@@ -92,26 +92,32 @@ def ball_links(fps: DataFrame, radius: int = 4) -> DataFrame:
     return met.distinct()
 
 
+def with_neighbours(fps: DataFrame, radius: int = 4) -> DataFrame:
+    """The fingerprints (fp) that can be within ``radius`` of another one: they share
+    a half-ball key with one that is, or share a key with more than FEW."""
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
+    keys = _half_keys(fps.repartition(parts, F.hash("fp")))
+    met = keys.groupBy("k").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
+    met = written(met.where((F.col("n") > 2) | near), "met-keys")
+    members = written(keys.join(met.where("n > 2").select("k", "n"), "k"), "met-members")
+    few = members.where(F.col("n") <= FEW)
+    pairs = few.select("k", F.col("fp").alias("a")).join(few.select("k", F.col("fp").alias("b")), "k").where("a < b").where(near)
+    ends = met.where("n = 2").select("a", "b").unionByName(pairs.select("a", "b")).select(F.explode(F.array("a", "b")).alias("fp"))
+    return ends.unionByName(members.where(F.col("n") > FEW).select("fp")).distinct()
+
+
 def links(fps: DataFrame, radius: int = 4) -> DataFrame:
     """Edges (a, b) that connect all fingerprints within ``radius`` (0, 2 or 4) bits.
 
     ``fps`` has one distinct column fp.  The edges are a spanning set, not all
-    pairs.  Half-ball keys with up to FEW members have their pairs verified;
-    members of fuller keys emit their full balls, whose stars need no pairs.
+    pairs: each variant links its members to its smallest one.
     """
     if radius not in (0, 2, 4):
         raise ValueError("radius must be 0, 2 or 4")
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    keys = _half_keys(fps.repartition(parts, "fp"))
-    met = keys.groupBy("k").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
-    met = written(met.where((F.col("n") > 2) | near), "met-keys")
-    members = written(keys.join(met.where("n > 2").select("k", "n"), "k"), "met-members")
-    few = members.where(F.col("n") <= FEW)
-    pairs = few.select("k", F.col("fp").alias("a")).join(few.select("k", F.col("fp").alias("b")), "k").where("a < b")
-    many = members.where(F.col("n") > FEW).select("fp").distinct().repartition(parts, "fp")
-    edges = met.where("n = 2").select("a", "b").unionByName(pairs.where(near).select("a", "b"))
-    return edges.unionByName(ball_links(many, radius)).distinct()
+    met = ball_links(written(with_neighbours(fps, radius), "neighbours").repartition(parts, F.hash("fp")), radius)
+    return met.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
 def near_duplicates(
