@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, quality, toxicity
+from . import language, media, quality, toxicity
 from .bpe import digests
+from .edits import redacted_counts
 from .repair import token_index, write_shards
 from .sharding import shard
 from .simhash import near_duplicates
+from .winnow import decontaminate
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_media_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_column(_table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=4, radius=4)
 
@@ -44,19 +50,30 @@ def op10_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+def op7_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(_table(spark, sf_dir, "documents"))
 
 
+def op9_edit_aware_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redacted_counts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_media_archives,
         op2_simhash_near_dedup,
         op3_minimax_sharding,
         op4_repair_token_shards,
         op5_bloom_language_id,
         op6_ordinal_toxicity,
+        op7_winnowing_decontamination,
         op8_speculative_bpe,
+        op9_edit_aware_token_counts,
         op10_bradley_terry_quality,
     )
 }
