@@ -94,24 +94,14 @@ def item_prints(items: DataFrame, short: list[int]) -> DataFrame:
     return longs
 
 
-def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated), one row per
-    row of ``docs``.
-
-    n_hit counts words inside any span of 10 consecutive words (or a whole
-    shorter item) that an item has; n_items and items_sha256 (of the sorted,
-    comma-joined ids) tell which items.  Null, empty and wordless texts have no
-    words and no hits; equal texts get equal values; benchmark rows with a null
-    id count as hits but not as items; without benchmark rows nothing hits; an
-    empty table gives no rows.  Columns other than id and text are ignored.
-    """
+def _judged(docs: DataFrame, benchmark: DataFrame, text_col: str) -> DataFrame:
+    """(row, words, hit): every row of ``docs`` as a struct, the words of its text,
+    and per hit item (ids, spans of words)."""
     items = benchmark_items(benchmark)
     sizes = items.select(F.size("item_words").alias("m")).where(F.col("m") < WINDOW).distinct()
     short = sorted(r[0] for r in sizes.collect())  # at most WINDOW - 1 lengths
     prints = written(item_prints(items, short), "item-prints")
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"))
     src = src.withColumn("key", F.xxhash64("text"))
 
     hashed = src.where(F.col("text").isNotNull()).select("key", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
@@ -121,7 +111,7 @@ def decontaminate(
     hits = written(aligned.groupBy("key").agg(F.collect_list(F.struct("ids", "item_words", "shifts")).alias("found")), "meets")
 
     # Keys are 64-bit hashes of texts: should two texts share one, each still has its own words compared.
-    rows = src.join(hits, "key", "left").select("doc_id", words(F.col("text")).alias("words"), "found")
+    rows = src.join(hits, "key", "left").select("row", words(F.col("text")).alias("words"), "found")
     n = F.size("words")
 
     def spans(x: Column) -> Column:
@@ -139,7 +129,24 @@ def decontaminate(
 
     none = F.array().cast("array<struct<ids:array<string>,spans:array<struct<from:int,to:int>>>>")
     hit = F.coalesce(F.filter(F.transform("found", spans), lambda x: F.size(x["spans"]) > 0), none)
-    judged = rows.select("doc_id", n.cast("long").alias("n_words"), hit.alias("hit"))
+    return rows.select("row", "words", hit.alias("hit"))
+
+
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated), one row per
+    row of ``docs``.
+
+    n_hit counts words inside any span of 10 consecutive words (or a whole
+    shorter item) that an item has; n_items and items_sha256 (of the sorted,
+    comma-joined ids) tell which items.  Null, empty and wordless texts have no
+    words and no hits; equal texts get equal values; benchmark rows with a null
+    id count as hits but not as items; without benchmark rows nothing hits; an
+    empty table gives no rows.  Columns other than id and text are ignored.
+    """
+    judged = _judged(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), benchmark, "text")
+    judged = judged.select("row.doc_id", F.size("words").cast("long").alias("n_words"), "hit")
     covered = F.flatten(F.transform("hit", lambda x: F.flatten(F.transform(x["spans"], lambda s: F.sequence(s["from"], s["to"])))))
     ids = F.array_sort(F.array_distinct(F.flatten(F.transform("hit", lambda x: x["ids"]))))
     n_hit = F.size(F.array_distinct(covered)).cast("long")
@@ -151,3 +158,8 @@ def decontaminate(
         F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("hit") > 0).alias("contaminated"),
     )
+
+
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which nothing hits, with all their columns."""
+    return _judged(docs, benchmark, text_col).where(F.size("hit") == 0).select("row.*")
