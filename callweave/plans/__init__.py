@@ -1,0 +1,6 @@
+"""Reports and jobs as registered queries."""
+
+from . import classification, usage_reports  # noqa: F401  (register their queries)
+from .catalogue import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
