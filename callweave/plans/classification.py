@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import classify as c
@@ -9,44 +11,44 @@ from .catalogue import on_smsc, on_usage
 
 HOME = "roaming_destination_id = 87"
 #: name: (column, SQL expression), over all usage records.
-COLUMNS: dict[str, tuple[Column, str]] = {
-    "roaming_status": (c.roaming_status(), f"CASE WHEN {HOME} THEN 'NON_ROAMING' ELSE 'ROAMING' END"),
-    "roaming_status_doc": (c.roaming_status_doc(), f"CASE WHEN roaming_destination_id IS NULL THEN NULL WHEN {HOME} THEN 'NON_ROAMING' ELSE 'ROAMING' END"),
-    "location_type": (c.location_type(), f"CASE WHEN {HOME} THEN 'DOMESTIC' ELSE 'ROAMING' END"),
-    "charging_type": (c.charging_type(), "CASE WHEN rating_group = 'ONNET' THEN 'ONNET' ELSE 'OTHER' END"),
-    "network_type": (c.network_type(), "CASE WHEN rating_group = 'ONNET' THEN 'ONNET' WHEN rating_group = 'OFFNET' THEN 'OFFNET' ELSE 'OTHER' END"),
-    "event_direction": (c.event_direction(), "CASE WHEN service_type_sub_cd = 'MO' THEN 'MO' WHEN service_type_sub_cd = 'MT' THEN 'MT' ELSE 'OTHER' END"),
-    "origin_type": (c.origin_type(), "CASE WHEN roaming_mccmnc LIKE '60%' THEN 'MY_ORIGIN' ELSE 'NON_MY_ORIGIN' END"),
-    "destination_type": (c.destination_type(), "CASE WHEN opposite_number NOT LIKE '60%' THEN 'IDD' ELSE 'LOCAL' END"),
-    "opposite_number_group": (c.opposite_number_group(), "CASE WHEN opposite_number LIKE '60%' THEN 'MY_NUMBERS' ELSE 'NON_MY_NUMBERS' END"),
-    "opposite_number_type": (c.opposite_number_type(), "CASE WHEN opposite_number IS NULL OR opposite_number = '' THEN NULL WHEN opposite_number LIKE '60%' THEN 'MY' ELSE 'NON_MY' END"),
-    "service_type": (c.service_type(), "CASE WHEN rat_type = 'VO' OR service_type_sub_cd IN ('MO','MT') THEN 'VOICE' WHEN rat_type = 'SM' OR rating_group = 'SM' THEN 'SMS' WHEN rat_type IN ('4G','5G') THEN 'DATA' ELSE 'UNKNOWN' END"),
-    "is_billable": (c.is_billable(), "COALESCE(act_usage_unit, 0) > 0"),
-    "visited_mcc": (c.visited_mcc(), "LEFT(roaming_mccmnc, 3)"),
+COLUMNS: dict[str, tuple[Callable[[], Column], str]] = {
+    "roaming_status": (c.roaming_status, f"CASE WHEN {HOME} THEN 'NON_ROAMING' ELSE 'ROAMING' END"),
+    "roaming_status_doc": (c.roaming_status_doc, f"CASE WHEN roaming_destination_id IS NULL THEN NULL WHEN {HOME} THEN 'NON_ROAMING' ELSE 'ROAMING' END"),
+    "location_type": (c.location_type, f"CASE WHEN {HOME} THEN 'DOMESTIC' ELSE 'ROAMING' END"),
+    "charging_type": (c.charging_type, "CASE WHEN rating_group = 'ONNET' THEN 'ONNET' ELSE 'OTHER' END"),
+    "network_type": (c.network_type, "CASE WHEN rating_group = 'ONNET' THEN 'ONNET' WHEN rating_group = 'OFFNET' THEN 'OFFNET' ELSE 'OTHER' END"),
+    "event_direction": (c.event_direction, "CASE WHEN service_type_sub_cd = 'MO' THEN 'MO' WHEN service_type_sub_cd = 'MT' THEN 'MT' ELSE 'OTHER' END"),
+    "origin_type": (c.origin_type, "CASE WHEN roaming_mccmnc LIKE '60%' THEN 'MY_ORIGIN' ELSE 'NON_MY_ORIGIN' END"),
+    "destination_type": (c.destination_type, "CASE WHEN opposite_number NOT LIKE '60%' THEN 'IDD' ELSE 'LOCAL' END"),
+    "opposite_number_group": (c.opposite_number_group, "CASE WHEN opposite_number LIKE '60%' THEN 'MY_NUMBERS' ELSE 'NON_MY_NUMBERS' END"),
+    "opposite_number_type": (c.opposite_number_type, "CASE WHEN opposite_number IS NULL OR opposite_number = '' THEN NULL WHEN opposite_number LIKE '60%' THEN 'MY' ELSE 'NON_MY' END"),
+    "service_type": (c.service_type, "CASE WHEN rat_type = 'VO' OR service_type_sub_cd IN ('MO','MT') THEN 'VOICE' WHEN rat_type = 'SM' OR rating_group = 'SM' THEN 'SMS' WHEN rat_type IN ('4G','5G') THEN 'DATA' ELSE 'UNKNOWN' END"),
+    "is_billable": (c.is_billable, "COALESCE(act_usage_unit, 0) > 0"),
+    "visited_mcc": (c.visited_mcc, "LEFT(roaming_mccmnc, 3)"),
 }
 #: name: (condition, SQL condition); the query returns the ids that hold.
-PREDICATES: dict[str, tuple[Column, str]] = {
-    "report_window": (c.report_window("usage_start_time", "2024-01-05", "2024-01-18"), "usage_start_time >= TIMESTAMP '2024-01-05 00:00:00' AND usage_start_time < TIMESTAMP '2024-01-19 00:00:00'"),
-    "billable_only": (F.col("act_usage_unit") > 0, "act_usage_unit > 0"),
-    "number_not_local": (c.number_not_local(), "opposite_number NOT LIKE '60%'"),
-    "number_not_local_doc": (c.number_not_local(keep_unknown=True), "COALESCE(opposite_number NOT LIKE '60%', TRUE)"),
-    "not_home": (c.not_home(), "roaming_destination_id <> 87"),
-    "not_home_doc": (c.not_home(keep_unknown=True), "roaming_destination_id IS DISTINCT FROM 87"),
-    "premium_numbers": (c.premium_number(), "opposite_number IN ('600380008000','60103','60100','6015454','6015300','6015353','6015404','6015444','6015777') OR ((opposite_number LIKE '601300%' OR opposite_number LIKE '601700%' OR opposite_number LIKE '601800%') AND LENGTH(opposite_number) < 12)"),
-    "number_length": (F.length("opposite_number") > 10, "LENGTH(opposite_number) > 10"),
+PREDICATES: dict[str, tuple[Callable[[], Column], str]] = {
+    "report_window": (lambda: c.report_window("usage_start_time", "2024-01-05", "2024-01-18"), "usage_start_time >= TIMESTAMP '2024-01-05 00:00:00' AND usage_start_time < TIMESTAMP '2024-01-19 00:00:00'"),
+    "billable_only": (lambda: F.col("act_usage_unit") > 0, "act_usage_unit > 0"),
+    "number_not_local": (c.number_not_local, "opposite_number NOT LIKE '60%'"),
+    "number_not_local_doc": (lambda: c.number_not_local(keep_unknown=True), "COALESCE(opposite_number NOT LIKE '60%', TRUE)"),
+    "not_home": (c.not_home, "roaming_destination_id <> 87"),
+    "not_home_doc": (lambda: c.not_home(keep_unknown=True), "roaming_destination_id IS DISTINCT FROM 87"),
+    "premium_numbers": (c.premium_number, "opposite_number IN ('600380008000','60103','60100','6015454','6015300','6015353','6015404','6015444','6015777') OR ((opposite_number LIKE '601300%' OR opposite_number LIKE '601700%' OR opposite_number LIKE '601800%') AND LENGTH(opposite_number) < 12)"),
+    "number_length": (lambda: F.length("opposite_number") > 10, "LENGTH(opposite_number) > 10"),
 }
 
 
-def _column_query(name: str, column: Column) -> None:
+def _column_query(name: str, column: Callable[[], Column]) -> None:
     @on_usage(name, f"SELECT usage_log_id, {COLUMNS[name][1]} AS {name} FROM usage_log")
     def run(u: DataFrame) -> DataFrame:
-        return u.select("usage_log_id", column.alias(name))
+        return u.select("usage_log_id", column().alias(name))
 
 
-def _predicate_query(name: str, condition: Column) -> None:
+def _predicate_query(name: str, condition: Callable[[], Column]) -> None:
     @on_usage(name, f"SELECT usage_log_id FROM usage_log WHERE {PREDICATES[name][1]}")
     def run(u: DataFrame) -> DataFrame:
-        return u.where(condition).select("usage_log_id")
+        return u.where(condition()).select("usage_log_id")
 
 
 for _name, (_column, _) in COLUMNS.items():
