@@ -139,7 +139,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     import numpy as np
 
     rows = labelled_texts(docs, labels, "quality", most, id_col, text_col).mapInArrow(run, "x binary, y int").collect()
-    x = np.array([np.frombuffer(r[0], "<f4") for r in rows], np.float64).reshape(len(rows), -1)
+    x = np.array([np.frombuffer(r[0], "<f4") for r in rows], np.float64).reshape(len(rows), len(features("")))
     y = np.array([r[1] for r in rows])
     order = np.lexsort((y, *x.T[:3])) if len(rows) else []  # the same order whatever task ended first
     return fit(x[order], y[order])
