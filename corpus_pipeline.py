@@ -31,7 +31,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     named = simhash.near_duplicates(docs)
     kept = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    out = docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
     if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
         return out
     return out.dropDuplicates(["doc_id"])
