@@ -47,15 +47,16 @@ class Severity:
     vocabulary: dict[str, int]
     weights: np.ndarray
     thresholds: np.ndarray
+    bar: float = 0.5  # chance of grade 1 or more from which a text counts as toxic
 
     def __post_init__(self) -> None:
         self._seen: dict[str, tuple[int, ...]] = {}
 
     def __getstate__(self) -> tuple:
-        return self.vocabulary, self.weights, self.thresholds
+        return self.vocabulary, self.weights, self.thresholds, self.bar
 
     def __setstate__(self, state: tuple) -> None:
-        self.vocabulary, self.weights, self.thresholds = state
+        self.vocabulary, self.weights, self.thresholds, self.bar = state
         self._seen = {}
 
     def vector(self, text: str | None) -> dict[int, float]:
@@ -75,13 +76,16 @@ class Severity:
 
     def chances(self, text: str | None) -> np.ndarray:
         """P(grade > 0), P(grade > 1), P(grade > 2)."""
+        return self.chance_of(self.vector(text))
+
+    def chance_of(self, vector: dict[int, float]) -> np.ndarray:
         import numpy as np
 
-        z = sum(self.weights[i] * v for i, v in self.vector(text).items())
+        z = sum(self.weights[i] * v for i, v in vector.items())
         return 1 / (1 + np.exp(-np.clip(z - self.thresholds, -30, 30)))
 
 
-def fit(vectors: list[dict[int, float]], grades: np.ndarray, width: int, seed: int = 7, steps: int = 300) -> tuple[np.ndarray, np.ndarray]:
+def fit(vectors: list[dict[int, float]], grades: np.ndarray, width: int, seed: int = 7, steps: int = 800) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by gradient steps on the cumulative-link likelihood."""
     import numpy as np
 
@@ -117,6 +121,22 @@ def fit(vectors: list[dict[int, float]], grades: np.ndarray, width: int, seed: i
     return p[:width], p[width] + np.r_[0, np.cumsum(np.exp(p[width + 1 :]))]
 
 
+def best_bar(chances: np.ndarray, toxic: np.ndarray) -> float:
+    """The chance that tells the labelled classes apart best: the most of the share
+    of toxic documents at or above it less that of clean ones.  Of a range of
+    equally good ones it is the middle on the logit scale."""
+    import numpy as np
+
+    z = np.log(chances) - np.log1p(-chances)
+    order = np.argsort(-z, kind="stable")
+    z, y = z[order], toxic[order]
+    gain = np.cumsum(np.where(y, 1 / max(1, y.sum()), -1 / max(1, (~y).sum())))
+    last = np.r_[z[:-1] > z[1:], True]  # a bar falls between different chances only
+    i = int(np.flatnonzero(last)[np.argmax(gain[last])])
+    below = z[i + 1] if i + 1 < len(z) else z[i] - 1
+    return float(1 / (1 + np.exp(-(z[i] + below) / 2)))
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MOST_LABELLED) -> Severity:
     """Severity model from the labelled documents outside fold 0.
 
@@ -183,6 +203,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     cuts = np.quantile(hits[toxic], [1 / 3, 2 / 3])
     grades = np.where(toxic, 1 + np.searchsorted(cuts, hits), 0)
     model.weights, model.thresholds = fit(vectors, grades, len(ranked))
+    model.bar = best_bar(np.array([model.chance_of(v)[0] for v in vectors]), toxic)
     return model
 
 
@@ -190,7 +211,7 @@ def score(docs: DataFrame, model: Severity, id_col: str = "doc_id", text_col: st
     """(doc_id, severity, p_toxic, grade, toxic), one row per row of ``docs``.
 
     severity is the expected grade (0 to 3), p_toxic the chance of grade 1 or
-    more, grade the most likely one, toxic whether p_toxic is at least a half.
+    more, grade the most likely one, toxic whether p_toxic reaches the learned bar.
     Null, empty and blank texts are scored as texts without words.  Rows may
     repeat, ids may be null, other columns are ignored, an empty table gives no rows.
     """
@@ -204,7 +225,7 @@ def score(docs: DataFrame, model: Severity, id_col: str = "doc_id", text_col: st
                 p = np.array([model.chances(t) for t in b.column(1).to_pylist()])
                 each = -np.diff(np.c_[np.ones(len(p)), p, np.zeros(len(p))], axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(p.sum(1)), pa.array(p[:, 0]), pa.array(each.argmax(1).astype(np.int32)), pa.array(p[:, 0] >= 0.5)],
+                    [b.column(0), pa.array(p.sum(1)), pa.array(p[:, 0]), pa.array(each.argmax(1).astype(np.int32)), pa.array(p[:, 0] >= model.bar)],
                     ["doc_id", "severity", "p_toxic", "grade", "toxic"],
                 )
 
@@ -222,4 +243,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
         return pd.Series([float(model.chances(t)[0]) for t in texts], dtype=float)
 
-    return docs.where(chance(F.col("text").cast("string")) < 0.5)
+    return docs.where(chance(F.col("text").cast("string")) < model.bar)
