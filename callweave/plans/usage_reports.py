@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import classify as c
+from ..functions.dates import report_bounds
 from ..operators.lookup import country_by_prefix, country_by_row_number, roaming_network
 from ..operators.report import count, grouped, minutes_of_sum, sum_of_rounded, sum_rounded, value_counts
 from ..sources import fixtures as fx
@@ -283,6 +284,13 @@ def date_between_inclusive(u: DataFrame) -> DataFrame:
     return u.where(WINDOW()).agg(F.count("*").alias("n"))
 
 
+@on_usage("parse_report_date", "SELECT COUNT(*) AS n FROM usage_log WHERE usage_start_time >= TIMESTAMP '2024-01-04 00:00:00' AND usage_start_time < TIMESTAMP '2024-01-19 00:00:00'")
+def parsed_report_dates(u: DataFrame) -> DataFrame:
+    """Bounds with an offset and with Z: the first day falls back to the UTC date."""
+    start, stop = report_bounds("2024-01-05T02:00:00+08:00", "2024-01-18T23:00:00Z")
+    return u.where((col("usage_start_time") >= F.lit(start).cast("timestamp_ntz")) & (col("usage_start_time") < F.lit(stop).cast("timestamp_ntz"))).agg(F.count("*").alias("n"))
+
+
 # Data quality
 @on_usage("direction_distribution", "SELECT service_type_sub_cd, COUNT(*) AS n FROM usage_log WHERE rat_type = 'VO' GROUP BY 1")
 def direction_distribution(u: DataFrame) -> DataFrame:

@@ -156,6 +156,17 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     assert {tuple(r) for r in spark.table("live").collect()} == want
 
 
+def test_report_dates():
+    from callweave.functions.dates import parse_report_date, report_bounds
+
+    assert parse_report_date("2024-01-05") == parse_report_date("2024-01-05T00:00:00Z") == dt.datetime(2024, 1, 5)
+    assert parse_report_date("2024-01-05T02:00:00+08:00") == dt.datetime(2024, 1, 4, 18)
+    assert report_bounds("2024-01-05", "2024-01-18") == (dt.date(2024, 1, 5), dt.date(2024, 1, 19))
+    assert report_bounds("2024-01-05", "2024-01-18", "2024-01-18") == (dt.date(2024, 1, 5), dt.date(2024, 1, 18))
+    with pytest.raises(ValueError):
+        parse_report_date("5 May")
+
+
 @pytest.mark.parametrize("bad", [[("", "1")], [("x", "")]])
 def test_half_empty_country_rows(spark, tmp_path, bad):
     from callweave.sources import delimited
