@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-MOST_CODES = 100_000  # rows of a code table that is broadcast; there are some hundred codes in the world
+MOST_CODES = 20_000  # rows of a code table that is broadcast; there are some hundred codes in the world
 
 
 def one_country_per_code(codes: DataFrame) -> DataFrame:
@@ -14,33 +14,52 @@ def one_country_per_code(codes: DataFrame) -> DataFrame:
     return codes.groupBy("country_code").agg(F.min("country").alias("country"))
 
 
+def by_length(codes: DataFrame) -> dict[int, DataFrame] | None:
+    """(code, country) tables for each length of code, as local relations; None if
+    there are more than MOST_CODES rows."""
+    import pyarrow as pa
+
+    rows = codes.select("country_code", "country").limit(MOST_CODES + 1).collect()
+    if len(rows) > MOST_CODES:
+        return None
+    first: dict[str, str] = {}
+    for code, country in rows:
+        if code:
+            first[code] = min(first.get(code, country), country)
+    tables = {}
+    for n in sorted({len(c) for c in first}, reverse=True):
+        part = sorted((c, x) for c, x in first.items() if len(c) == n)
+        tables[n] = codes.sparkSession.createDataFrame(pa.table({f"__code{n}": [c for c, _ in part], f"__country{n}": [x for _, x in part]}))
+    return tables
+
+
 def country_by_prefix(calls: DataFrame, codes: DataFrame, number: str = "opposite_number") -> DataFrame:
     """``calls`` with destination_country, matched_country_code (both UNMAPPED where
     no code fits) and unmatched_number_prefix.
 
-    One equi-join for each length of code, longest first in the coalesce, instead
-    of a LIKE join and a ROW_NUMBER: no shuffle and no sort of the calls.  The
-    code table's size is checked; beyond MOST_CODES Spark picks the join.
+    One broadcast equi-join for each length of code, longest first in the
+    coalesce, instead of a LIKE join and a ROW_NUMBER: no shuffle and no sort of
+    the calls.  A code table of more than MOST_CODES rows is joined without a
+    broadcast hint.
     """
-    codes = one_country_per_code(codes)
-    lengths = {r[0]: r[1] for r in codes.groupBy(F.length("country_code")).count().collect()}
-    small = sum(lengths.values()) <= MOST_CODES
-    out, hits = calls, []
-    for n in sorted(lengths, reverse=True):
-        part = codes.where(F.length("country_code") == n).select(
-            F.col("country_code").alias(f"__code{n}"), F.col("country").alias(f"__country{n}")
-        )
-        out = out.join(F.broadcast(part) if small else part, F.substring(number, 1, n) == F.col(f"__code{n}"), "left")
-        hits.append(n)
+    tables = by_length(codes)
+    if tables is None:
+        large = one_country_per_code(codes)
+        lengths = sorted((r[0] for r in large.select(F.length("country_code")).distinct().collect()), reverse=True)
+        tables = {n: large.where(F.length("country_code") == n).select(F.col("country_code").alias(f"__code{n}"), F.col("country").alias(f"__country{n}")) for n in lengths}
+    else:
+        tables = {n: F.broadcast(part) for n, part in tables.items()}
+    out = calls
+    for n, part in tables.items():
+        out = out.join(part, F.substring(number, 1, n) == F.col(f"__code{n}"), "left")
     none = F.lit(None).cast("string")
-    country = F.coalesce(*[F.col(f"__country{n}") for n in hits], none)
-    code = F.coalesce(*[F.col(f"__code{n}") for n in hits], none)
-    longest = max(lengths, default=0)
+    country = F.coalesce(*[F.col(f"__country{n}") for n in tables], none)
+    code = F.coalesce(*[F.col(f"__code{n}") for n in tables], none)
     return out.select(
         *calls.columns,
         F.coalesce(country, F.lit("UNMAPPED")).alias("destination_country"),
         F.coalesce(code, F.lit("UNMAPPED")).alias("matched_country_code"),
-        F.when(country.isNull(), F.substring(number, 1, longest)).alias("unmatched_number_prefix"),
+        F.when(country.isNull(), F.substring(number, 1, max(tables, default=0))).alias("unmatched_number_prefix"),
     )
 
 

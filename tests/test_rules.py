@@ -122,11 +122,14 @@ def test_template_with_two_placeholders_and_a_missing_column(spark):
     assert [tuple(r) for r in got] == [("3/2.5", "", "")]
 
 
-def test_prefix_lookup_forms_agree(spark):
+def test_prefix_lookup_forms_agree(spark, monkeypatch):
     codes = spark.createDataFrame([("Canada", "1"), ("America", "1"), ("Barbados", "1246"), ("Home", "60")], "country string, country_code string")
     calls = spark.createDataFrame([(1, "12465"), (2, "1999"), (3, "60"), (4, None), (5, "99999"), (6, "")], "k int, opposite_number string")
     a = lookup.country_by_prefix(calls, codes).select("k", "destination_country", "matched_country_code", "unmatched_number_prefix").orderBy("k").collect()
     assert [tuple(r) for r in a] == [(1, "Barbados", "1246", None), (2, "America", "1", None), (3, "Home", "60", None), (4, "UNMAPPED", "UNMAPPED", None), (5, "UNMAPPED", "UNMAPPED", "9999"), (6, "UNMAPPED", "UNMAPPED", "")]
+    monkeypatch.setattr(lookup, "MOST_CODES", 2)
+    c2 = lookup.country_by_prefix(calls, codes).select("k", "destination_country", "matched_country_code", "unmatched_number_prefix").orderBy("k").collect()
+    assert c2 == a
     b = lookup.country_by_row_number(calls, codes, "k").select("k", "destination_country").orderBy("k").collect()
     assert [tuple(r) for r in b] == [(r[0], r[1]) for r in a]
 
