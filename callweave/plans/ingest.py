@@ -263,9 +263,9 @@ def stream_usage_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("usage_log_id", "rat_type", "derived.service_type")
 
 
-@query("stream_request_sync", f"WITH {REQUEST_CTE} SELECT request_log_id, rat_type FROM request_log")
+@query("stream_request_sync", f"WITH {REQUEST_CTE} SELECT DISTINCT request_log_id, rat_type FROM request_log")
 def stream_request_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _synced(spark, sf_dir, "lineitem", fx.REQUEST_LOG, lambda q: request_document(q, "request_log"), ["request_log_id", "session_id", "session_req_num"]).select("request_log_id", "rat_type")
+    return _synced(spark, sf_dir, "lineitem", fx.REQUEST_LOG, lambda q: request_document(q, "request_log"), ["request_log_id"]).select("request_log_id", "rat_type")
 
 
 @query("stream_smsc_ingest", f"WITH {SMSC_CTE} SELECT line_number, addr_src_digits, sms_text FROM smsc WHERE NOT bad_prefix")
