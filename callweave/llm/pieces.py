@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 #: Fixed value: the pre-tokenizer's pattern of the public byte-level vocabularies.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -18,6 +19,7 @@ CUT = re.compile(r" (?=\S)")
 SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 WIDE_GAPS = tuple(f" {c}" for c in SPACES)
 NARROW_GAPS = tuple(f" {c}" for c in SPACES if c < "\x80")
+MARKS = ".,;:!?|*#$%&"  # ASCII marks that never share a pre-token with letters before them
 SECTION, BLOCK = 1 << 20, 1 << 21
 
 
@@ -49,16 +51,19 @@ def sections(text: str, size: int = SECTION) -> Iterator[str]:
     yield text[at:] if at else text
 
 
-class _Recent:
+class Recent:
     """A dictionary that keeps about the last ``limit`` to twice as many entries."""
 
     def __init__(self, limit: int) -> None:
         self.limit, self.now, self.old = limit, {}, {}
 
-    def fresh(self, keys: set) -> list:
-        """Those of ``keys`` that have no value yet; the others are in ``now`` after this."""
+    def turn(self) -> None:
+        """Ages the entries; between two turns nothing that ``fresh`` has seen is lost."""
         if len(self.now) > self.limit:
             self.now, self.old = {}, self.now
+
+    def fresh(self, keys: set) -> list:
+        """Those of ``keys`` that have no value yet; the others are in ``now`` after this."""
         absent = keys.difference(self.now)
         if self.old:
             for k in list(absent):
@@ -71,43 +76,41 @@ class _Recent:
 class PieceCoder:
     """Packs texts into ids (little-endian unsigned 32-bit).
 
-    ``encode_words`` gives the packed ids of pre-tokens; ``encode_whole`` those of
+    ``encode_pieces`` gives the packed ids of each piece; ``encode_whole`` those of
     a text that holds one of ``specials``, the added tokens, which cut texts
     before pieces do.
     """
 
     def __init__(
         self,
-        encode_words: Callable[[list[str]], list[bytes]],
+        encode_pieces: Callable[[list[str]], list[bytes]],
         encode_whole: Callable[[str], bytes],
         specials: list[str],
-        limit: int = 250_000,
+        limit: int = 120_000,
     ) -> None:
-        import regex
-
-        self.encode_words, self.encode_whole, self.specials = encode_words, encode_whole, specials
-        self.find = regex.compile(WORDS).findall
-        self.pieces, self.words = _Recent(limit), _Recent(limit)
+        self.encode_pieces, self.encode_whole, self.specials = encode_pieces, encode_whole, specials
+        self.after_blank, self.heads = Recent(limit), Recent(limit // 8)
 
     def _block(self, texts: list[str]) -> list[bytes]:
-        cut, need = [], set()
-        for t in texts:
-            first, *rest = split_pieces(t)
-            cut.append((first, rest))
-            need.update(rest)
-        heads = {f for f, _ in cut}
-        # Pieces are kept without their leading blank; heads, which have none, with a mark.
-        if fresh := self.pieces.fresh(need | {("head", f) for f in heads}):
-            self._learn(fresh, [f" {k}" if isinstance(k, str) else k[1] for k in fresh])
-        get = self.pieces.now.__getitem__
-        return [get(("head", f)) + b"".join(map(get, rest)) for f, rest in cut]
-
-    def _learn(self, keys: list, pieces: list[str]) -> None:
-        split = [self.find(p) for p in pieces]
-        new = self.words.fresh({w for ws in split for w in ws})
-        words = self.words.now
-        words.update(zip(new, self.encode_words(new)))
-        self.pieces.now.update((k, b"".join(map(words.__getitem__, ws))) for k, ws in zip(keys, split))
+        cut = [split_pieces(t) for t in texts]
+        self.after_blank.turn()
+        self.heads.turn()
+        need: set[str] = set()
+        for pieces in cut:
+            need.update(pieces)
+        fresh = self.after_blank.fresh(need)
+        # A word with marks after it is the word's ids and the marks' ids.
+        stems = {p: q for p in fresh if (q := p.rstrip(MARKS)) and q is not p and q[-1].isalpha()}
+        fresh = [p for p in fresh if p not in stems]
+        fresh += self.after_blank.fresh(set(stems.values()).difference(fresh))
+        known = self.after_blank.now
+        known.update(zip(fresh, self.encode_pieces([f" {p}" for p in fresh])))
+        fresh = self.heads.fresh({pieces[0] for pieces in cut} | {p[len(q) :] for p, q in stems.items()})
+        heads = self.heads.now
+        heads.update(zip(fresh, self.encode_pieces(fresh)))
+        known.update([(p, known[q] + heads[p[len(q) :]]) for p, q in stems.items()])
+        get = known.__getitem__
+        return [heads[pieces[0]] + b"".join(map(get, islice(pieces, 1, None))) for pieces in cut]
 
     def pack(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text; null is taken as empty."""
@@ -137,24 +140,44 @@ class PieceCoder:
         return out
 
 
-def library_coder(path: str) -> PieceCoder:
-    """A coder whose pre-tokens are encoded by the tokenizers library."""
+def library_coder(path: str, limit: int = 600_000) -> PieceCoder:
+    """A coder whose pieces are encoded by the tokenizers library."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     import numpy as np
     from tokenizers import Tokenizer
 
+    from .bpe import Vocabulary, opened
+
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
     tok.no_padding()
 
-    def encode_words(words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(words, add_special_tokens=False)]
+    v = opened(Vocabulary, path)
+    widths = np.array([len(v.bytes.get(i, b"")) for i in range(v.size)])
+
+    def encode_pieces(pieces: list[str]) -> list[bytes]:
+        # Pieces that start with a blank and a non-space may be joined to one text, as new
+        # pre-tokens start there; the bytes that tokens cover tell where each piece ends.
+        out: dict[int, bytes] = {}
+        joined = [i for i, p in enumerate(pieces) if len(p) > 1 and p[0] == " " and not p[1].isspace()]
+        if joined:
+            (said,) = tok.encode_batch_fast(["".join([pieces[i] for i in joined])], add_special_tokens=False)
+            ids = np.array(said.ids, dtype="<u4")
+            ends = np.cumsum([len(pieces[i].encode()) for i in joined])
+            cuts = (np.searchsorted(np.cumsum(widths[ids]), ends, "left") + 1).tolist()
+            packed = ids.tobytes()
+            out.update((i, packed[4 * a : 4 * b]) for i, a, b in zip(joined, [0, *cuts], cuts))
+        if len(joined) < len(pieces):
+            alone = [i for i in range(len(pieces)) if i not in out]
+            said = tok.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False)
+            out.update((i, np.array(e.ids, dtype="<u4").tobytes()) for i, e in zip(alone, said))
+        return [out[i] for i in range(len(pieces))]
 
     def encode_whole(text: str) -> bytes:
         return np.array(tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     with open(path, encoding="utf-8") as f:
         added = [t["content"] for t in json.load(f)["added_tokens"]]
-    return PieceCoder(encode_words, encode_whole, added)
+    return PieceCoder(encode_pieces, encode_whole, added, limit)
