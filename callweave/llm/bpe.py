@@ -15,10 +15,10 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
-from .pieces import PieceCoder, vocabulary_path
+from .pieces import WORDS, PieceCoder, Recent, vocabulary_path
 
 SCAN_LIMIT = 48  # longer words are merged with a heap
-PAIR_MEMORY = 2_000_000
+PAIR_MEMORY = 400_000
 
 
 def byte_symbols() -> dict[int, str]:
@@ -160,15 +160,23 @@ class Speculator:
         return out
 
 
-def speculative_coder(path: str) -> PieceCoder:
+def speculative_coder(path: str, word_limit: int = 120_000) -> PieceCoder:
+    """A coder that cuts pieces into pre-tokens and speculates on the words it has not met."""
     import numpy as np
-
-    v = Vocabulary(path)
-    speculator = Speculator(v)
     import regex
 
+    v = opened(Vocabulary, path)
+    speculator, words, find = Speculator(v), Recent(word_limit), regex.compile(WORDS).findall
     cut = regex.compile("|".join(regex.escape(s) for s in sorted(v.added, key=len, reverse=True)) or r"(?!)")
 
+    def encode_pieces(pieces: list[str]) -> list[bytes]:
+        words.turn()
+        split = [find(p) for p in pieces]
+        fresh = words.fresh({w for ws in split for w in ws})
+        known = words.now
+        known.update(zip(fresh, speculator.encode(fresh)))
+        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+
     def encode_whole(text: str) -> bytes:
         out, at = [], 0
         for m in cut.finditer(text):
@@ -176,7 +184,7 @@ def speculative_coder(path: str) -> PieceCoder:
             at = m.end()
         return b"".join([*out, coder.pack([text[at:]])[0]])
 
-    coder = PieceCoder(speculator.encode, encode_whole, list(v.added))
+    coder = PieceCoder(encode_pieces, encode_whole, list(v.added))
     return coder
 
 
@@ -187,7 +195,7 @@ class Decoder:
     def __init__(self, path: str) -> None:
         import numpy as np
 
-        v = Vocabulary(path)
+        v = opened(Vocabulary, path)
         parts = [v.bytes.get(i, b"") for i in range(v.size)] + [b""]
         self.lengths = np.fromiter(map(len, parts), np.int64, len(parts))
         self.starts = np.cumsum(self.lengths) - self.lengths
@@ -273,9 +281,28 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
 
 
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """(doc_id, ids, text): ``encode`` and ``decode`` of its ids in one pass, so that a
+    task needs one Python worker and not two."""
+    path = vocabulary or vocabulary_path()
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        coder, decoder = opened(speculative_coder, path), opened(Decoder, path)
+        for whole in batches:
+            for b in small_batches(whole):
+                ids = coder.pack(b.column(1).to_pylist())
+                texts = pa.array([decoder.text(x) for x in ids], pa.string())
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), texts], ["doc_id", "ids", "text"])
+
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return src.mapInArrow(run, "doc_id long, ids binary, text string")
+
+
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of texts encoded and decoded again."""
-    return decode(encode(docs, id_col, text_col, vocabulary), vocabulary).select(
+    return round_trip(docs, id_col, text_col, vocabulary).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

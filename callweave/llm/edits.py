@@ -193,8 +193,35 @@ def recount(states: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return src.mapInArrow(run, "doc_id long, n_tokens long, n_edits long, n_tokens_after long, chars_encoded long")
 
 
-def redacted_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def redacted_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pattern: str = REDACTED, replacement: str = "0", vocabulary: str | None = None) -> DataFrame:
     """Token counts of each whole text before and after redaction, with only the
-    touched regions encoded again; columns as in ``recount``."""
-    states = token_states(docs, id_col, text_col)
-    return recount(states.withColumn("edits", redactions(F.col("text"))))
+    touched regions encoded again; columns and cases as in ``recount``.  States,
+    edits and counts are made in one pass, so a task needs one Python worker."""
+    path = vocabulary or vocabulary_path()
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        coder, rule = opened(library_coder, path), re.compile(pattern)
+        schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "n_tokens", "n_edits", "n_tokens_after", "chars_encoded")])
+        for whole in batches:
+            for b in small_batches(whole):
+                texts = [t or "" for t in b.column(1).to_pylist()]
+                leaves = [leaf_texts(t) for t in texts]
+                packed = iter(coder.pack([x for ls in leaves for x in ls]))
+                rows = []
+                for doc, text, ls in zip(b.column(0).to_pylist(), texts, leaves):
+                    tokens = [len(next(packed)) // 4 for _ in ls]
+                    found = [(m.start(), m.end() - m.start(), replacement) for m in rule.finditer(text)]
+                    before = after = sum(tokens)
+                    again = 0
+                    if found:
+                        tree = SegmentTree([len(x) for x in ls], tokens)
+                        _, again = apply_edits(text, tree, found, coder)
+                        after = tree.tokens[1]
+                    rows.append((doc, before, len(found), after, again))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return src.mapInArrow(run, "doc_id long, n_tokens long, n_edits long, n_tokens_after long, chars_encoded long")

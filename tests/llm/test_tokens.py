@@ -69,6 +69,8 @@ def test_digests(spark, library):
     want = [(i, len(p) // 4, hashlib.sha256(p).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in zip(IDS, TEXTS) for p in [packed(library, t)]]
     assert got == sorted(want, key=lambda t: [(x is not None, x) for x in t])
     assert bpe.digests(documents(spark, [])).collect() == []
+    apart = bpe.decode(bpe.encode(documents(spark)))
+    assert pairs(apart, "doc_id", "text") == sorted([(i, t or "") for i, t in zip(IDS, TEXTS)], key=lambda t: [(x is not None, x) for x in t])
 
 
 def test_grammar_round_trip_and_random_access():
@@ -129,6 +131,9 @@ def test_recounts(spark, library):
     want = [(i, len(packed(library, t)) // 4, len(packed(library, re.sub(edits.REDACTED, "0", t or ""))) // 4) for i, t in zip(IDS, TEXTS)]
     assert got == sorted(want, key=lambda t: [(x is not None, x) for x in t])
     assert edits.redacted_counts(documents(spark, [])).collect() == []
+    states = edits.token_states(documents(spark))
+    apart = edits.recount(states.withColumn("edits", edits.redactions(states["text"])))
+    assert pairs(apart, "doc_id", "n_tokens", "n_tokens_after") == got
 
 
 def test_media_column(spark):
