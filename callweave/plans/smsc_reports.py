@@ -8,7 +8,7 @@ from ..functions import classify as c
 from ..operators.report import count, grouped, value_counts
 from .catalogue import on_smsc
 
-A2P = "message_type = 'message' AND addr_src_digits IN ('22200','22200Eastel','601170337777') AND message_delivery_status IN ('success','success_esme') AND day >= '1996-01-01' AND day < '1997-01-01'"
+A2P = "message_type = 'message' AND addr_src_digits IN ('22200','22200Brand','601170337777') AND message_delivery_status IN ('success','success_esme') AND day >= '1996-01-01' AND day < '1997-01-01'"
 
 
 def in_year() -> Column:
