@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callweave.llm import bpe, quality, simhash, toxicity, winnow
+from callweave.llm import bpe, jaccard, quality, toxicity, winnow
 from callweave.llm.storage import written
 
 
@@ -24,13 +24,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates.
+    """Keeps the document with the smallest id of each group of near duplicates: texts
+    that links of a Jaccard similarity of 0.8 or more on five-word shingles connect.
 
     Rows that share a doc_id are taken as one document, of which one row stays;
     documents without an id stay one for each group without any id.
     """
-    named = simhash.near_duplicates(docs)
-    kept = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = jaccard.near_duplicates(docs).groupBy("component").agg(F.min("doc_id").alias("kept_id")).select("kept_id").distinct()
     out = docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
     if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
         return out

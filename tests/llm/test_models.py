@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from callweave.llm import components, language, quality, simhash, toxicity
+from callweave.llm import components, jaccard, language, quality, simhash, toxicity
 from callweave.llm.labelled import fold
 from tests.llm.cases import IDS, TEXTS, documents
 
@@ -187,3 +187,62 @@ def test_pipeline_near_duplicate_stage_keeps_one(spark):
     kept = cp.near_duplicate_stage(spark, docs, "")
     ids = component_ids([plain_fingerprint(t) for t in TEXTS], IDS)
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted({i for i in ids if i is not None})
+
+
+def near_texts(rnd, groups):
+    """Chains and stars of texts around random ones, with a common line, and lone ones."""
+    words = [f"w{i}" for i in range(400)]
+    line = " the same line in very many of these texts"
+    out = [" ".join(rnd.choices(words, k=rnd.randint(1, 60))) + line * (i % 2) for i in range(60)]
+    for size, swaps in groups:
+        at = rnd.choices(words, k=rnd.randint(40, 90))
+        for _ in range(size):
+            now = list(at)
+            for _ in range(rnd.randint(0, swaps)):
+                now[rnd.randrange(len(now))] = rnd.choice(words)
+            out.append(" ".join(now) + line * rnd.randint(0, 1))
+            if rnd.random() < 0.3:
+                at = now
+    return out
+
+
+def jaccard_components(texts):
+    """For each text the smallest index of its component, by comparing all pairs."""
+
+    def grams(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets, root = [grams(t) for t in texts], list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a == sets[j] or 5 * both >= 4 * (len(a) + len(sets[j]) - both):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return [find(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("few", [16, 2])
+def test_pipeline_near_duplicates_equal_jaccard_brute_force(spark, monkeypatch, few):
+    import corpus_pipeline as cp
+
+    monkeypatch.setattr(jaccard, "FEW", few)
+    monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    texts = near_texts(random.Random(few), [(60, 3), (40, 2), (20, 1), (25, 4), (2, 1), (2, 2)]) + [None, "", " \n"]
+    want = jaccard_components(texts)
+    fps = [plain_fingerprint(t) for t in texts]
+    assert len(set(want)) < len(set(component_ids(fps, list(range(len(fps)))))) - 20  # 4 bits of 64 find far fewer
+    docs = documents(spark, texts).select("doc_id", "text")
+    groups = {}
+    for r in jaccard.near_duplicates(docs).collect():
+        groups.setdefault(r["component"], []).append(r["doc_id"])
+    assert sorted(map(sorted, groups.values())) == sorted([i for i, w in enumerate(want) if w == x] for x in set(want))
+    assert sorted(r["doc_id"] for r in cp.near_duplicate_stage(spark, docs, "").collect()) == sorted(set(want))
+    assert jaccard.near_duplicates(documents(spark, []).select("doc_id", "text")).collect() == []
