@@ -24,17 +24,20 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates: texts
-    that links of a Jaccard similarity of 0.8 or more on five-word shingles connect.
+    """Keeps one row of each group of near duplicates: texts that links of a Jaccard
+    similarity of 0.8 or more on five-word shingles connect.
 
-    Rows that share a doc_id are taken as one document, of which one row stays;
-    documents without an id stay one for each group without any id.
+    It is the row with the smallest id, nulls last, and the smallest hash among
+    rows of that id.  Rows are judged by their texts alone, so different texts
+    with the same id, or without one, each stay.
     """
-    kept = jaccard.near_duplicates(docs).groupBy("component").agg(F.min("doc_id").alias("kept_id")).select("kept_id").distinct()
-    out = docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return out
-    return out.dropDuplicates(["doc_id"])
+    named = written(jaccard.near_duplicates(docs), "components")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_a", "row_b")
+    kept = named.groupBy("component").agg(F.min(order).alias("least")).select("least.row_a", "least.row_b")
+    out = jaccard.row_hashes(docs).join(kept.hint("merge"), ["row_a", "row_b"], "left_semi")
+    if not named.groupBy("row_a", "row_b").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates(["row_a", "row_b"])  # rows that are equal in all columns
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

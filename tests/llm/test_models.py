@@ -246,3 +246,18 @@ def test_pipeline_near_duplicates_equal_jaccard_brute_force(spark, monkeypatch,
     assert sorted(map(sorted, groups.values())) == sorted([i for i, w in enumerate(want) if w == x] for x in set(want))
     assert sorted(r["doc_id"] for r in cp.near_duplicate_stage(spark, docs, "").collect()) == sorted(set(want))
     assert jaccard.near_duplicates(documents(spark, []).select("doc_id", "text")).collect() == []
+
+
+def test_pipeline_near_duplicate_stage_judges_rows(spark):
+    """Different texts with equal or no ids stay; of copies, one does, the same on every run."""
+    import corpus_pipeline as cp
+
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, b), (None, c), (5, d), (5, c), (7, d), (7, "e"), (7, "f"), (9, "f"), (9, a), (9, "g"), (9, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(5, c), (5, d), (7, "e"), (7, "f"), (9, a), (9, "g"), (None, b)]
+    for frame in (docs, docs.orderBy(F.desc("text")).repartition(3)):
+        kept = [tuple(r) for r in cp.near_duplicate_stage(spark, frame, "").collect()]
+        assert sorted(kept, key=str) == sorted(want, key=str)
+    kept = cp.near_duplicate_stage(spark, documents(spark).select("doc_id", "text"), "").collect()
+    assert sorted(r["text"] for r in kept if r["doc_id"] is None) == sorted(t for i, t in zip(IDS, TEXTS) if i is None)
