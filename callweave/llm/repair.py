@@ -31,7 +31,7 @@ if TYPE_CHECKING:
 
 MAGIC = b"CWPAIR01"
 SHARD_BYTES = 16 << 20  # of text
-ROUNDS, PAIRS_A_ROUND, LEAST_COUNT, COMMON = 6, 512, 24, 511
+LEAST_COUNT, SLOTS = 24, 1 << 22
 
 
 @dataclass
@@ -87,50 +87,66 @@ class Grammar:
 def compress(ids: np.ndarray, last: np.ndarray, first: int) -> tuple[Grammar, np.ndarray, np.ndarray]:
     """Grammar, symbols and their end-of-document marks for token ids below ``first``.
 
-    ``last`` marks the ids that close a document.  Rounds end when no pair of
-    common symbols is left that occurs LEAST_COUNT times, or after ROUNDS; the
-    result is exact for any number of rounds.
+    ``last`` marks the ids that close a document.  Rounds end when no pair
+    is left that occurs LEAST_COUNT times.
     """
     import numpy as np
 
-    seq, last, rules = ids.astype(np.int32), last.copy(), []
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
+    seq, last, rules = ids.astype(np.int64), last.copy(), []
+    alive = np.ones(len(seq), bool)  # a pair of old symbols that was rare never becomes frequent
+    while len(seq) > 1:
+        base = first + len(rules)
+        at = np.flatnonzero(alive[:-1] & ~last[:-1])
+        left, right = seq[at], seq[at + 1]
+        same = np.flatnonzero(left == right)
+        if len(same):  # in a run of one symbol every other pair counts, from its start
+            place = at[same]
+            fresh = np.r_[True, (np.diff(place) != 1) | (np.diff(left[same]) != 0)]
+            start = np.maximum.accumulate(np.where(fresh, place, 0))
+            counted = np.ones(len(at), bool)
+            counted[same[(place - start) % 2 == 1]] = False
+            at, left, right = at[counted], left[counted], right[counted]
+        keys = left * base + right
+        slots = (left * 40503 + right) & (SLOTS - 1)
+        maybe = np.bincount(slots, minlength=SLOTS)[slots] >= LEAST_COUNT
+        alive[at[~maybe]] = False
+        at, keys = at[maybe], keys[maybe]
+        found, counts = np.unique(keys, return_counts=True)
+        often = counts >= LEAST_COUNT
+        found, counts = found[often], counts[often]
+        if not len(found):
             break
-        found = np.bincount(seq)
-        common = np.argsort(found, kind="stable")[::-1][:COMMON]
-        common = common[found[common] >= LEAST_COUNT]
-        if not len(common):
-            break
-        rank = np.full(len(found), len(common), np.int32)
-        rank[common] = np.arange(len(common), dtype=np.int32)
-        base = len(common) + 1
-        ranks = rank[seq]
-        cells = ranks[:-1] * base + ranks[1:]
-        cells[last[:-1]] = base * base - 1  # the cell of two rare symbols, never picked
-        counts = np.bincount(cells, minlength=base * base)
-        order = np.argsort(counts, kind="stable")[::-1][: 8 * PAIRS_A_ROUND]
+        cell = np.minimum(np.searchsorted(found, keys), len(found) - 1)
+        hit = found[cell] == keys
+        alive[at[~hit]] = False
+        at, cell = at[hit], cell[hit]
         sides: dict[int, str] = {}
-        table, picked = np.zeros(base * base, np.int32), 0
-        for cell in order.tolist():
-            if counts[cell] < LEAST_COUNT or picked == PAIRS_A_ROUND:
-                break
-            left, right = divmod(cell, base)
-            if left == right or base - 1 in (left, right) or sides.get(left) == "right" or sides.get(right) == "left":
+        table = np.zeros(len(found), np.int64)
+        for i in np.argsort(-counts, kind="stable").tolist():
+            left, right = divmod(int(found[i]), base)
+            if left == right:
+                if left in sides:
+                    continue
+                sides[left] = "both"
+            elif sides.get(left, "left") != "left" or sides.get(right, "right") != "right":
                 continue
-            sides[left], sides[right] = "left", "right"
-            table[cell] = first + len(rules)
-            rules.append((common[left], common[right]))
-            picked += 1
-        if not picked:
-            break
-        new = table[cells]
-        at = np.flatnonzero(new)
-        seq[at] = new[at]
+            else:
+                sides[left], sides[right] = "left", "right"
+            table[i] = first + len(rules)
+            rules.append((left, right))
+        new = table[cell]
+        at, new = at[new > 0], new[new > 0]
+        seq[at] = new
         last[at] = last[at + 1]
+        alive[at] = True
+        alive[at[at > 0] - 1] = True
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq, last = seq[keep], last[keep]
+        # the symbol before a replaced one may itself have been replaced away: then its own left part is before
+        before = at[at > 1]
+        before = before[~keep[before - 1]]
+        alive[before - 2] = True
+        seq, last, alive = seq[keep], last[keep], alive[keep]
     pairs = np.array(rules, np.int64).reshape(-1, 2)
     lengths = np.ones(first + len(pairs), np.int64)
     for i, (left, right) in enumerate(pairs.tolist()):

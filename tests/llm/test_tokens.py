@@ -88,6 +88,21 @@ def test_grammar_round_trip_and_random_access():
         assert len(file.grammar.expand(np.array([file.grammar.first + k]))) == n
 
 
+def test_grammar_leaves_no_frequent_pair():
+    """Also of symbols that are not among the commonest, and of runs of one symbol."""
+    rng = np.random.default_rng(4)
+    pairs = [np.array([2 * p, 2 * p + 1, 9000 + p]) for p in rng.integers(0, 1500, 60_000)]
+    ids = np.concatenate([*pairs, np.full(501, 8000), np.array([8001])])
+    last = np.zeros(len(ids), bool)
+    last[999::1000] = last[-1] = True
+    grammar, symbols, ends = repair.compress(ids, last, 50257)
+    assert grammar.expand(symbols).tolist() == ids.tolist()
+    left, right = symbols[:-1][~ends[:-1]], symbols[1:][~ends[:-1]]
+    other = left != right
+    assert np.unique(left[other] << 32 | right[other], return_counts=True)[1].max() < repair.LEAST_COUNT
+    assert len(grammar.rules) > 1500 and np.count_nonzero(symbols == 8000) < 2 * repair.LEAST_COUNT
+
+
 def test_shards_on_spark(spark, library):
     manifest = repair.write_shards(documents(spark), shard_bytes=100_000)
     got = repair.token_index(manifest).collect()
