@@ -1,16 +1,24 @@
 """Near copies by the Jaccard similarity of their word shingles, without loss.
 
-Of two sets with a similarity of 0.8 or more, the first fifth (and one) of the
-shingles of both share one, in any order that is the same for all documents.
-The order puts shingles that are common in a sample last, so that few documents
-share a first one; it decides the work and not the result.  Documents that share
-one are candidates.  Parities of hashed shingles rule out most of them: each bit
-that differs is a shingle that one set lacks.  The others are verified on the whole sets.
+SimHash comes first: fingerprints within 4 bits meet by ball hashing, and pairs
+that are verified on the whole sets connect most copies.  A similarity of 0.8
+leaves 9 or 10 of 64 bits different, which no ball can reach, so a second search
+finds the rest.  Of two sets with a similarity of 0.8 or more, the first fifth
+(and one) of the shingles of both share one, in any order that is the same for
+all documents.  The order puts shingles that are common in a sample last, so
+that few documents share a first one; it decides the work and not the result.
+
+Documents that share one, and are not connected yet, are candidates if what
+follows it in both sets is long enough.  Parities of hashed shingles rule out
+most of them: each bit that differs is a shingle that one set lacks.  The others
+are verified on the whole sets.
 
 Where more than FEW documents share a shingle, each is first compared with a few
-pivots.  Members that this leaves in another component than most are then
-compared with all members of other components, so no pair over the bar that
-could join two components is left out.
+pivots, the members that have least before it.  Members that this leaves in
+another component than most are then compared with all members of other
+components, so no pair over the bar that could join two components is left out.
+In any pair that counts, one member at least has no more than a ninth of its
+shingles before the first common one: such members are the left side of that join.
 """
 
 from __future__ import annotations
@@ -23,7 +31,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .bpe import small_batches
 from .components import connected_components
-from .storage import written
+from .simhash import links, majority
+from .storage import small, written
 
 if TYPE_CHECKING:
     import numpy as np
@@ -34,18 +43,25 @@ PARITIES = 2048
 SAMPLE, SAMPLE_TASKS, COMMON = 16_000, 4, 500_000  # documents and shingles that the order is learned from
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct XXH64 (seed 42) of a text's word shingles, as signed longs.  A text
-    of fewer words is one shingle; null and blank texts have none."""
+def shingle_hashes(text: str | None, words: int = WORDS) -> np.ndarray:
+    """XXH64 (seed 42) of a text's word shingles, as unsigned longs.  A text of fewer
+    words is one shingle; null and blank texts have none."""
     import numpy as np
     import xxhash
 
     parts = (text or "").encode("utf-8", "replace").lower().split()
     if not parts:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.uint64)
     runs = zip(*[islice(parts, i, None) for i in range(min(words, len(parts)))])
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(b" ".join(r), 42) for r in runs), np.uint64).view(np.int64))
+    return np.fromiter((digest(b" ".join(r), 42) for r in runs), np.uint64)
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The set of ``shingle_hashes``, sorted, as signed longs."""
+    import numpy as np
+
+    return np.unique(shingle_hashes(text, words).view(np.int64))
 
 
 def prefix_length(n: int) -> int:
@@ -96,20 +112,6 @@ def row_hashes(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.withColumns({"row_a": F.xxhash64(nulls, *whole), "row_b": F.xxhash64(*whole[::-1], nulls, F.lit(1))})
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, row_a, row_b, key) with one row per row of ``docs``: a hash of the set of shingles."""
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for whole in batches:
-            for b in small_batches(whole):
-                keys = pa.array([_key(shingles(t)) for t in b.column(1).to_pylist()], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), keys], ["doc_id", "row_a", "row_b", "key"])
-
-    return _source(docs, id_col, text_col).mapInArrow(run, "doc_id long, row_a long, row_b long, key long")
-
-
 def _key(s: np.ndarray) -> int:
     import xxhash
 
@@ -121,9 +123,9 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return row_hashes(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), "row_a", "row_b")
 
 
-def prefixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row_a, row_b, key, n, front, odd) with one row per row of ``docs``: the size of the set
-    of shingles, those at its front, and its parities."""
+def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, row_a, row_b, key, n, fp, front, odd) with one row per row of ``docs``: a hash
+    of the set of shingles, its size, the SimHash fingerprint, the shingles at its front, and its parities."""
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text_col))
 
     def run(batches: Iterator) -> Iterator:
@@ -140,12 +142,15 @@ def prefixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
         for whole in batches:
             for b in small_batches(whole):
-                sets = [shingles(t) for t in b.column(1).to_pylist()]
-                keys, sizes = pa.array([_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())
+                hashes = [shingle_hashes(t) for t in b.column(1).to_pylist()]
+                fps = np.array([majority(h) for h in hashes], np.uint64).view(np.int64)
+                sets = [np.unique(h.view(np.int64)) for h in hashes]
+                numbers = [pa.array([_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(fps)]
                 lists = [pa.array([f(s) for s in sets], pa.list_(pa.int64())) for f in (front, parities)]
-                yield pa.RecordBatch.from_arrays([b.column(2), b.column(3), keys, sizes, *lists], ["row_a", "row_b", "key", "n", "front", "odd"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *numbers, *lists], ["doc_id", "row_a", "row_b", "key", "n", "fp", "front", "odd"])
 
-    return _source(docs, id_col, text_col).mapInArrow(run, "row_a long, row_b long, key long, n long, front array<long>, odd array<long>")
+    kinds = "doc_id long, row_a long, row_b long, key long, n long, fp long, front array<long>, odd array<long>"
+    return _source(docs, id_col, text_col).mapInArrow(run, kinds)
 
 
 def _sets(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
@@ -160,7 +165,7 @@ def _sets(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0), sets], ["key", "shingles"])
 
     texts = row_hashes(docs).select("row_a", "row_b", F.col(text_col).cast("string").alias("text"))
-    met = texts.join(keys, ["row_a", "row_b"]).select("key", "text").dropDuplicates(["key"])
+    met = texts.join(small(keys), ["row_a", "row_b"]).select("key", "text").dropDuplicates(["key"])
     return met.mapInArrow(run, "key long, shingles array<long>")
 
 
@@ -176,58 +181,77 @@ def _verified(docs: DataFrame, pairs: DataFrame, uniq: DataFrame, text_col: str)
     likely = joined(pairs, uniq, "n", "odd").where(9 * apart <= F.col("n_a") + F.col("n_b")).select("a", "b")
     likely = written(likely, "likely-pairs")
     ends = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = written(_sets(docs, uniq.select("key", "row_a", "row_b").join(ends, "key", "left_semi"), text_col), "shingles")
+    sets = written(_sets(docs, written(uniq.select("key", "row_a", "row_b").join(ends, "key", "left_semi"), "ends"), text_col), "shingles")
     both = F.size(F.array_intersect("shingles_a", "shingles_b"))
     return joined(likely, sets, "shingles").where(similar(both, F.size("shingles_a"), F.size("shingles_b"))).select("a", "b")
 
 
-def _near_sizes(n: str, m: str) -> Column:
-    return 5 * F.least(n, m) >= 4 * F.greatest(n, m)
+def _close(uniq: DataFrame) -> DataFrame:
+    """Pairs (a, b) of keys whose fingerprints are equal or linked within 4 bits: a
+    spanning set of them, in which one key stands for each fingerprint."""
+    first = written(uniq.groupBy("fp").agg(F.min("key").alias("a")), "fingerprints")
+    equal = uniq.join(first, "fp").where("key <> a").select("a", F.col("key").alias("b"))
+    linked = links(first.select("fp")).select(F.col("a").alias("fp"), F.col("b").alias("other"))
+    other = first.select(F.col("fp").alias("other"), F.col("a").alias("b"))
+    return equal.unionByName(linked.join(first, "fp").join(other, "other").select("a", "b"))
+
+
+def _long_enough(n: str, reach: str, m: str, other: str) -> Column:
+    """Whether sets of n and m, with i and j elements before their first common one, can have a
+    similarity of 0.8: both n - i and m - j must reach 4 (n + m) / 9.  reach is 5 n - 9 i."""
+    return (4 * F.col(m) <= F.col(reach)) & (4 * F.col(n) <= F.col(other))
+
+
+def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of members of the same shingle that are not connected and may be similar."""
+    right = right.select("k", F.col("key").alias("y"), F.col("n").alias("m"), F.col("reach").alias("other"), F.col("root").alias("s"))
+    met = left.select("k", F.col("key").alias("x"), "n", "reach", "root").join(right, "k").where("root <> s").where(_long_enough("n", "reach", "m", "other"))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
 
+def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` with the root of their component, which is their own key if they have no link."""
+    return members.drop("root").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
 
-def _pairs(df: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of the columns x and y where the sizes n and m allow a similarity of 0.8."""
-    return df.where("x <> y").where(_near_sizes("n", "m")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
+def components(docs: DataFrame, uniq: DataFrame, text_col: str = "text") -> DataFrame:
+    """(node, root) of the keys of ``uniq`` that are linked to another one."""
+    edges = written(_verified(docs, written(_close(uniq), "pairs"), uniq, text_col), "links")
+    roots = written(connected_components(edges), "roots")
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(node, root) of the keys of ``docs`` that are linked to another one."""
-    uniq = written(prefixes(docs, id_col, text_col).dropDuplicates(["key"]), "sets")
-    keys = uniq.select(F.explode("front").alias("k"), "key", "n")
+    keys = uniq.select("key", "n", F.posexplode_outer("front").alias("i", "k")).where("k is not null")
+    keys = keys.select("k", "key", "n", (5 * F.col("n") - 9 * F.col("i")).alias("reach"))
     met = keys.groupBy("k").agg(F.count("*").alias("members")).where("members > 1")
-    members = written(keys.join(met, "k"), "met-members")
+    members = written(_rooted(keys.join(met, "k"), roots), "met-members")
     few, crowd = members.where(F.col("members") <= FEW), members.where(F.col("members") > FEW)
-    other = few.select("k", F.col("key").alias("y"), F.col("n").alias("m"))
-    pairs = few.withColumnRenamed("key", "x").join(other, "k").where("x < y").where(_near_sizes("n", "m"))
-    salted = crowd.groupBy("k", F.pmod(F.xxhash64("key"), F.lit(PIVOTS)).alias("salt")).agg(F.min_by(F.struct("key", "n"), "key").alias("p"))
-    pivots = salted.select("k", F.col("p.key").alias("y"), F.col("p.n").alias("m"))
-    starred = crowd.withColumnRenamed("key", "x").join(pivots, "k")
-    first = written(_pairs(pairs.select("x", "y", "n", "m").unionByName(starred.select("x", "y", "n", "m"))), "pairs")
-
-    edges = written(_verified(docs, first, uniq, text_col), "links")
+    central = F.struct(F.col("reach") / F.col("n"), "key")
+    salted = crowd.groupBy("k", F.pmod(F.xxhash64("key"), F.lit(PIVOTS)).alias("salt")).agg(F.max_by(F.struct("key", "n", "reach", "root"), central).alias("p"))
+    pivots = salted.select("k", "p.*")
+    first = written(_pairs(few, few).unionByName(_pairs(crowd, pivots)).distinct(), "pairs")
+    edges = edges.unionByName(written(_verified(docs, first, uniq, text_col), "links"))
     roots = connected_components(edges)
     if crowd.isEmpty():
         return roots
 
-    named = crowd.join(roots.withColumnRenamed("node", "key"), "key", "left").select("k", "key", "n", F.coalesce("root", "key").alias("root"))
-    named = written(named, "crowds")
+    named = written(_rooted(crowd, roots), "crowds")
     sizes = named.groupBy("k", "root").agg(F.count("*").alias("size"))
     split = sizes.groupBy("k").agg(F.max_by("root", F.struct("size", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
     named = named.join(split.select("k", "most"), "k")
-    minor = named.where("root <> most").select("k", F.col("key").alias("x"), "n", F.col("root").alias("r"))
-    rest = named.select("k", F.col("key").alias("y"), F.col("n").alias("m"), "root")
-    met = minor.join(rest, "k").where("r <> root").where(_near_sizes("n", "m"))
-    again = written(_verified(docs, written(_pairs(met), "pairs"), uniq, text_col), "links")
+    ahead, minor = F.col("reach") >= 4 * F.col("n"), F.col("root") != F.col("most")
+    met = _pairs(named.where(ahead & minor), named).unionByName(_pairs(named.where(ahead), named.where(minor)))
+    again = written(_verified(docs, written(met.distinct(), "pairs"), uniq, text_col), "links")
     return roots if again.isEmpty() else connected_components(edges.unionByName(again))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, row_a, row_b, component), one row per row of ``docs``: the hashes of row_hashes, and
     one number for all rows that links of a similarity of 0.8 or more connect.  Null
-    and blank texts are one component."""
-    rows = written(keyed(docs, id_col, text_col), "keys")
-    roots = written(components(docs, id_col, text_col), "roots")
+    and blank texts are one component; an empty table gives no rows."""
+    every = written(described(docs, id_col, text_col), "sets")
+    uniq = written(every.drop("doc_id").dropDuplicates(["key"]), "distinct-sets")
+    roots = written(components(docs, uniq, text_col), "roots")
     # A key has many rows where a text is often repeated: the roots are joined to it once.
+    rows = every.select("doc_id", "row_a", "row_b", "key")
     named = rows.select("key").distinct().join(roots.withColumnRenamed("node", "key"), "key", "left")
     named = named.select("key", F.coalesce("root", "key").alias("component"))
     return rows.join(named, "key").drop("key")

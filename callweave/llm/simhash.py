@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -25,6 +26,9 @@ from .bpe import small_batches
 from .components import connected_components
 from .storage import written
 
+if TYPE_CHECKING:
+    import numpy as np
+
 FEW = 16  # members of a key whose pairs are verified; the members of fuller keys all go on
 BLOCK = 1 << 16  # shingles hashed at a time, so that one huge text needs no huge list
 
@@ -50,6 +54,17 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     return int.from_bytes(np.packbits(ones * 2 > count, bitorder="little").tobytes(), "little")
 
 
+def majority(hashes: np.ndarray) -> int:
+    """64 bits, each set in more than half of the 64-bit hashes; 0 of none."""
+    import numpy as np
+
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), BLOCK):
+        block = hashes[at : at + BLOCK].astype("<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes(), "little")
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
     """(id, fp) with one row per row of ``docs``; fp holds the 64 bits as a long."""
 

@@ -1,7 +1,8 @@
 """The folder that driver and executors share, and tables written there.
 
-``spark.checkpoint.dir`` names the folder.  Where it is unset (tests, a laptop)
-a temporary one is made and set as Spark's checkpoint folder.
+``spark.checkpoint.dir`` names the folder.  Where it is unset and the master is
+local (tests, a laptop), a temporary one is made and set as Spark's checkpoint
+folder; on a cluster that raises, as executors do not share such a folder.
 """
 
 from __future__ import annotations
@@ -9,7 +10,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+MOST_ROWS = 1_000_000  # of narrow rows that are broadcast; larger tables are joined by shuffles
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -18,6 +21,9 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.split("[")[0] == "local":
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that driver and executors of {master} share")
         base = "file://" + tempfile.mkdtemp(prefix="callweave-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -31,6 +37,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(table: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row, to be broadcast if it has at most MOST_ROWS rows."""
+    return F.broadcast(table) if table.count() <= MOST_ROWS else table
+
+
 def open_filesystem(uri: str):
     """(pyarrow filesystem, path in it) of a URI or an absolute path."""
     from pyarrow import fs

@@ -19,12 +19,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .storage import written
+from .storage import small, written
 
 WINDOW, GRAM = 10, 5
 AROUND = WINDOW - GRAM  # words on each side of a 5-gram that windows around it reach
 SPREAD = AROUND + 1  # 5-grams in a window
-MOST_ROWS = 1_000_000  # of hashes or short contexts that are broadcast; larger tables are joined by shuffles
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what is between words
@@ -86,11 +85,6 @@ def _text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")]
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """The written table ``df``, to be broadcast if it has at most MOST_ROWS rows."""
-    return F.broadcast(df) if df.count() <= MOST_ROWS else df
-
-
 def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item, ids, words): one row per distinct word sequence, with the sorted ids
     of the benchmark rows that have it.  Rows without words are left out."""
@@ -137,7 +131,7 @@ def _met(docs: DataFrame, contexts: DataFrame, short: list[int]) -> DataFrame:
     prints = rows.select("doc_id", "a", "b", F.size("words").alias("n_words"), F.array_distinct(F.concat("minima", *spans)).alias("prints"))
     # One more element, null, stands for the row itself.
     each = prints.select("doc_id", "a", "b", "n_words", F.explode_outer(F.concat("prints", F.array(F.lit(None).cast("long")))).alias("hash"))
-    known = _small(written(contexts.select("hash").distinct(), "hashes")).select(F.col("hash").alias("key"), F.lit(True).alias("found"))
+    known = small(written(contexts.select("hash").distinct(), "hashes")).select(F.col("hash").alias("key"), F.lit(True).alias("found"))
     # Where this is a shuffle, the rows without a hash are spread by their text.
     looked = each.join(known, F.coalesce("hash", F.xxhash64("doc_id", "a")) == F.col("key"), "left")
     looked = looked.where(F.col("hash").isNull() | F.col("found"))
@@ -147,14 +141,14 @@ def _met(docs: DataFrame, contexts: DataFrame, short: list[int]) -> DataFrame:
 def _windows(docs: DataFrame, met: DataFrame, contexts: DataFrame, short: list[int]) -> DataFrame:
     """(a, b, c, start, end): the windows of contexts in the texts that ``met`` names,
     as numbers of their first and last word."""
-    keys = _small(written(met.where("met").select("a", "b").distinct(), "met-keys"))
+    keys = small(written(met.where("met").select("a", "b").distinct(), "met-keys"))
     texts = docs.select(*_text_key(F.col("text")), "text").join(keys, ["a", "b"], "left_semi")
     rows = _with_grams(texts.select("a", "b", words(F.col("text")).alias("words")))
     numbered = F.transform("grams", lambda x, i: F.struct(i.alias("at"), x.alias("hash")))
     places = rows.select("a", "b", "words", F.concat(numbered, *map(_spans, short)).alias("places")).select("a", "b", "words", F.explode_outer("places").alias("p")).where("p is not null")
     before = F.least("p.at", F.lit(AROUND))
     places = places.select("a", "b", F.col("p.at").alias("at"), F.col("p.hash").alias("hash"), before.alias("before"), F.slice("words", F.col("p.at") - before + 1, before + (GRAM + AROUND)).alias("near"))
-    both = places.join(_small(contexts), "hash")
+    both = places.join(small(contexts), "hash")
     # The j-th word around the fingerprint in the item is the (j + before - lead)-th near it in the text.
     shift = F.col("before") - F.col("lead")
     first, last = F.greatest(F.lit(0), -shift), F.size("around") - F.col("need")
@@ -204,7 +198,7 @@ def decontaminate(
     named = named.select("cs", F.size("ids").cast("long").alias("n_items"), digest.alias("items_sha256"))
     hits = written(sets.join(named, "cs").select("a", "b", "n_hit", "n_items", "items_sha256"), "hit-texts")
 
-    rows = met.where(~F.col("met")).join(_small(hits), ["a", "b"], "left")
+    rows = met.where(~F.col("met")).join(small(hits), ["a", "b"], "left")
     return rows.select(
         "doc_id",
         F.col("n_words").cast("long").alias("n_words"),
@@ -224,6 +218,6 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
     _, contexts, _, short = _benchmark(benchmark)
     src = docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     found = _windows(src, _met(src, contexts, short), contexts, short)
-    bad = _small(written(found.select("a", "b").distinct(), "hit-keys"))
+    bad = small(written(found.select("a", "b").distinct(), "hit-keys"))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_text_key(F.col(f"`{text_col}`").cast("string")))
     return row.join(bad, ["a", "b"], "left_anti").select("row.*")
