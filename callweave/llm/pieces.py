@@ -11,7 +11,11 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterator
-from itertools import islice
+from typing import TYPE_CHECKING
+
+if TYPE_CHECKING:
+    import numpy as np
+    import pyarrow as pa
 
 #: Fixed value: the pre-tokenizer's pattern of the public byte-level vocabularies.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -20,7 +24,7 @@ SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 WIDE_GAPS = tuple(f" {c}" for c in SPACES)
 NARROW_GAPS = tuple(f" {c}" for c in SPACES if c < "\x80")
 MARKS = ".,;:!?|*#$%&"  # ASCII marks that never share a pre-token with letters before them
-SECTION, BLOCK = 1 << 20, 1 << 21
+SECTION, BLOCK = 1 << 20, 1 << 22
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -31,10 +35,30 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 
 def split_pieces(text: str) -> list[str]:
     """Pieces of a text; all but the first stand for a blank and the piece."""
-    gaps = NARROW_GAPS if text.isascii() else WIDE_GAPS
-    if text.endswith(" ") or any(g in text for g in gaps):
-        return CUT.split(text)
-    return text.split(" ")
+    return CUT.split(text) if has_gaps(text) else text.split(" ")
+
+
+def cut_texts(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all texts, one after the other, and how many each text has."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    bounds, flat = lists.offsets.to_numpy(), lists.flatten()
+    counts = np.diff(bounds)
+    parts, at = [], 0
+    for i, text in enumerate(texts):
+        if has_gaps(text):
+            pieces = CUT.split(text)
+            parts += [flat.slice(bounds[at], bounds[i] - bounds[at]), pa.array(pieces, pa.large_string())]
+            counts[i], at = len(pieces), i + 1
+    return (pa.concat_arrays([*parts, flat.slice(bounds[at])]) if parts else flat), counts
+
+
+def has_gaps(text: str) -> bool:
+    """Whether a blank of the text is not followed by a non-space character."""
+    return text.endswith(" ") or any(g in text for g in (NARROW_GAPS if text.isascii() else WIDE_GAPS))
 
 
 def sections(text: str, size: int = SECTION) -> Iterator[str]:
@@ -92,25 +116,39 @@ class PieceCoder:
         self.after_blank, self.heads = Recent(limit), Recent(limit // 8)
 
     def _block(self, texts: list[str]) -> list[bytes]:
-        cut = [split_pieces(t) for t in texts]
+        import numpy as np
+
+        flat, counts = cut_texts(texts)
+        coded = flat.dictionary_encode()
+        where = coded.indices.to_numpy().astype(np.int64)
+        seen = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         self.after_blank.turn()
         self.heads.turn()
-        need: set[str] = set()
-        for pieces in cut:
-            need.update(pieces)
-        fresh = self.after_blank.fresh(need)
+        fresh = self.after_blank.fresh(set(seen))
         # A word with marks after it is the word's ids and the marks' ids.
         stems = {p: q for p in fresh if (q := p.rstrip(MARKS)) and q is not p and q[-1].isalpha()}
         fresh = [p for p in fresh if p not in stems]
         fresh += self.after_blank.fresh(set(stems.values()).difference(fresh))
         known = self.after_blank.now
         known.update(zip(fresh, self.encode_pieces([f" {p}" for p in fresh])))
-        fresh = self.heads.fresh({pieces[0] for pieces in cut} | {p[len(q) :] for p, q in stems.items()})
+        firsts = np.cumsum(counts) - counts
+        first_seen, first_where = np.unique(where[firsts], return_inverse=True)
+        first_pieces = [seen[i] for i in first_seen.tolist()]
+        fresh = self.heads.fresh(set(first_pieces) | {p[len(q) :] for p, q in stems.items()})
         heads = self.heads.now
         heads.update(zip(fresh, self.encode_pieces(fresh)))
         known.update([(p, known[q] + heads[p[len(q) :]]) for p, q in stems.items()])
-        get = known.__getitem__
-        return [heads[pieces[0]] + b"".join(map(get, islice(pieces, 1, None))) for pieces in cut]
+
+        # Ids of the distinct pieces one after the other, gathered in the order of the texts.
+        packed = [*map(known.__getitem__, seen), *map(heads.__getitem__, first_pieces)]
+        where[firsts] = len(seen) + first_where
+        widths = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        starts = np.cumsum(widths) - widths
+        n = widths[where]
+        ends = np.cumsum(n)
+        ids = np.frombuffer(b"".join(packed), "<u4")[np.repeat(starts[where] - (ends - n), n) + np.arange(ends[-1])].tobytes()
+        stops = (4 * ends[np.cumsum(counts) - 1]).tolist()
+        return [ids[a:b] for a, b in zip([0, *stops], stops)]
 
     def pack(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text; null is taken as empty."""

@@ -7,9 +7,10 @@ A round picks many pairs at once, such that no symbol is a left part of one and
 a right part of another; then occurrences never overlap and one array pass
 replaces them all.  Pairs never reach over the end of a document.
 
-A shard file holds, after the magic and six counts: rules (left, right) and
+A task writes one file with shard after shard, and the manifest has the place of each.
+A shard holds, after the magic and six counts: rules (left, right) and
 expansion lengths per nonterminal; per document its id, whether it has one, its
-first symbol and its first token; then the symbols, in 16 bits where they fit.
+first symbol and its first token; then the symbols, in 2 to 4 bytes.
 A document is decoded from its own symbols and the rules alone.
 """
 
@@ -30,8 +31,12 @@ if TYPE_CHECKING:
     import numpy as np
 
 MAGIC = b"CWPAIR01"
-SHARD_BYTES = 16 << 20  # of text
-LEAST_COUNT, SLOTS = 24, 1 << 22
+SHARD_IDS = 1 << 21
+FILE_BYTES, LEAST_FILES = 256 << 20, 64  # text in a file of a large corpus, and the files of a small one
+SHARDS_A_TASK = 32  # that one task reads back
+LEAST_COUNT = 4  # a rule takes 12 bytes of a file and each use of it saves a symbol of 3: a rarer pair does not pay
+SLOT_BITS = 20
+MIXER, STEP = 0x9E3779B97F4A7C15, 0x51ED27  # an odd 64-bit mixing constant, and what each round adds to it
 
 
 @dataclass
@@ -47,8 +52,11 @@ class Grammar:
         """Token ids of a run of symbols."""
         import numpy as np
 
-        starts, flat = self._expansions()
-        part = symbols.astype(np.int64)
+        return self._put_together(symbols.astype(np.int64), *self._expansions())
+
+    def _put_together(self, part: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        import numpy as np
+
         big = part >= self.first
         rule = part[big] - self.first
         wide = np.ones(len(part), np.int64)
@@ -62,24 +70,20 @@ class Grammar:
         return out
 
     def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
-        """Where the ids of each nonterminal start, and all these ids; rules refer
-        to earlier ones, so each is two copies of what is known."""
+        """Where the ids of each nonterminal start, and all these ids.  Rules refer
+        to earlier ones, and all up to the first that refers to one of them are expanded at once."""
         import numpy as np
 
         if self._flat is None:
             lengths = self.lengths.astype(np.int64)
             starts = np.cumsum(lengths) - lengths
             flat = np.empty(int(lengths.sum()), np.int64)
-            for i, (left, right) in enumerate(self.rules.tolist()):
-                at = starts[i]
-                for part in (left, right):
-                    if part < self.first:
-                        flat[at] = part
-                        at += 1
-                    else:
-                        k = part - self.first
-                        flat[at : at + lengths[k]] = flat[starts[k] : starts[k] + lengths[k]]
-                        at += lengths[k]
+            needs, at = self.rules.max(1, initial=0) - self.first, 0
+            while at < len(lengths):
+                late = np.flatnonzero(needs[at:] >= at)
+                end = at + int(late[0]) if len(late) else len(lengths)
+                flat[starts[at] : starts[end - 1] + lengths[end - 1]] = self._put_together(self.rules[at:end].ravel(), starts, flat)
+                at = end
             self._flat = starts, flat
         return self._flat
 
@@ -88,74 +92,90 @@ def compress(ids: np.ndarray, last: np.ndarray, first: int) -> tuple[Grammar, np
     """Grammar, symbols and their end-of-document marks for token ids below ``first``.
 
     ``last`` marks the ids that close a document.  Rounds end when no pair
-    is left that occurs LEAST_COUNT times.
+    is left that occurs LEAST_COUNT times.  A round counts pairs in hashed slots.  Each slot
+    counts one of its pairs exactly; others in the slot wait for a round with
+    other slots.  Of the pairs counted, each symbol takes the part (left, right
+    or both) of its most frequent pair, and pairs of fitting parts are replaced:
+    the most frequent pair of all always is.
     """
     import numpy as np
 
-    seq, last, rules = ids.astype(np.int64), last.copy(), []
-    alive = np.ones(len(seq), bool)  # a pair of old symbols that was rare never becomes frequent
-    while len(seq) > 1:
-        base = first + len(rules)
-        at = np.flatnonzero(alive[:-1] & ~last[:-1])
-        left, right = seq[at], seq[at + 1]
+    seq, last, rules, size = ids.astype(np.int32), last.copy(), [np.empty((0, 2), np.int64)], first
+    lengths = np.ones(first, np.int64)
+    alive = ~last  # whether the pair that starts here may still become frequent
+    after, before = np.arange(1, len(seq) + 2, dtype=np.int32), np.arange(-1, len(seq), dtype=np.int32)  # neighbours
+    gone = np.zeros(len(seq), bool)
+    turn = 0
+    while len(at := np.flatnonzero(alive)):
+        left, right = seq[at], seq[after[at]]
         same = np.flatnonzero(left == right)
         if len(same):  # in a run of one symbol every other pair counts, from its start
-            place = at[same]
-            fresh = np.r_[True, (np.diff(place) != 1) | (np.diff(left[same]) != 0)]
-            start = np.maximum.accumulate(np.where(fresh, place, 0))
+            place, number = at[same], np.arange(len(same))
+            fresh = np.r_[True, after[place[:-1]] != place[1:]]
+            start = np.maximum.accumulate(np.where(fresh, number, 0))
             counted = np.ones(len(at), bool)
-            counted[same[(place - start) % 2 == 1]] = False
+            counted[same[(number - start) % 2 == 1]] = False
             at, left, right = at[counted], left[counted], right[counted]
-        keys = left * base + right
-        slots = (left * 40503 + right) & (SLOTS - 1)
-        maybe = np.bincount(slots, minlength=SLOTS)[slots] >= LEAST_COUNT
+        bits = min(SLOT_BITS, max(8, len(at).bit_length()))
+        slots = _slots(left, right, turn, bits)
+        turn += 1
+        maybe = (np.bincount(slots, minlength=1 << bits) >= LEAST_COUNT)[slots]
         alive[at[~maybe]] = False
-        at, keys = at[maybe], keys[maybe]
-        found, counts = np.unique(keys, return_counts=True)
-        often = counts >= LEAST_COUNT
-        found, counts = found[often], counts[often]
-        if not len(found):
-            break
-        cell = np.minimum(np.searchsorted(found, keys), len(found) - 1)
-        hit = found[cell] == keys
-        alive[at[~hit]] = False
-        at, cell = at[hit], cell[hit]
-        sides: dict[int, str] = {}
-        table = np.zeros(len(found), np.int64)
-        for i in np.argsort(-counts, kind="stable").tolist():
-            left, right = divmod(int(found[i]), base)
-            if left == right:
-                if left in sides:
-                    continue
-                sides[left] = "both"
-            elif sides.get(left, "left") != "left" or sides.get(right, "right") != "right":
-                continue
-            else:
-                sides[left], sides[right] = "left", "right"
-            table[i] = first + len(rules)
-            rules.append((left, right))
-        new = table[cell]
-        at, new = at[new > 0], new[new > 0]
-        seq[at] = new
-        last[at] = last[at + 1]
-        alive[at] = True
-        alive[at[at > 0] - 1] = True
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        # the symbol before a replaced one may itself have been replaced away: then its own left part is before
-        before = at[at > 1]
-        before = before[~keep[before - 1]]
-        alive[before - 2] = True
-        seq, last, alive = seq[keep], last[keep], alive[keep]
-    pairs = np.array(rules, np.int64).reshape(-1, 2)
-    lengths = np.ones(first + len(pairs), np.int64)
-    for i, (left, right) in enumerate(pairs.tolist()):
-        lengths[first + i] = lengths[left] + lengths[right]
-    return Grammar(first, pairs, lengths[first:]), seq, last
+        at, left, right, slots = at[maybe], left[maybe], right[maybe], slots[maybe]
+        holder = np.empty(1 << bits, np.int32)
+        holder[slots] = np.arange(len(at), dtype=np.int32)
+        held = holder[slots]
+        mine = (left == left[held]) & (right == right[held])
+        counts = np.bincount(slots[mine], minlength=1 << bits)
+        alive[at[mine & (counts < LEAST_COUNT)[slots]]] = False
+        often = np.flatnonzero(counts >= LEAST_COUNT)
+        if not len(often):
+            continue
+        often = often[np.argsort(-counts[often], kind="stable")]
+        a, b = left[holder[often]], right[holder[often]]
+        picked = _fitting(a, b, size)
+        new = np.zeros(1 << bits, np.int32)
+        new[often[picked]] = size + np.arange(np.count_nonzero(picked))
+        rules.append(np.c_[a[picked], b[picked]])
+        size += len(rules[-1])
+        lengths = np.concatenate([lengths, lengths[a[picked]] + lengths[b[picked]]])
+
+        into = new[slots]
+        hit = mine & (into > 0)
+        at = at[hit]
+        lost = after[at]
+        seq[at], last[at], after[at] = into[hit], last[lost], after[lost]
+        gone[lost], alive[lost] = True, False
+        before[after[at]] = at
+        earlier = before[at]
+        earlier = earlier[earlier >= 0]
+        alive[at], alive[earlier] = ~last[at], ~last[earlier]
+    return Grammar(first, np.concatenate(rules).astype(np.int64), lengths[first:]), seq[~gone], last[~gone]
+
+
+def _slots(left: np.ndarray, right: np.ndarray, turn: int, bits: int) -> np.ndarray:
+    """A number of ``bits`` bits for each pair, by another hash in every turn."""
+    import numpy as np
+
+    mixed = (left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)) * np.uint64(MIXER + 2 * turn * STEP)
+    return (mixed >> np.uint64(64 - bits)).view(np.int64)
+
+
+def _fitting(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """Which of the pairs (a, b), most frequent first, fit together: no symbol is
+    a left part of one and a right part of another."""
+    import numpy as np
+
+    rank = np.arange(len(a), dtype=np.int32)
+    best = np.full((3, size), len(a), np.int32)  # first pair that has the symbol as left, right, or both parts
+    for part, symbols, which in ((0, a, a != b), (1, b, a != b), (2, a, a == b)):
+        best[part, symbols[which][::-1]] = rank[which][::-1]
+    role = best.argmin(0)
+    return np.where(a == b, role[a] == 2, (role[a] == 0) & (role[b] == 1))
 
 
 def to_bytes(packed: list[bytes], doc_ids: list[int | None], first: int) -> tuple[bytes, int]:
-    """A shard file, and its number of token ids; ``packed`` holds each document's
+    """The bytes of a shard, and its number of token ids; ``packed`` holds each document's
     ids, the end id included."""
     import numpy as np
 
@@ -165,7 +185,7 @@ def to_bytes(packed: list[bytes], doc_ids: list[int | None], first: int) -> tupl
     last[np.cumsum(sizes) - 1] = True
     grammar, symbols, last = compress(ids, last, first)
     ends = np.flatnonzero(last) + 1
-    width = 2 if first + len(grammar.rules) <= 1 << 16 else 4
+    width = next(w for w in (2, 3, 4) if first + len(grammar.rules) <= 1 << 8 * w)
     parts = [
         np.array([len(packed), len(ids), len(symbols), len(grammar.rules), first, width], "<u8"),
         grammar.rules.astype("<u4"),
@@ -174,13 +194,13 @@ def to_bytes(packed: list[bytes], doc_ids: list[int | None], first: int) -> tupl
         np.array([x is not None for x in doc_ids], "<u1"),
         np.concatenate([[0], ends]).astype("<u8"),
         np.concatenate([[0], np.cumsum(sizes)]).astype("<u8"),
-        symbols.astype(f"<u{width}"),
+        symbols.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width],
     ]
     return MAGIC + b"".join(p.tobytes() for p in parts), len(ids)
 
 
 class ShardFile:
-    """Random access to the documents of a shard file's bytes."""
+    """Random access to the documents of a shard, given its bytes."""
 
     def __init__(self, data: bytes) -> None:
         import numpy as np
@@ -201,7 +221,9 @@ class ShardFile:
         ids, known = take("<i8", docs), take("<u1", docs)
         self.doc_ids = [int(x) if k else None for x, k in zip(ids, known)]
         self.first_symbol, self.first_token = take("<u8", docs + 1), take("<u8", docs + 1)
-        self.symbols = take(f"<u{width}", symbols)
+        wide = np.zeros((symbols, 4), np.uint8)
+        wide[:, :width] = take("<u1", symbols * width).reshape(-1, width)
+        self.symbols = wide.view("<u4").ravel()
 
     def document(self, i: int) -> np.ndarray:
         """Token ids of the i-th document."""
@@ -234,6 +256,9 @@ class ShardFile:
         return self.grammar.expand(part[a:b])[start - skip : stop - skip]
 
 
+MANIFEST = "file int, path string, offset long, bytes long, docs long, start long, tokens long"
+
+
 def write_shards(
     docs: DataFrame,
     folder: str | None = None,
@@ -241,15 +266,17 @@ def write_shards(
     text_col: str = "text",
     vocabulary: str | None = None,
     end_id: int = 0,
-    shard_bytes: int = SHARD_BYTES,
+    shard_ids: int = SHARD_IDS,
+    file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
-    """Writes shard files and returns their manifest (shard, path, docs, tokens, bytes).
+    """Writes files of token shards and returns their manifest, one row a shard (file,
+    path, offset, bytes, docs, start, tokens); start counts the ids before it in its file.
 
-    Documents are in ascending id order within and over shards, null ids first.
+    Documents are in ascending id order within and over files, null ids first.
     Null texts count as empty and hold the end id alone.  A task that runs twice
     writes two files, of which the manifest names the one whose task counted.
-    Memory of a task is bounded by its shard: ``shard_bytes`` of text on
-    average, and by the longest text.
+    A task writes one file and holds one shard of it: about ``shard_ids`` ids, or
+    the longest text; many rows of one id make a long file, and no large memory.
     """
     import numpy as np
 
@@ -260,40 +287,57 @@ def write_shards(
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     end = np.array([end_id], "<u4").tobytes()
 
+    def shards(batches: Iterator) -> Iterator[tuple[list, list]]:
+        coder = opened(library_coder, path)
+        packed: list[bytes] = []
+        ids: list[int | None] = []
+        size = 0
+        for whole in batches:
+            for b in small_batches(whole):
+                for doc, p in zip(b.column(0).to_pylist(), coder.pack(b.column(1).to_pylist())):
+                    packed.append(p + end)
+                    ids.append(doc)
+                    size += len(p) + 4
+                    if size >= 4 * shard_ids:
+                        yield packed, ids
+                        packed, ids, size = [], [], 0
+        if ids:
+            yield packed, ids
+
     def run(batches: Iterator) -> Iterator:
         import uuid
+        from itertools import chain
 
         import pyarrow as pa
         from pyspark import TaskContext
 
-        coder = opened(library_coder, path)
-        packed: list[bytes] = []
-        ids: list[int | None] = []
-        for whole in batches:
-            for b in small_batches(whole):
-                packed += [p + end for p in coder.pack(b.column(1).to_pylist())]
-                ids += b.column(0).to_pylist()
-        if not ids:
+        found = shards(batches)
+        one = next(found, None)
+        if one is None:
             return
-        shard = TaskContext.get().partitionId()
-        data, tokens = to_bytes(packed, ids, first_nonterminal(path))
         fs, root = open_filesystem(folder)
         fs.create_dir(root, recursive=True)
-        name = f"shard-{shard:06d}-{uuid.uuid4().hex[:8]}.pair"
+        number = TaskContext.get().partitionId()
+        name = f"tokens-{number:06d}-{uuid.uuid4().hex[:8]}.pair"
+        rows, offset, start = [], 0, 0
         with fs.open_output_stream(f"{root}/{name}.part") as out:
-            out.write(data)
+            for packed, ids in chain([one], found):
+                data, tokens = to_bytes(packed, ids, first_nonterminal(path))
+                out.write(data)
+                rows.append((number, f"{folder}/{name}", offset, len(data), len(ids), start, tokens))
+                offset, start = offset + len(data), start + tokens
         fs.move(f"{root}/{name}.part", f"{root}/{name}")
-        row = {"shard": [shard], "path": [f"{folder}/{name}"], "docs": [len(ids)], "tokens": [tokens], "bytes": [len(data)]}
-        yield pa.RecordBatch.from_pydict(row, schema=pa.schema([("shard", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64()), ("bytes", pa.int64())]))
+        kinds = [pa.int32(), pa.string(), *[pa.int64()] * 5]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [c.split()[0] for c in MANIFEST.split(", ")])
 
-    parts = max(8, -(-total // shard_bytes))
+    parts = max(LEAST_FILES, -(-total // file_bytes))
     manifest = (
         src.repartitionByRange(parts, F.asc_nulls_first("doc_id"))
         .sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
-        .mapInArrow(run, "shard int, path string, docs long, tokens long, bytes long")
+        .mapInArrow(run, MANIFEST)
     )
     manifest.write.parquet(f"{folder}/manifest")
-    return spark.read.parquet(f"{folder}/manifest")
+    return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
 def first_nonterminal(path: str) -> int:
@@ -302,33 +346,33 @@ def first_nonterminal(path: str) -> int:
     return opened(Vocabulary, path).size
 
 
-def read_shards(manifest: DataFrame) -> DataFrame:
-    """(shard, doc_id, start, n_tokens, ids_crc32) of the documents of all shards,
-    read back from the files and decoded; start counts within the shard."""
+def token_index(manifest: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of the documents of all shards, read back
+    from the files and decoded; start counts the ids of all documents before.
+
+    Only one row a file is summed in order, and the shards carry their starts
+    into the read, so the documents themselves are not joined or moved.
+    """
+    files = manifest.groupBy("file").agg(F.sum("tokens").alias("tokens"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    bases = files.select("file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
+    shards = manifest.join(bases, "file").select("path", "offset", "bytes", (F.col("base") + F.col("start")).alias("start"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        schema = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
         for b in batches:
-            for shard, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for path, offset, size, start in zip(*(c.to_pylist() for c in b.columns)):
                 fs, at = open_filesystem(path)
-                with fs.open_input_stream(at) as f:
-                    file = ShardFile(f.read())
+                with fs.open_input_file(at) as f:
+                    f.seek(offset)
+                    shard = ShardFile(f.read(size))
                 rows = []
-                for i, ids in file.documents():
-                    rows.append((shard, file.doc_ids[i], int(file.first_token[i]), len(ids), zlib.crc32(ids.astype("<u4"))))
+                for i, ids in shard.documents():
+                    rows.append((shard.doc_ids[i], start + int(shard.first_token[i]), len(ids), zlib.crc32(ids.astype("<u4"))))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    spread = manifest.select("shard", "path").repartition(max(1, manifest.count()))
-    return spread.mapInArrow(run, "shard int, doc_id long, start long, n_tokens long, ids_crc32 long")
-
-
-def token_index(manifest: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) over all shards: start counts the ids of
-    all documents before.  Only the manifest, one row a shard, is summed in order."""
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = manifest.select("shard", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
-    return read_shards(manifest).join(starts, "shard").select(
-        "doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32"
-    )
+    count = manifest.count()
+    spread = shards.repartition(max(1, min(count, LEAST_FILES), count // SHARDS_A_TASK))
+    return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")

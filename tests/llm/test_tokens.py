@@ -97,14 +97,46 @@ def test_grammar_leaves_no_frequent_pair():
     last[999::1000] = last[-1] = True
     grammar, symbols, ends = repair.compress(ids, last, 50257)
     assert grammar.expand(symbols).tolist() == ids.tolist()
+    symbols = symbols.astype(np.int64)
     left, right = symbols[:-1][~ends[:-1]], symbols[1:][~ends[:-1]]
     other = left != right
     assert np.unique(left[other] << 32 | right[other], return_counts=True)[1].max() < repair.LEAST_COUNT
     assert len(grammar.rules) > 1500 and np.count_nonzero(symbols == 8000) < 2 * repair.LEAST_COUNT
 
 
+def test_grammar_equals_plain_pairing_on_runs_and_phrases(monkeypatch):
+    """Down to pairs that occur twice, a run of one id and a repeated phrase shrink as
+    when the most frequent pair is replaced again and again."""
+    monkeypatch.setattr(repair, "LEAST_COUNT", 2)
+
+    def plain(ids):
+        seq, new = list(ids), 60_000
+        while True:
+            counts, skip = {}, -1
+            for i, pair in enumerate(zip(seq, seq[1:])):
+                if pair[0] == pair[1] and skip == i:
+                    continue
+                skip = i + 1 if pair[0] == pair[1] else -1
+                counts[pair] = counts.get(pair, 0) + 1
+            if not counts or max(counts.values()) < 2:
+                return len(seq)
+            best, out, i = max(counts, key=counts.get), [], 0
+            while i < len(seq):
+                hit = tuple(seq[i : i + 2]) == best
+                out.append(new if hit else seq[i])
+                i += 2 if hit else 1
+            seq, new = out, new + 1
+
+    for ids in ([7] * 4000 + [0], list(range(1, 41)) * 25 + [0], [5, 5, 6] * 300 + [0]):
+        last = np.zeros(len(ids), bool)
+        last[-1] = True
+        grammar, symbols, _ = repair.compress(np.array(ids), last, 50257)
+        assert grammar.expand(symbols).tolist() == ids
+        assert len(symbols) <= plain(ids) + 3
+
+
 def test_shards_on_spark(spark, library):
-    manifest = repair.write_shards(documents(spark), shard_bytes=100_000)
+    manifest = repair.write_shards(documents(spark), shard_ids=20_000, file_bytes=100_000)
     got = repair.token_index(manifest).collect()
     order = sorted(range(len(TEXTS)), key=lambda k: (IDS[k] is not None, IDS[k] or 0, TEXTS[k] is not None, TEXTS[k] or ""))
     want, start = [], 0
