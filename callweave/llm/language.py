@@ -9,7 +9,6 @@ sum decides.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import TYPE_CHECKING
@@ -27,7 +26,7 @@ DOCS_A_LANGUAGE = 4_000  # documents a language that are learned from, picked by
 LEAST_RATE = 2e-5  # an n-gram with a smaller share of its language's is left out: at most 50,000 remain
 PEER_SHARE = 0.25  # of the n-gram's rate in the language where it is most common
 SLOTS, HASHES = 1 << 20, 3
-LETTER = re.compile(r"[^\W\d_]")
+MOST_LANGUAGES = 256  # filters of that many take 32 MB; more values of ``lang`` are refused
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)  # odd 64-bit mixing constants
 
 
@@ -82,24 +81,23 @@ class Filters:
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and its share of the corrected sums; ``und`` and 0 where the text
         is null or has no letter.  Ties go to the language with more training rows."""
-        if text is None or not self.languages or not LETTER.search(text):
+        if text is None or not self.languages or not any(map(str.isalpha, text)):
             return "und", 0.0
         sums, _ = self.counts(text)
         best = int(sums.argmax())
         return self.languages[best], float(sums[best] / sums.sum()) if sums.sum() > 0 else 0.0
 
 
-def build(languages: list[str], rows: list[tuple[str, int]]) -> Filters:
-    """Filters that hold each (language, n-gram key) of ``rows``."""
+def build(languages: list[str], lang: list[str], keys: np.ndarray) -> Filters:
+    """Filters in which the language lang[i] holds the n-gram keys[i]."""
     import numpy as np
 
     masks = np.zeros(((len(languages) + 63) // 64 or 1, SLOTS), np.uint64)
     out = Filters(languages, masks, np.zeros(len(languages)))
     number = {l: i for i, l in enumerate(languages)}
-    lang = np.array([number[l] for l, _ in rows], np.int64)
-    keys = np.array([k for _, k in rows], np.uint64)
+    of, keys = np.array([number[l] for l in lang], np.int64), np.asarray(keys).astype(np.uint64)
     for i in range(len(languages)):
-        for s in out.slots(keys[lang == i]):
+        for s in out.slots(keys[of == i]):
             masks[i // 64][s] |= np.uint64(1 << i % 64)
         fill = np.count_nonzero(masks[i // 64] & np.uint64(1 << i % 64)) / SLOTS
         out.false_rate[i] = fill**HASHES
@@ -111,14 +109,17 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     N-grams are counted in Spark over about ``most`` documents a language; the
     driver gets those of LEAST_RATE or more, hence at most 1 / LEAST_RATE for
-    each language.
+    each of at most MOST_LANGUAGES languages.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where((fold("doc_id") != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    found = sorted(((r[1], r[0]) for r in rows.groupBy("lang").count().collect()), key=lambda x: (-x[0], x[1]))
+    counted = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(counted) > MOST_LANGUAGES:
+        raise ValueError(f"column {lang_col} has more than {MOST_LANGUAGES} values; filters for so many would not fit")
+    found = sorted(((r[1], r[0]) for r in counted), key=lambda x: (-x[0], x[1]))
     languages = [l for _, l in found]
     if not languages:
-        return build([], [])
+        return build([], [], [])
     part = F.create_map(*[F.lit(x) for n, l in found for x in (l, min(1 << 30, int((1 << 30) * most / n)))])
     sample = rows.where(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) < part[F.col("lang")])
 
@@ -141,9 +142,9 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     share = F.create_map(*[F.lit(x) for l, n in totals.items() for x in (l, float(n))]) if totals else None
     rates = counts.select("lang", "k", (F.col("n") / share[F.col("lang")]).alias("rate")) if totals else counts.select("lang", "k", F.lit(0.0).alias("rate"))
     peers = rates.groupBy("k").agg(F.max("rate").alias("most"))
-    kept = rates.where(F.col("rate") >= LEAST_RATE).join(peers, "k").where(F.col("rate") >= PEER_SHARE * F.col("most")).select("lang", "k").collect()
+    kept = rates.where(F.col("rate") >= LEAST_RATE).join(peers, "k").where(F.col("rate") >= PEER_SHARE * F.col("most")).select("lang", "k").toArrow()
     counts.unpersist()
-    return build(languages, [(r[0], r[1]) for r in kept])
+    return build(languages, kept.column("lang").to_pylist(), kept.column("k").to_numpy())
 
 
 def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -152,7 +153,7 @@ def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col
     A null text, one without letters, or an empty model gives ``und`` and score
     0.  Equal texts get equal values; rows may repeat; a null id counts as held
     out; other columns are ignored; an empty table gives no rows.  The filters
-    (8 MB for up to 64 languages, a fixed size) are broadcast.
+    (8 MB for up to 64 languages, 32 MB at most) are broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 

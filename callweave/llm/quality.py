@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import operator
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import TYPE_CHECKING
@@ -26,7 +27,18 @@ if TYPE_CHECKING:
 MOST_LABELLED = 20_000  # labelled rows that are learned from, picked by a hash of the id
 PAIRS_EACH = 8  # preference pairs for each labelled document
 THRESHOLD = 0.3
-SECTION = 1 << 20  # bytes; longer texts are described section by section
+SECTION = 1 << 20  # bytes; longer texts are read part by part, which changes no feature
+SPACE = re.compile(rb"\s")
+
+
+def _sections(raw: bytes) -> Iterator[bytes]:
+    """The bytes cut between words into parts of about SECTION bytes, so that no list of all words is held."""
+    at = 0
+    while at < len(raw):
+        cut = SPACE.search(raw, at + SECTION)
+        end = cut.start() if cut else len(raw)
+        yield raw[at:end]
+        at = end
 
 
 def features(text: str | None) -> np.ndarray:
@@ -35,20 +47,16 @@ def features(text: str | None) -> np.ndarray:
 
     raw = (text or "").encode("utf-8", "replace")
     bytes_seen = np.zeros(256, np.int64)
-    words = repeats = shouts = marked = distinct = letters = 0
-    at = 0
-    while at < len(raw):
-        end = at + SECTION
-        if end < len(raw):
-            cut = raw.rfind(b" ", at, end)
-            end = cut if cut > at else end
-        part = raw[at:end]
-        at = end
+    words = repeats = shouts = letters = 0
+    distinct: set[bytes] = set()
+    before = None
+    for part in _sections(raw):
         bytes_seen += np.bincount(np.frombuffer(part, np.uint8), minlength=256)
         ws = part.split()
         words += len(ws)
-        distinct += len(set(ws))
-        repeats += sum(map(operator.eq, ws, ws[1:]))
+        distinct.update(ws)
+        repeats += sum(map(operator.eq, ws, ws[1:])) + (ws[:1] == [before])
+        before = ws[-1] if ws else before
         shouts += sum(map(bytes.isupper, ws))
         letters += sum(map(bytes.isalpha, ws))
     marked = words - letters
@@ -69,7 +77,7 @@ def features(text: str | None) -> np.ndarray:
             math.log1p(shouts),
             shouts / n * 5,
             marked / n * 5,
-            distinct / n,
+            len(distinct) / n,
             size / n / 10,
         ],
     ].astype(np.float64)
@@ -94,6 +102,14 @@ class Ranking:
         return 1 / (1 + np.exp(-z))
 
 
+def gradient(w: np.ndarray, differences: np.ndarray, penalty: float) -> np.ndarray:
+    """Of the mean of log(1 + exp(-d.w)) over the feature differences d, and penalty / 2 of |w|^2."""
+    import numpy as np
+
+    loss = 1 / (1 + np.exp(np.clip(differences @ w, -30, 30)))
+    return penalty * w - (loss[:, None] * differences).mean(0)
+
+
 def fit(x: np.ndarray, y: np.ndarray, seed: int = 7, steps: int = 400, penalty: float = 1e-4) -> Ranking:
     """Learns from features and 0/1 labels.  With one class only there is no pair:
     all scores are then one value, above the threshold unless every label is 0."""
@@ -112,8 +128,7 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 7, steps: int = 400, penalty:
     for step in range(1, steps + 1):
         pick = rng.integers(0, n, 4096)
         d = z[diff_of[0][pick]] - z[diff_of[1][pick]]
-        loss = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))
-        grad = penalty * w - (loss[:, None] * d).mean(0)
+        grad = gradient(w, d, penalty)
         mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad**2
         w -= 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     weights = w / spread
@@ -173,7 +188,12 @@ def score(docs: DataFrame, ranking: Ranking, id_col: str = "doc_id", text_col: s
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are predicted good, with all their columns."""
+    """The rows of ``docs`` that are predicted good, with all their columns.
+
+    Each row is judged by its text alone: null and empty texts as texts without
+    words, equal texts alike, whatever their ids; other columns, of any name,
+    play no part; an empty table stays empty.
+    """
     ranking = learn(docs, labels)
 
     @F.pandas_udf("double")

@@ -78,5 +78,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-#: None of these can be said in SQL; tests/llm holds them against brute force.
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+#: The others can't be said in SQL (models, tokenizers, CRC-32, file formats); tests/llm holds them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op7_winnowing_decontamination": f"""
+WITH doc AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+item AS (SELECT CAST(item_id AS VARCHAR) AS id, {_WORDS} AS w FROM benchmark),
+sized AS (SELECT id, w, least(10, len(w)) AS m FROM item WHERE len(w) > 0),
+item_window AS (SELECT DISTINCT id, m, w[i : i + m - 1] AS g FROM (SELECT id, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM sized)),
+doc_window AS (SELECT r, m, i, w[i : i + m - 1] AS g
+    FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM doc, (SELECT DISTINCT m FROM sized) WHERE len(w) >= m)),
+hit AS (SELECT r, i, m, id FROM doc_window JOIN item_window USING (m, g)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS p FROM hit) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, id FROM hit WHERE id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)""",
+}

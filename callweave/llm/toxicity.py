@@ -85,6 +85,46 @@ class Severity:
         return 1 / (1 + np.exp(-np.clip(z - self.thresholds, -30, 30)))
 
 
+PENALTY = 1e-4  # on squared weights
+
+
+def cuts_of(p: np.ndarray, width: int) -> np.ndarray:
+    """Thresholds in ascending order, from the first one and the logs of the gaps after it."""
+    import numpy as np
+
+    return p[width] + np.r_[0, np.cumsum(np.exp(p[width + 1 :]))]
+
+
+def gradient(p: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Gradient of the mean negative log-likelihood of the grades ``y`` and the penalty.
+
+    ``p`` holds the weights, the first threshold and the logs of the gaps.
+    """
+    import numpy as np
+
+    width = x.shape[1]
+    gaps, cuts = np.exp(p[width + 1 :]), cuts_of(p, width)
+    z = x @ p[:width]
+    upper = np.c_[np.ones(len(y)), _logistic(z[:, None] - cuts), np.zeros(len(y))]  # P(grade >= k)
+    rows = np.arange(len(y))
+    here = np.maximum(upper[rows, y] - upper[rows, y + 1], 1e-9)
+    slope = upper * (1 - upper)
+    # d log P / dz, and d log P / d cut_k
+    dz = (slope[rows, y] - slope[rows, y + 1]) / here
+    dcut = np.zeros((len(y), GRADES + 2))
+    np.add.at(dcut, (rows, y), -slope[rows, y] / here)
+    np.add.at(dcut, (rows, y + 1), slope[rows, y + 1] / here)
+    each = dcut[:, 1:-1].mean(0)
+    later = np.cumsum(each[::-1])[::-1]  # a gap moves its own cut and all after it
+    return np.r_[PENALTY * p[:width] - (x * dz[:, None]).mean(0), -later[0], -later[1:] * gaps]
+
+
+def _logistic(z: np.ndarray) -> np.ndarray:
+    import numpy as np
+
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 def fit(vectors: list[dict[int, float]], grades: np.ndarray, width: int, seed: int = 7, steps: int = 800) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by gradient steps on the cumulative-link likelihood."""
     import numpy as np
@@ -96,29 +136,14 @@ def fit(vectors: list[dict[int, float]], grades: np.ndarray, width: int, seed: i
     for row, v in enumerate(vectors):
         x[row, list(v)] = list(v.values())
     rng = np.random.default_rng(seed)
-    p = np.r_[np.zeros(width), 1.0, 0.0, 0.0]  # weights, first threshold, logs of the gaps
+    p = np.r_[np.zeros(width), 1.0, 0.0, 0.0]
     mean, square = np.zeros_like(p), np.zeros_like(p)
-    logistic = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for step in range(1, steps + 1):
         pick = rng.integers(0, len(x), min(2048, 4 * len(x)))
-        xs, y = x[pick], grades[pick]
-        gaps = np.exp(p[width + 1 :])
-        cuts = p[width] + np.r_[0, np.cumsum(gaps)]
-        z = xs @ p[:width]
-        upper = np.c_[np.ones(len(y)), logistic(z[:, None] - cuts), np.zeros(len(y))]  # P(grade >= k)
-        rows = np.arange(len(y))
-        here = np.maximum(upper[rows, y] - upper[rows, y + 1], 1e-9)
-        slope = upper * (1 - upper)
-        # d log P / dz, and d log P / d cut_k
-        dz = (slope[rows, y] - slope[rows, y + 1]) / here
-        dcut = np.zeros((len(y), GRADES + 2))
-        np.add.at(dcut, (rows, y), -slope[rows, y] / here)
-        np.add.at(dcut, (rows, y + 1), slope[rows, y + 1] / here)
-        per_cut = dcut[:, 1:-1].mean(0)
-        grad = np.r_[1e-4 * p[:width] - (xs * dz[:, None]).mean(0), -per_cut.sum(), -per_cut[1:].sum() * gaps[0], -per_cut[2] * gaps[1]]
+        grad = gradient(p, x[pick], grades[pick])
         mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad**2
         p -= 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    return p[:width], p[width] + np.r_[0, np.cumsum(np.exp(p[width + 1 :]))]
+    return p[:width], cuts_of(p, width)
 
 
 def best_bar(chances: np.ndarray, toxic: np.ndarray) -> float:
@@ -234,7 +259,12 @@ def score(docs: DataFrame, model: Severity, id_col: str = "doc_id", text_col: st
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
+    """The rows of ``docs`` that are not predicted toxic, with all their columns.
+
+    Each row is judged by its text alone: null and empty texts as texts without
+    words, equal texts alike, whatever their ids; other columns, of any name,
+    play no part; an empty table stays empty.
+    """
     model = learn(docs, labels)
 
     @F.pandas_udf("double")

@@ -112,18 +112,104 @@ def test_quality_on_held_out_rows(spark, tables):
     assert scored.count() == docs.count()
 
 
-def test_toxicity_on_labelled_rows(spark, tables):
-    docs, labels = tables
+def plain_features(text):
+    """The features of quality.features in one pass over all words, without sections."""
+    raw = (text or "").encode()
+    ws, n_bytes = raw.split(), max(1, len(raw))
+    n = max(1, len(ws))
+    marks = [sum(raw.count(bytes([c])) for c in [k]) for k in [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]]
+    repeats, shouts = sum(a == b for a, b in zip(ws, ws[1:])), sum(w.isupper() for w in ws)
+    upper, digits, wide = (sum(raw.count(bytes([c])) for c in k) for k in (range(65, 91), range(48, 58), range(128, 256)))
+    return [
+        *np.log1p(marks), *(np.array(marks) / n_bytes * 20), upper / n_bytes * 5, digits / n_bytes * 5, wide / n_bytes, raw.count(b"\n") / n_bytes * 50, np.log1p(n_bytes) / 5,
+        np.log1p(repeats), repeats / n * 5, np.log1p(shouts), shouts / n * 5, sum(not w.isalpha() for w in ws) / n * 5, len(set(ws)) / n, n_bytes / n / 10,
+    ]
+
+
+@pytest.mark.parametrize("section", [1, 7, 1000, 1 << 20])
+def test_quality_features_do_not_depend_on_sections(monkeypatch, section):
+    monkeypatch.setattr(quality, "SECTION", section)
+    for t in TEXTS if section > 100 else TEXTS[:16]:
+        assert np.allclose(quality.features(t), plain_features(t)), t
+
+
+def test_quality_features_of_a_text_above_one_section():
+    text = " ".join(f"word{i % 5000}" for i in range(150_000)) * 2
+    assert len(text) > 2 * quality.SECTION and np.allclose(quality.features(text), plain_features(text))
+    assert np.allclose(quality.features("x" * (3 << 20)), plain_features("x" * (3 << 20)))
+
+
+def by_differences(loss, p, step=1e-5):
+    """Gradient of ``loss`` by central differences."""
+    return np.array([(loss(p + step * e) - loss(p - step * e)) / (2 * step) for e in np.eye(len(p))])
+
+
+def test_pairwise_gradient():
+    rng = np.random.default_rng(1)
+    d, w = rng.normal(size=(40, 6)), rng.normal(size=6)
+    loss = lambda v: sum(np.log(1 + np.exp(-sum(x * y for x, y in zip(row, v)))) for row in d) / len(d) + 0.05 * (v @ v) / 2
+    assert np.allclose(quality.gradient(w, d, 0.05), by_differences(loss, w), atol=1e-6)
+
+
+def test_quality_bar_is_the_quantile_of_the_bad_share():
+    rng = np.random.default_rng(2)
+    y = (rng.random(400) < 0.7).astype(int)
+    x = np.c_[y + rng.normal(0, 0.7, 400), rng.normal(size=400)]
+    ranking = quality.fit(x, y, steps=100)
+    scores = ranking.score(x)
+    assert abs(np.mean(scores < quality.THRESHOLD) - np.mean(y == 0)) < 0.01
+    order = np.argsort(ranking.raw(x))
+    assert (np.diff(scores[order]) >= 0).all() and np.mean(scores[y == 1]) > np.mean(scores[y == 0])
+
+
+def test_labelled_rows_are_bounded(spark):
+    """Also where one id has very many rows, in the labels or in the documents."""
+    from callweave.llm.labelled import labelled_texts
+
+    docs = spark.range(3000).selectExpr("id doc_id", "concat('text ', id) text")
+    labels = spark.range(3000).selectExpr("id doc_id", "int(id % 2) quality")
+    hot = next(i for i in range(100) if i and spark.range(1).select(fold(F.lit(i)).alias("f")).first()[0])
+    many = spark.range(100_000).selectExpr(f"{hot}L doc_id", "1 quality")
+    assert labelled_texts(docs, labels.unionByName(many), "quality", 1000).count() < 1200
+    texts = spark.range(50_000).selectExpr(f"{hot}L doc_id", "'the same text' text")
+    other = spark.range(50_000).selectExpr(f"{hot}L doc_id", "concat('text ', id) text")
+    assert labelled_texts(docs.unionByName(texts), labels, "quality", 3000).count() <= 3000
+    assert labelled_texts(docs.unionByName(other), labels, "quality", 3000).count() < 3300
+    assert labelled_texts(docs, labels, "quality", 5000).count() == labels.where(fold("doc_id") != 0).count()
+
+
+def test_toxicity_on_held_out_rows(spark, tables):
+    """Learned outside fold 0, judged on fold 0 alone, in all documents of the larger table."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.learn(docs, labels)
     assert list(model.thresholds) == sorted(model.thresholds)
-    seen = toxicity.score(docs, model).join(labels.withColumnRenamed("toxic", "y"), "doc_id")
-    rows = seen.select("y", "toxic", "severity").collect()
-    assert np.mean([(r["y"] == 1) == r["toxic"] for r in rows]) > 0.9
-    assert np.mean([r["severity"] for r in rows if r["y"]]) > 5 * np.mean([r["severity"] for r in rows if not r["y"]])
+    held = docs.join(labels.where(fold("doc_id") == 0).select("doc_id", F.col("toxic").alias("y")), "doc_id")
+    rows = toxicity.score(held.drop("y"), model).join(held.select("doc_id", "y"), "doc_id").select("y", "toxic", "severity").collect()
+    bad, good = [r for r in rows if r["y"]], [r for r in rows if not r["y"]]
+    assert len(bad) > 40 and np.mean([r["toxic"] for r in bad]) > 0.85
+    assert np.mean([r["toxic"] for r in good]) < 0.05
+    assert np.mean([r["severity"] for r in bad]) > 5 * np.mean([r["severity"] for r in good])
+
+
+def test_ordinal_gradient_equals_differences():
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(30, 4)), rng.integers(0, toxicity.GRADES + 1, 30)
+    p = np.r_[rng.normal(size=4), 0.3, -0.2, 0.4]
+
+    def loss(q):
+        cuts = [q[4], q[4] + np.exp(q[5]), q[4] + np.exp(q[5]) + np.exp(q[6])]
+        total = 0.0
+        for row, grade in zip(x, y):
+            above = [1.0] + [1 / (1 + np.exp(c - row @ q[:4])) for c in cuts] + [0.0]
+            total -= np.log(above[grade] - above[grade + 1])
+        return total / len(x) + toxicity.PENALTY * (q[:4] @ q[:4]) / 2
+
+    assert np.allclose(toxicity.gradient(p, x, y), by_differences(loss, p), atol=1e-6)
 
 
-def test_ordinal_gradient():
-    """The fit separates three ordered grades that a count decides."""
+def test_ordinal_fit():
+    """The fit separates ordered grades that a count decides."""
     rng = np.random.default_rng(0)
     counts = rng.integers(0, 12, 600)
     vectors = [{0: float(np.log1p(n)), 1: float(rng.random())} for n in counts]
@@ -133,6 +219,47 @@ def test_ordinal_gradient():
     assert np.mean((z[:, None] > cuts).sum(1) == grades) > 0.9
 
 
+def plain_grams(text):
+    raw = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in f" {text.lower()} ".encode())
+    return [raw[i : i + n] for n in (3, 4) for i in range(len(raw) - n + 1) if 32 not in raw[i + 1 : i + n - 1]]
+
+
+def test_language_equals_sets_of_ngrams(spark, tables):
+    """Dictionaries and sets instead of Bloom filters: the same sums but for rare false positives."""
+    docs, _ = tables
+    filters = language.learn(docs)
+    counts = {}
+    for r in docs.where((fold("doc_id") != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()).collect():
+        of = counts.setdefault(r["lang"], {})
+        for g in plain_grams(r["text"]):
+            of[g] = of.get(g, 0) + 1
+    totals = {l: sum(c.values()) for l, c in counts.items()}
+    peers = {}
+    for l, c in counts.items():
+        for g, n in c.items():
+            peers[g] = max(peers.get(g, 0.0), n / totals[l])
+    sets = {l: {g for g, n in c.items() if n / totals[l] >= language.LEAST_RATE and n / totals[l] >= language.PEER_SHARE * peers[g]} for l, c in counts.items()}
+    assert set(filters.languages) == set(sets)
+    for r in docs.where("text is not null").limit(150).collect():
+        grams = plain_grams(r["text"])
+        want = {l: sum(g in s for g in grams) for l, s in sets.items()}
+        got, n = filters.counts(r["text"])
+        assert n == len(grams)
+        for l, x in zip(filters.languages, got):
+            assert abs(x - want[l]) <= 2 + 0.01 * n, (r["text"][:60], l)
+        if n:
+            best = max(want, key=want.get)
+            assert want[filters.predict(r["text"])[0]] >= want[best] - 2 - 0.01 * n
+
+
+def test_language_letters_and_many_languages(spark):
+    filters = language.build(["en"], ["en"], np.array([1]))
+    assert [filters.predict(t)[0] for t in ("²½①Ⅷ", "12_34", "", None, "a", "日", "ª")] == ["und"] * 4 + ["en"] * 3
+    docs = spark.range(3000).selectExpr("id doc_id", "concat('l', id) lang", "'some text' text")
+    with pytest.raises(ValueError, match="more than"):
+        language.learn(docs)
+
+
 def test_language_on_held_out_rows(spark, tables):
     docs, _ = tables
     said = language.identify(docs, language.learn(docs)).where("held_out").join(docs, "doc_id")
@@ -141,8 +268,7 @@ def test_language_on_held_out_rows(spark, tables):
 
 def test_bloom_false_positives_are_corrected():
     rng = np.random.default_rng(0)
-    rows = [("a", int(k)) for k in rng.integers(0, 2**40, 150_000)] + [("b", int(k)) for k in rng.integers(0, 2**40, 1000)]
-    filters = language.build(["a", "b"], rows)
+    filters = language.build(["a", "b"], ["a"] * 150_000 + ["b"] * 1000, rng.integers(0, 2**40, 151_000))
     assert 1e-3 < filters.false_rate[0] < 0.1 and filters.false_rate[1] < 1e-6
     keys = rng.integers(0, 2**40, 20_000).astype(np.uint64)
     places = filters.slots(keys)

@@ -150,3 +150,28 @@ def test_keep_uncontaminated_keeps_columns_and_repeats(spark):
     docs = documents(spark, [PASSAGE, "clean", "clean", None], [1, 2, 2, None])
     kept = winnow.keep_uncontaminated(docs, spark.createDataFrame(ITEMS, "item_id int, text string"))
     assert kept.columns == docs.columns and pairs(kept, "doc_id", "text") == [(None, None), (2, "clean"), (2, "clean")]
+
+
+def test_decontamination_query_equals_its_sql(spark):
+    import duckdb
+
+    from callweave.llm import queries
+
+    d, name = "/root/testdata/sf0.001", "op7_winnowing_decontamination"
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
+    want = con.execute(queries.ORACLE_SQL[name]).fetchall()
+    got = [tuple(r) for r in queries.QUERIES[name](spark, d).select("doc_id", *COLUMNS).collect()]
+    assert sorted(got) == sorted(want) and any(r[2] for r in got)
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_decontamination_without_broadcasts(spark, monkeypatch, most):
+    """Tables beyond the bound of a broadcast are joined by shuffles, with the same result."""
+    from callweave.llm import storage
+
+    monkeypatch.setattr(storage, "MOST_ROWS", most)
+    bench = spark.createDataFrame(ITEMS, "item_id int, text string")
+    got = winnow.decontaminate(documents(spark, DOCS), bench).orderBy("doc_id").collect()
+    assert [tuple(r[c] for c in COLUMNS) for r in got] == brute(DOCS, ITEMS)
