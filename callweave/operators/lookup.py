@@ -10,8 +10,8 @@ MOST_CODES = 20_000  # rows of a code table that is broadcast; there are some hu
 
 
 def one_country_per_code(codes: DataFrame) -> DataFrame:
-    """Codes that countries share go to the first country by name."""
-    return codes.groupBy("country_code").agg(F.min("country").alias("country"))
+    """Codes that countries share go to the first country by name; rows without a code are left out."""
+    return codes.where("country_code <> ''").groupBy("country_code").agg(F.min("country").alias("country"))
 
 
 def by_length(codes: DataFrame) -> dict[int, DataFrame] | None:

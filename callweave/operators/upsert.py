@@ -16,12 +16,13 @@ def handed_over(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def last_wins(target: DataFrame, updates: list[DataFrame], keys: list[str]) -> DataFrame:
-    """``target`` after loading ``updates`` in order: a key's last row stays.  Null
-    keys are values like any other, as in a keyed document store."""
+def last_wins(target: DataFrame, updates: list[DataFrame], keys: list[str], order: str) -> DataFrame:
+    """``target`` after loading ``updates`` in order: a key's last row stays, within a
+    load the one with the largest ``order`` (a line number, say; nulls come first).
+    Null keys are values like any other, as in a keyed document store."""
     steps = [df.withColumn("__seq", F.lit(i)) for i, df in enumerate([target, *updates])]
     every = reduce(DataFrame.unionByName, steps)
-    newest = Window.partitionBy(*keys).orderBy(F.desc("__seq"))
+    newest = Window.partitionBy(*keys).orderBy(F.desc("__seq"), F.desc_nulls_last(order))
     return every.withColumn("__rank", F.row_number().over(newest)).where("__rank = 1").drop("__seq", "__rank")
 
 
@@ -39,7 +40,8 @@ def first_wins(target: DataFrame | None, rows: DataFrame, uniques: list[list[str
         firsts = left
         for i, k in enumerate(uniques):
             whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in k])
-            rank = F.row_number().over(Window.partitionBy(*k).orderBy(order))
+            # rows without a whole key are ranked alone, so that they do not meet in one task
+            rank = F.row_number().over(Window.partitionBy(*k, F.when(~whole, F.col(order))).orderBy(order))
             firsts = firsts.withColumn(f"__rank{i}", F.when(whole, rank).otherwise(1))
         won = firsts.where(" and ".join(f"__rank{i} = 1" for i in range(len(uniques)))).select(*rows.columns)
         won = handed_over(won, "inserted")

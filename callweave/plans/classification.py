@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import classify as c
+from ..sources import fixtures as fx
 from .catalogue import on_smsc, on_usage
 
 HOME = "roaming_destination_id = 87"
@@ -117,7 +118,7 @@ def sender_groups(s: DataFrame) -> DataFrame:
 
 @on_smsc("a2p_senders", "SELECT line_number FROM smsc WHERE message_type = 'message' AND addr_src_digits IN ('22200','22200Brand','601170337777') AND message_delivery_status IN ('success','success_esme')")
 def a2p_lines(s: DataFrame) -> DataFrame:
-    return s.where(c.a2p_message()).select("line_number")
+    return s.where(c.a2p_message(fx.A2P_SENDERS)).select("line_number")
 
 
 @on_smsc("recipient_is_sender", "SELECT COUNT(*) FILTER (addr_src_digits <> addr_dst_digits) AS different, COUNT(*) FILTER (addr_src_digits = addr_dst_digits) AS same FROM smsc")
@@ -128,19 +129,36 @@ def recipient_is_sender(s: DataFrame) -> DataFrame:
     )
 
 
-@on_usage("call_cdr_view", "SELECT msisdn, roaming_mccmnc AS plmn, service_type_sub_cd AS direction, opposite_number AS b_party, CASE WHEN rating_group = 'ONNET' THEN 'On-net' WHEN opposite_number NOT LIKE '60%' THEN 'IDD' ELSE 'Off-net' END AS destination_type, CASE WHEN roaming_destination_id NOT IN (87, 0) AND roaming_mccmnc NOT LIKE '60%' THEN 'Y' ELSE 'N' END AS is_s8hr, usage_start_time AS start_time, CAST(act_usage_unit AS DOUBLE) AS actual_seconds, CAST(usage_unit AS DOUBLE) AS charged_seconds FROM usage_log WHERE rat_type = 'VO'")
+CALL_SQL = """SELECT msisdn, imsi, roaming_mccmnc AS plmn, service_type_sub_cd AS direction, opposite_number AS b_party,
+ CASE WHEN rating_group = 'ONNET' THEN 'On-net' WHEN opposite_number NOT LIKE '60%' THEN 'IDD' ELSE 'Off-net' END AS destination_type,
+ CASE WHEN roaming_destination_id NOT IN (87, 0) AND roaming_mccmnc NOT LIKE '60%' THEN 'Y' ELSE 'N' END AS is_s8hr,
+ usage_start_time AS start_time, usage_end_time AS end_time, CAST(act_usage_unit AS DOUBLE) AS actual_seconds, CAST(usage_unit AS DOUBLE) AS charged_seconds,
+ CASE WHEN sim_service_plan_id IS NULL THEN 'Y' ELSE 'N' END AS is_payg, CAST(price_amount AS DOUBLE) AS amount,
+ sim_service_plan_id AS service_plan_id, CASE WHEN sim_service_plan_id IS NOT NULL THEN last_grant_sim_service_plan_bucket_id END AS bucket_id
+FROM usage_log WHERE rat_type = 'VO'"""
+
+
+@on_usage("call_cdr_view", CALL_SQL)
 def call_cdr_view(u: DataFrame) -> DataFrame:
-    """Per-call report.  A call abroad that is no circuit-switched one counts as S8HR."""
+    """Per-call report.  A call abroad that is no circuit-switched one counts as S8HR;
+    one without a service plan was charged in money, and names no plan and no bucket."""
     number = F.when(c.charging_type() == "ONNET", "On-net").when(c.number_not_local(), "IDD").otherwise("Off-net")
     s8hr = ~F.col("roaming_destination_id").isin(c.HOME_DESTINATION, 0) & ~c.starts_home("roaming_mccmnc")
+    planned = F.col("sim_service_plan_id").isNotNull()
     return u.where("rat_type = 'VO'").select(
         "msisdn",
+        "imsi",
         F.col("roaming_mccmnc").alias("plmn"),
         F.col("service_type_sub_cd").alias("direction"),
         F.col("opposite_number").alias("b_party"),
         number.alias("destination_type"),
         F.when(s8hr, "Y").otherwise("N").alias("is_s8hr"),
         F.col("usage_start_time").alias("start_time"),
+        F.col("usage_end_time").alias("end_time"),
         F.col("act_usage_unit").cast("double").alias("actual_seconds"),
         F.col("usage_unit").cast("double").alias("charged_seconds"),
+        F.when(planned, "N").otherwise("Y").alias("is_payg"),
+        F.col("price_amount").cast("double").alias("amount"),
+        F.col("sim_service_plan_id").alias("service_plan_id"),
+        F.when(planned, F.col("last_grant_sim_service_plan_bucket_id")).alias("bucket_id"),
     )

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..functions import camel
@@ -11,7 +15,7 @@ from ..sources import delimited, fixtures as fx, smsc
 from ..sources.scratch import scratch
 from ..streaming.consumption import consumption
 from ..streaming.sync import current, sync
-from .catalogue import REQUEST_CTE, SMSC_CTE, USAGE_CTE, on_request, on_smsc, on_usage, query
+from .catalogue import REQUEST_CTE, USAGE_CTE, on_request, on_smsc, on_usage, query
 from .classification import request_document, usage_document
 from .settlement import REPORT_SQL
 
@@ -148,11 +152,16 @@ def manifest_anti(s: DataFrame) -> DataFrame:
 
 
 # Loads
-@on_smsc("upsert_last_wins", "SELECT source_path, line_number, CASE WHEN line_number % 10 = 0 THEN 'reloaded' ELSE message_delivery_status END AS status FROM smsc")
+@on_smsc(
+    "upsert_last_wins",
+    "SELECT source_path, message_type, MAX(line_number) AS line_number, CASE WHEN substr(source_path, 17, 1) = '1' THEN concat('again ', arg_max(sms_text, line_number)) ELSE arg_max(sms_text, line_number) END AS sms_text FROM smsc GROUP BY source_path, message_type",
+)
 def upsert_last_wins(s: DataFrame) -> DataFrame:
-    rows = s.select("source_path", "line_number", F.col("message_delivery_status").alias("status"))
-    again = rows.where("line_number % 10 = 0")
-    return upsert.last_wins(rows, [again.withColumn("status", F.lit("first")), again.withColumn("status", F.lit("reloaded"))], ["source_path", "line_number"])
+    """Keys with several rows in one file, of which the last line stays, and files that are loaded again."""
+    rows = s.select("source_path", "message_type", "line_number", "sms_text")
+    again = rows.where(F.substring("source_path", 17, 1) == "1")
+    second = again.withColumn("sms_text", F.concat(F.lit("again "), "sms_text"))
+    return upsert.last_wins(rows, [again.withColumn("sms_text", F.lit("first")), second], ["source_path", "message_type"], "line_number")
 
 
 REQUEST_KEYS = [["request_log_id"], ["session_id", "session_req_num", "rating_group"]]
@@ -177,10 +186,20 @@ def load_audit(q: DataFrame) -> DataFrame:
     return upsert.audit(rows, upsert.first_wins(None, rows, REQUEST_KEYS, "request_log_id"))
 
 
-@on_usage("incremental_by_id", "SELECT COUNT(*) AS n, MAX(usage_log_id) AS checkpoint FROM usage_log WHERE usage_log_id > 700")
+@on_usage(
+    "incremental_by_id",
+    "SELECT run, COUNT(*) AS n, MAX(usage_log_id) AS checkpoint FROM (SELECT usage_log_id, CASE WHEN usage_log_id <= 400 THEN 1 WHEN usage_log_id <= 700 THEN 2 ELSE 3 END AS run FROM usage_log) GROUP BY run"
+    " UNION ALL SELECT 4, 0, MAX(usage_log_id) FROM usage_log",
+)
 def incremental_by_id(u: DataFrame) -> DataFrame:
-    fresh, checkpoint = upsert.after_checkpoint(u, "usage_log_id", 700)
-    return fresh.agg(F.count("*").alias("n"), F.max("usage_log_id").alias("checkpoint"))
+    """Four runs, each from the checkpoint that the one before has left: over the first
+    400 ids, the first 700, the whole log, and once more with nothing new."""
+    runs, checkpoint = [], -1
+    for run, seen in enumerate([u.where("usage_log_id <= 400"), u.where("usage_log_id <= 700"), u, u], 1):
+        fresh, following = upsert.after_checkpoint(seen, "usage_log_id", checkpoint)
+        checkpoint = following.first()["checkpoint"]
+        runs.append(fresh.agg(F.lit(run).alias("run"), F.count("*").alias("n"), F.lit(checkpoint).cast("long").alias("checkpoint")))
+    return reduce(DataFrame.unionByName, runs)
 
 
 @query("write_report_csv", REPORT_SQL)
@@ -246,7 +265,7 @@ def ops_5min_consumption(u: DataFrame) -> DataFrame:
     return consumption(u)
 
 
-def _synced(spark: SparkSession, sf_dir: str, table: str, view: str, enrich, keys: list[str]) -> DataFrame:  # type: ignore[no-untyped-def]
+def _synced(spark: SparkSession, sf_dir: str, table: str, view: str, enrich, keys: list[str], order: str) -> DataFrame:  # type: ignore[no-untyped-def]
     schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
     sink, checkpoint = scratch(spark, "sync"), scratch(spark, "sync-state")
 
@@ -254,23 +273,95 @@ def _synced(spark: SparkSession, sf_dir: str, table: str, view: str, enrich, key
         return enrich(batch.sparkSession.sql(view.replace(f"FROM {table}", "FROM {src}"), src=batch))
 
     sync(spark, sf_dir, schema, sink, checkpoint, document, f"{table}.parquet")
-    return current(spark, sink, keys)
+    return current(spark, sink, keys, order)
 
 
 @query("stream_usage_sync", f"WITH {USAGE_CTE} SELECT usage_log_id, rat_type, {SERVICE_SQL} AS service_type FROM usage_log")
 def stream_usage_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _synced(spark, sf_dir, "events", fx.USAGE_LOG, lambda u: usage_document(u, "usage_log"), ["usage_log_id"])
+    out = _synced(spark, sf_dir, "events", fx.USAGE_LOG, lambda u: usage_document(u, "usage_log"), ["usage_log_id"], "usage_start_time")
     return out.select("usage_log_id", "rat_type", "derived.service_type")
 
 
-@query("stream_request_sync", f"WITH {REQUEST_CTE} SELECT DISTINCT request_log_id, rat_type FROM request_log")
+@query("stream_request_sync", f"WITH {REQUEST_CTE} SELECT request_log_id, rat_type FROM request_log")
 def stream_request_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _synced(spark, sf_dir, "lineitem", fx.REQUEST_LOG, lambda q: request_document(q, "request_log"), ["request_log_id"]).select("request_log_id", "rat_type")
-
+    return _synced(spark, sf_dir, "lineitem", fx.REQUEST_LOG, lambda q: request_document(q, "request_log"), ["request_log_id"], "req_time").select("request_log_id", "rat_type")
+
+
+def ingest_logs(spark: SparkSession, logs: str, sink: str, manifest: str, today: str, layout: list[str] = schemas.SMSC_FIELDS) -> tuple[DataFrame, int]:
+    """Loads the log files of complete days that are new or changed, and returns the
+    table by file and line, and how many files were loaded.
+
+    Each load is a batch of its own number in ``sink``; the manifest gets its
+    files after that, so a load that broke off is done again by the next one.
+    """
+    names = ["path", "length", "modification_time"]
+    listed = spark.createDataFrame([], "path string, length long, modification_time timestamp")
+    done = _stored(spark, manifest, listed.schema)
+    files = smsc.discover(smsc.list_files(spark, logs), F.lit(today).cast("date"))
+    fresh = upsert.handed_over(smsc.skip_processed(files, done).select(*names), "fresh-files")
+    paths = [r["path"] for r in fresh.select("path").collect()]  # the reader takes a list: some hundred files a load
+    if paths:
+        number = done.select("load").distinct().count()
+        parsed = smsc.parse_lines(smsc.numbered_lines(spark, paths), layout).where("error is null")
+        parsed.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        fresh.write.mode("overwrite").parquet(f"{manifest}/load={number}")
+    return current(spark, sink, ["source_path", "line_number"], "line_number"), len(paths)
+
+
+def _stored(spark: SparkSession, folder: str, schema) -> DataFrame:  # type: ignore[no-untyped-def]
+    """The loads in a manifest folder; none where it does not exist yet."""
+    try:
+        return spark.read.parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema).withColumn("load", F.lit(0))
+
+
+def log_files(s: DataFrame, layout: list[str] = schemas.SMSC_FIELDS) -> str:
+    """A folder of text logs, one file for each year of ``s``, named by its first day."""
+    from pyarrow import fs
+
+    folder = scratch(s.sparkSession, "logs")
+    lines = raw_lines(s, layout, surplus=True).select(F.concat(F.substring("source_path", 1, 12), F.lit("-01-01")).alias("name"), F.col("line_number"), "raw_line")
+    lines.repartition("name").sortWithinPartitions("name", "line_number").select("name", "raw_line").write.partitionBy("name").text(folder)
+    files, root = fs.FileSystem.from_uri(folder)
+    for info in files.get_file_info(fs.FileSelector(root, recursive=True)):  # some years
+        if info.path.endswith(".txt"):
+            files.move(info.path, f"{root}/{info.path.split('name=')[1].split('/')[0]}")
+    return folder
+
+
+@on_smsc(
+    "smsc_log_ingest",
+    "SELECT source_path, ROW_NUMBER() OVER (PARTITION BY source_path ORDER BY line) AS line_number, addr_src_digits, sms_text FROM"
+    " (SELECT concat(substr(source_path, 1, 12), '-01-01') AS source_path, line_number AS line, bad_prefix, addr_src_digits, sms_text FROM smsc WHERE day < '1998-01-01')"
+    " QUALIFY NOT bad_prefix",
+)
+def smsc_log_ingest(s: DataFrame) -> DataFrame:
+    """Text logs of the complete years up to 1997, from the files to the table, loaded twice: the second finds nothing new."""
+    spark, logs = s.sparkSession, log_files(s)
+    sink, manifest = scratch(spark, "log-table"), scratch(spark, "log-manifest")
+    ingest_logs(spark, logs, sink, manifest, "1998-01-01")
+    table, again = ingest_logs(spark, logs, sink, manifest, "1998-01-01")
+    if again:
+        raise RuntimeError("a file was loaded twice")
+    return table.select(F.element_at(F.split("source_path", "/"), -1).alias("source_path"), "line_number", "addr_src_digits", "sms_text")
+
+
+@on_smsc(
+    "stream_smsc_ingest",
+    "SELECT source_path, ROW_NUMBER() OVER (PARTITION BY source_path ORDER BY line) AS line_number, addr_src_digits, sms_text FROM"
+    " (SELECT concat(substr(source_path, 1, 12), '-01-01') AS source_path, line_number AS line, bad_prefix, addr_src_digits, sms_text FROM smsc) QUALIFY NOT bad_prefix",
+)
+def stream_smsc_ingest(s: DataFrame) -> DataFrame:
+    """The same logs as a stream of files, whole or in splits, each micro-batch numbered and parsed."""
+    spark, logs = s.sparkSession, log_files(s)
+    sink, checkpoint = scratch(spark, "sync"), scratch(spark, "sync-state")
 
-@query("stream_smsc_ingest", f"WITH {SMSC_CTE} SELECT line_number, addr_src_digits, sms_text FROM smsc WHERE NOT bad_prefix")
-def stream_smsc_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def parse(s: DataFrame) -> DataFrame:
-        return smsc.parse_lines(raw_lines(s)).where("error is null")
+    def parse(batch: DataFrame) -> DataFrame:
+        return smsc.parse_lines(smsc.numbered(batch)).where("error is null")
 
-    return _synced(spark, sf_dir, "orders", fx.SMSC_FIELDS, parse, ["source_path", "line_number"]).select("line_number", "addr_src_digits", "sms_text")
+    sync(spark, logs, StructType.fromDDL("value string"), sink, checkpoint, parse, "cdr.log.*", "text", tuple(map(F.expr, smsc.PLACED_LINE)))
+    table = current(spark, sink, ["source_path", "line_number"], "line_number")
+    return table.select(F.element_at(F.split("source_path", "/"), -1).alias("source_path"), "line_number", "addr_src_digits", "sms_text")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import classify as c
 from ..operators.report import count, grouped, value_counts
+from ..sources import fixtures as fx
 from .catalogue import on_smsc
 
 A2P = "message_type = 'message' AND addr_src_digits IN ('22200','22200Brand','601170337777') AND message_delivery_status IN ('success','success_esme') AND day >= '1996-01-01' AND day < '1997-01-01'"
@@ -17,12 +18,12 @@ def in_year() -> Column:
 
 @on_smsc("a2p_by_sender_status", f"SELECT addr_src_digits AS sender, message_delivery_status AS status, COUNT(*) AS total FROM smsc WHERE {A2P} GROUP BY 1, 2")
 def a2p_by_sender_status(s: DataFrame) -> DataFrame:
-    return grouped(s, c.a2p_message() & in_year(), {"sender": F.col("addr_src_digits"), "status": F.col("message_delivery_status")}, {"total": count()})
+    return grouped(s, c.a2p_message(fx.A2P_SENDERS) & in_year(), {"sender": F.col("addr_src_digits"), "status": F.col("message_delivery_status")}, {"total": count()})
 
 
 @on_smsc("a2p_by_status", f"SELECT message_delivery_status AS status, COUNT(*) AS total FROM smsc WHERE {A2P} GROUP BY 1")
 def a2p_by_status(s: DataFrame) -> DataFrame:
-    return grouped(s, c.a2p_message() & in_year(), {"status": F.col("message_delivery_status")}, {"total": count()})
+    return grouped(s, c.a2p_message(fx.A2P_SENDERS) & in_year(), {"status": F.col("message_delivery_status")}, {"total": count()})
 
 
 @on_smsc("smsc_sender_groups", "SELECT CASE WHEN addr_src_digits LIKE '60%' THEN '60xxxx' ELSE addr_src_digits END AS sender, COUNT(*) AS total FROM smsc GROUP BY 1")

@@ -11,7 +11,7 @@ from ..functions.dates import report_bounds
 from ..operators.lookup import country_by_prefix, country_by_row_number, roaming_network
 from ..operators.report import count, grouped, minutes_of_sum, sum_of_rounded, sum_rounded, value_counts
 from ..sources import fixtures as fx
-from .catalogue import DIMENSION_CTES, IN_USAGE, USAGE_CTE, on_usage, query
+from .catalogue import DIMENSION_CTES, IN_USAGE, USAGE_CTE, on_request, on_usage, query
 
 # Columns need a running session, so conditions, keys and measures are functions here.
 col = F.col
@@ -263,9 +263,10 @@ def sample_rows(u: DataFrame) -> DataFrame:
     return u.where(VOICE() & ROAMED() & LOCAL()).select("usage_log_id", "msisdn", "opposite_number").orderBy("usage_log_id").limit(20)
 
 
-@on_usage("session_lookup", "SELECT usage_log_id, usage_start_time, rat_type FROM usage_log WHERE msisdn = '601100000007'")
-def session_lookup(u: DataFrame) -> DataFrame:
-    return u.where(col("msisdn") == "601100000007").select("usage_log_id", "usage_start_time", "rat_type").orderBy("usage_start_time")
+@on_request("session_lookup", "SELECT request_log_id, session_id, session_req_num, req_time, rat_type FROM request_log WHERE session_id = 's7'")
+def session_lookup(q: DataFrame) -> DataFrame:
+    """All requests of one session in the order of time."""
+    return q.where(col("session_id") == "s7").select("request_log_id", "session_id", "session_req_num", "req_time", "rat_type").orderBy("req_time", "session_req_num")
 
 
 @on_usage("prefix_lookup", "SELECT usage_log_id, opposite_number FROM usage_log WHERE rat_type = 'VO' AND opposite_number LIKE '1246%'")

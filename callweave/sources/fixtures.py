@@ -19,9 +19,13 @@ WITH b AS (
  FROM events)
 SELECT event_id AS usage_log_id, user_id AS sim_id, user_id % 7 AS customer_id,
  concat('6011', lpad(CAST(user_id AS STRING), 8, '0')) AS msisdn,
- ts AS usage_start_time, rat_type,
+ ts AS usage_start_time, ts + INTERVAL '90' SECOND AS usage_end_time, rat_type,
+ concat('50218', lpad(CAST(user_id AS STRING), 10, '0')) AS imsi,
+ CASE WHEN event_id % 3 <> 0 THEN event_id % 40 END AS sim_service_plan_id,
+ CASE WHEN event_id % 3 <> 0 AND event_id % 4 <> 0 THEN event_id % 90 END AS last_grant_sim_service_plan_bucket_id,
+ CAST(CASE WHEN event_id % 3 = 0 THEN c ELSE 0 END AS DECIMAL(32,16)) AS price_amount,
  CASE WHEN rat_type = 'VO' THEN CASE WHEN event_id % 50 = 9 THEN 'MT' ELSE 'MO' END WHEN rat_type IS NOT NULL THEN 'N/A' END AS service_type_sub_cd,
- CASE rat_type WHEN 'VO' THEN CASE WHEN event_id % 4 = 1 THEN 'ONNET' ELSE 'OFFNET' END WHEN 'SM' THEN 'SM'
+ CASE rat_type WHEN 'VO' THEN CASE WHEN event_id % 4 = 1 THEN 'ONNET' ELSE 'OFFNET' END WHEN 'SM' THEN CASE event_id % 5 WHEN 1 THEN 'ONNET' WHEN 2 THEN 'OFFNET' ELSE 'SM' END
    ELSE concat('50000', CAST(1 + event_id % 8 AS STRING)) END AS rating_group,
  CASE WHEN rat_type IN ('4G','5G') THEN CASE rd WHEN 87 THEN '50218' WHEN 103 THEN '52505' WHEN 81 THEN '46001' ELSE concat('454', lpad(CAST(event_id % 6 AS STRING),2,'0')) END
    ELSE CASE WHEN rd = 87 THEN '60180000000502' ELSE concat('852900', CAST(event_id % 9 AS STRING)) END END AS roaming_mccmnc,
@@ -51,7 +55,7 @@ WITH b AS (
  FROM lineitem),
 k AS (SELECT b.*, CASE WHEN h < 450 THEN '4G' WHEN h < 650 THEN '5G' WHEN h < 900 THEN 'VO' WHEN h < 990 THEN 'SM' END AS rat_type,
    CASE WHEN h % 20 = 0 THEN 103 WHEN h % 20 = 1 THEN 0 ELSE 87 END AS rd FROM b)
-SELECT l_orderkey * 100000000 + l_partkey * 1000 + l_suppkey * 10 + l_linenumber AS request_log_id,
+SELECT l_orderkey * 100000000000 + l_partkey * 1000000 + l_suppkey * 1000 + l_linenumber * 100 + c % 100 AS request_log_id,
  concat('s', CAST(l_orderkey AS STRING)) AS session_id, CAST(l_linenumber AS BIGINT) AS session_req_num,
  concat('6011', lpad(CAST(l_suppkey AS STRING), 8, '0')) AS msisdn, l_shipdate AS req_time, rat_type,
  CASE rat_type WHEN 'VO' THEN CASE WHEN h % 4 = 1 THEN 'ONNET' ELSE 'OFFNET' END WHEN 'SM' THEN 'SM' ELSE concat('50000', CAST(1 + h % 8 AS STRING)) END AS rating_group,
@@ -69,7 +73,7 @@ FROM k
 SMSC_FIELDS = """
 SELECT concat('cdr.log.', substr(CAST(CAST(o_orderdate AS DATE) AS STRING),1,10)) AS source_path, o_orderkey + 1 AS line_number,
  substr(CAST(CAST(o_orderdate AS DATE) AS STRING),1,10) AS day,
- CASE o_orderkey % 5 WHEN 0 THEN '22200Brand' WHEN 1 THEN '22200' WHEN 2 THEN '601170337777' ELSE concat('6011', lpad(CAST(o_custkey AS STRING),8,'0')) END AS addr_src_digits,
+ CASE o_orderkey % 6 WHEN 0 THEN '22200Brand' WHEN 1 THEN '22200' WHEN 3 THEN '22200Other' WHEN 2 THEN '601170337777' ELSE concat('6011', lpad(CAST(o_custkey AS STRING),8,'0')) END AS addr_src_digits,
  concat('6012', lpad(CAST(o_custkey * 3 AS STRING),8,'0')) AS addr_dst_digits,
  CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'success_esme' ELSE CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'temp_failed' END END AS message_delivery_status,
  CASE WHEN o_orderkey % 4 = 0 THEN 'dlr' ELSE 'message' END AS message_type,
@@ -78,6 +82,9 @@ SELECT concat('cdr.log.', substr(CAST(CAST(o_orderdate AS DATE) AS STRING),1,10)
 FROM orders
 """
 
+#: Senders of application-to-person messages in the SMS-centre view, which also holds one that only begins like them.
+A2P_SENDERS = ["22200", "22200Brand", "601170337777"]
+
 #: Report windows (inclusive dates) in which every report has rows.
 USAGE_WINDOW = ("2024-01-05", "2024-01-18")
 REQUEST_WINDOW = ("1998-01-01", "1998-12-31")

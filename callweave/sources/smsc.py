@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-import csv
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..schemas import SMSC_FIELDS
 from .delimited import nullify
+from .scratch import scratch
 
+#: Fixed value: the name of a day's log file.
 FILE_NAME = r"^cdr\.log\.(\d{4}-\d{2}-\d{2})$"
+MOST_SPLITS = 1_000_000  # rows about splits that are broadcast
+#: A comma and the cell after it: quoted to the closing quote and on to the next comma,
+#: quoted without a closing quote, plain, or empty.
+CELL = r'\G,("[^"]*+(?:""[^"]*+)*+(?:"[^,]*+|$)|[^",][^,]*+|)'
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,29 +34,49 @@ def skip_processed(files: DataFrame, manifest: DataFrame) -> DataFrame:
     return files.join(manifest.select("path", "length", "modification_time"), ["path", "length", "modification_time"], "left_anti")
 
 
+#: A line of text with its file and the start of its split in it.
+PLACED_LINE = ("_metadata.file_path AS source_path", "_metadata.file_block_start AS start", "value AS raw_line")
+
+
 def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(source_path, line_number from 1, raw_line) of text files that Spark splits.
+    """(source_path, line_number from 1, raw_line) of text files that Spark splits."""
+    return numbered(spark.read.text(paths).selectExpr(*PLACED_LINE))
+
 
-    Rows of a split are numbered by position; only the first number and the count
-    of each split, one row a split, are joined back, so lines are not shuffled.
+def numbered(lines: DataFrame) -> DataFrame:
+    """Lines (PLACED_LINE, of a batch or a micro-batch) with their numbers in the file.
+
+    Rows of a split are numbered by position; the first number and the count of
+    each split, one row a split, are joined back.  Up to MOST_SPLITS of them are
+    broadcast, so that lines are not shuffled; the text is read twice.
     """
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("source_path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("raw_line"), F.monotonically_increasing_id().alias("at")
-    )
+    lines = lines.withColumn("at", F.monotonically_increasing_id())
     splits = lines.groupBy("source_path", "start").agg(F.min("at").alias("first"), F.count("*").alias("n"))
-    earlier = splits.alias("a").join(splits.alias("b"), F.expr("a.source_path = b.source_path and b.start < a.start"), "left")
-    before = earlier.groupBy("a.source_path", "a.start", "a.first").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    earlier = Window.partitionBy("source_path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("source_path", "start", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    path = scratch(lines.sparkSession, "splits")
+    splits.write.parquet(path)
+    before = lines.sparkSession.read.schema(splits.schema).parquet(path)
+    if before.count() <= MOST_SPLITS:
+        before = F.broadcast(before)
     return lines.join(before, ["source_path", "start"]).select("source_path", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line_number"), "raw_line")
 
 
-def _cells(payload: Column) -> Column:
-    @F.pandas_udf("array<string>")
-    def parse(payloads):  # type: ignore[no-untyped-def]
-        import pandas as pd
+def cells_of(payload: Column) -> Column:
+    """Cells of one line of CSV, in expressions alone.
+
+    A cell that begins with a quote runs to the closing one, or to the end where
+    there is none, and two quotes in it stand for one; elsewhere quotes are plain
+    characters.  Lines without quotes are split at the commas.
+    """
+    quoted = F.regexp_extract_all(F.concat(F.lit(","), payload), F.lit(CELL), F.lit(1))
+    inside, rest = F.lit('^"([^"]*+(?:""[^"]*+)*+)'), F.lit('^"[^"]*+(?:""[^"]*+)*+"?')
 
-        return pd.Series([None if p is None else next(csv.reader([p]), []) for p in payloads], dtype=object)
+    def plain(cell: Column) -> Column:
+        text = F.concat(F.replace(F.regexp_substr(cell, inside), F.lit('""'), F.lit('"')), F.regexp_replace(cell, rest, F.lit("")))
+        return F.when(cell.startswith('"'), F.substring(text, F.lit(2), F.length(text))).otherwise(cell)
 
-    return parse(payload)
+    return F.when(payload.contains('"'), F.transform(quoted, plain)).otherwise(F.split(payload, ",", -1))
 
 
 def parse_lines(lines: DataFrame, layout: list[str] = SMSC_FIELDS, least_fields: int = 0, exact_null: bool = False) -> DataFrame:
@@ -66,7 +90,7 @@ def parse_lines(lines: DataFrame, layout: list[str] = SMSC_FIELDS, least_fields:
     """
     at = F.instr("raw_line", "] ")
     payload = F.when(at > 0, F.nullif(F.trim(F.expr("substring(raw_line, instr(raw_line, '] ') + 2)")), F.lit("")))
-    rows = lines.withColumn("raw_cdr", payload).withColumn("cells", _cells(F.col("raw_cdr")))
+    rows = lines.withColumn("raw_cdr", payload).withColumn("cells", cells_of(F.col("raw_cdr")))
     size = F.coalesce(F.size("cells"), F.lit(0))
     error = F.when(F.col("raw_cdr").isNull(), "INVALID_PREFIX").when(size < least_fields, "CSV_ERROR")
     rows = rows.select("*", error.alias("error"), size.alias("raw_fields_count"))

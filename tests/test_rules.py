@@ -123,7 +123,7 @@ def test_template_with_two_placeholders_and_a_missing_column(spark):
 
 
 def test_prefix_lookup_forms_agree(spark, monkeypatch):
-    codes = spark.createDataFrame([("Canada", "1"), ("America", "1"), ("Barbados", "1246"), ("Home", "60")], "country string, country_code string")
+    codes = spark.createDataFrame([("Canada", "1"), ("America", "1"), ("Barbados", "1246"), ("Home", "60"), ("Nowhere", None), ("Blank", "")], "country string, country_code string")
     calls = spark.createDataFrame([(1, "12465"), (2, "1999"), (3, "60"), (4, None), (5, "99999"), (6, "")], "k int, opposite_number string")
     a = lookup.country_by_prefix(calls, codes).select("k", "destination_country", "matched_country_code", "unmatched_number_prefix").orderBy("k").collect()
     assert [tuple(r) for r in a] == [(1, "Barbados", "1246", None), (2, "America", "1", None), (3, "Home", "60", None), (4, "UNMAPPED", "UNMAPPED", None), (5, "UNMAPPED", "UNMAPPED", "9999"), (6, "UNMAPPED", "UNMAPPED", "")]
@@ -134,16 +134,39 @@ def test_prefix_lookup_forms_agree(spark, monkeypatch):
     assert [tuple(r) for r in b] == [(r[0], r[1]) for r in a]
 
 
+def test_senders_are_equal_and_not_alike(spark):
+    from callweave.functions import classify as c
+
+    rows = spark.createDataFrame([(x, "message", "success") for x in ("22200", "22200Other", "22200Brand", None)], "addr_src_digits string, message_type string, message_delivery_status string")
+    assert [r[0] for r in rows.where(c.a2p_message(["22200", "22200Brand"])).select("addr_src_digits").collect()] == ["22200", "22200Brand"]
+
+
 def test_first_wins_in_file_order(spark):
     rows = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", 2), (4, None, 9), (5, None, 9)], "o int, u string, p int")
     got = [r["o"] for r in upsert.first_wins(None, rows, [["u"], ["p"]], "o").orderBy("o").collect()]
     assert got == [1, 3, 4]  # row 2 is not inserted, so it does not block row 3
 
 
+def test_last_wins_keeps_the_last_row_of_a_file(spark):
+    rows = spark.createDataFrame([(1, 3, "third"), (1, 1, "first"), (1, 2, "second"), (2, 9, "only"), (None, 1, "n"), (None, 2, "m")], "k int, line int, v string")
+    got = {(r["k"], r["v"]) for r in upsert.last_wins(rows.limit(0), [rows], ["k"], "line").collect()}
+    assert got == {(1, "third"), (2, "only"), (None, "m")}
+
+
+def test_current_keeps_the_last_row_of_the_last_batch(spark, tmp_path):
+    from callweave.streaming.sync import compact, current
+
+    for batch, rows in enumerate([[(1, 5, "old"), (2, 1, "a"), (2, 2, "b")], [(1, 2, "newer"), (1, 1, "new")]]):
+        spark.createDataFrame(rows, "k int, line int, v string").write.parquet(f"{tmp_path}/sink/batch={batch}")
+    assert {(r["k"], r["v"]) for r in current(spark, f"{tmp_path}/sink", ["k"], "line").collect()} == {(1, "newer"), (2, "b")}
+    compact(spark, f"{tmp_path}/sink", ["k"], "line", f"{tmp_path}/small")
+    assert spark.read.parquet(f"{tmp_path}/small").count() == 2
+
+
 def test_last_wins_is_idempotent(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y"), (None, "n")], "k int, v string")
-    once = upsert.last_wins(a, [spark.createDataFrame([(2, "z")], "k int, v string")], ["k"])
-    twice = upsert.last_wins(once, [spark.createDataFrame([(2, "z")], "k int, v string")], ["k"])
+    once = upsert.last_wins(a, [spark.createDataFrame([(2, "z")], "k int, v string")], ["k"], "v")
+    twice = upsert.last_wins(once, [spark.createDataFrame([(2, "z")], "k int, v string")], ["k"], "v")
     want = {(1, "x"), (2, "z"), (None, "n")}
     assert {tuple(r) for r in once.collect()} == want == {tuple(r) for r in twice.collect()}
 
