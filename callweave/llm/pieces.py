@@ -24,7 +24,7 @@ SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 WIDE_GAPS = tuple(f" {c}" for c in SPACES)
 NARROW_GAPS = tuple(f" {c}" for c in SPACES if c < "\x80")
 MARKS = ".,;:!?|*#$%&"  # ASCII marks that never share a pre-token with letters before them
-SECTION, BLOCK = 1 << 20, 1 << 22
+SECTION, BLOCK, SHORT = 1 << 20, 1 << 21, 1 << 14
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -110,43 +110,55 @@ class PieceCoder:
         encode_pieces: Callable[[list[str]], list[bytes]],
         encode_whole: Callable[[str], bytes],
         specials: list[str],
-        limit: int = 120_000,
+        limit: int = 80_000,
     ) -> None:
         self.encode_pieces, self.encode_whole, self.specials = encode_pieces, encode_whole, specials
         self.after_blank, self.heads = Recent(limit), Recent(limit // 8)
 
-    def _block(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        flat, counts = cut_texts(texts)
-        coded = flat.dictionary_encode()
-        where = coded.indices.to_numpy().astype(np.int64)
-        seen = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    def _encode_new(self, seen: set[str], firsts: set[str]) -> None:
+        """Ids of the pieces after a blank, and of the first pieces of texts, that have none yet."""
         self.after_blank.turn()
         self.heads.turn()
-        fresh = self.after_blank.fresh(set(seen))
+        fresh = self.after_blank.fresh(seen)
         # A word with marks after it is the word's ids and the marks' ids.
         stems = {p: q for p in fresh if (q := p.rstrip(MARKS)) and q is not p and q[-1].isalpha()}
         fresh = [p for p in fresh if p not in stems]
         fresh += self.after_blank.fresh(set(stems.values()).difference(fresh))
-        known = self.after_blank.now
+        known, heads = self.after_blank.now, self.heads.now
         known.update(zip(fresh, self.encode_pieces([f" {p}" for p in fresh])))
+        fresh = self.heads.fresh(firsts | {p[len(q) :] for p, q in stems.items()})
+        heads.update(zip(fresh, self.encode_pieces(fresh)))
+        known.update([(p, known[q] + heads[p[len(q) :]]) for p, q in stems.items()])
+
+    def _short(self, text: str) -> bytes:
+        first, *rest = split_pieces(text)
+        self._encode_new(set(rest), {first})
+        return self.heads.now[first] + b"".join(map(self.after_blank.now.__getitem__, rest))
+
+    def _block(self, texts: list[str]) -> list[bytes]:
+        import numpy as np
+
+        if len(texts) == 1 and len(texts[0]) < SHORT:  # arrays would not pay
+            return [self._short(texts[0])]
+        flat, counts = cut_texts(texts)
+        coded = flat.dictionary_encode()
+        where = coded.indices.to_numpy().astype(np.int32)
+        seen = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         firsts = np.cumsum(counts) - counts
         first_seen, first_where = np.unique(where[firsts], return_inverse=True)
         first_pieces = [seen[i] for i in first_seen.tolist()]
-        fresh = self.heads.fresh(set(first_pieces) | {p[len(q) :] for p, q in stems.items()})
-        heads = self.heads.now
-        heads.update(zip(fresh, self.encode_pieces(fresh)))
-        known.update([(p, known[q] + heads[p[len(q) :]]) for p, q in stems.items()])
+        self._encode_new(set(seen), set(first_pieces))
 
         # Ids of the distinct pieces one after the other, gathered in the order of the texts.
-        packed = [*map(known.__getitem__, seen), *map(heads.__getitem__, first_pieces)]
+        packed = [*map(self.after_blank.now.__getitem__, seen), *map(self.heads.now.__getitem__, first_pieces)]
         where[firsts] = len(seen) + first_where
-        widths = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
-        starts = np.cumsum(widths) - widths
+        widths = np.fromiter(map(len, packed), np.int32, len(packed)) // 4
+        starts = np.cumsum(widths, dtype=np.int32) - widths
         n = widths[where]
-        ends = np.cumsum(n)
-        ids = np.frombuffer(b"".join(packed), "<u4")[np.repeat(starts[where] - (ends - n), n) + np.arange(ends[-1])].tobytes()
+        ends = np.cumsum(n, dtype=np.int32)
+        places = np.repeat(starts[where] - (ends - n), n)
+        places += np.arange(len(places), dtype=np.int32)
+        ids = np.frombuffer(b"".join(packed), "<u4")[places].tobytes()
         stops = (4 * ends[np.cumsum(counts) - 1]).tolist()
         return [ids[a:b] for a, b in zip([0, *stops], stops)]
 
@@ -178,7 +190,7 @@ class PieceCoder:
         return out
 
 
-def library_coder(path: str, limit: int = 600_000) -> PieceCoder:
+def library_coder(path: str, limit: int = 400_000) -> PieceCoder:
     """A coder whose pieces are encoded by the tokenizers library."""
     import os
 

@@ -23,6 +23,7 @@ from .labelled import fold, labelled_texts
 
 if TYPE_CHECKING:
     import numpy as np
+    import pyarrow as pa
 
 MOST_LABELLED = 20_000  # labelled rows that are learned from, picked by a hash of the id
 PAIRS_EACH = 8  # preference pairs for each labelled document
@@ -196,11 +197,12 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     ranking = learn(docs, labels)
 
-    @F.pandas_udf("double")
-    def quality(texts):  # type: ignore[no-untyped-def]
+    @F.arrow_udf("double")
+    def quality(texts: pa.Array) -> pa.Array:
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
-        return pd.Series(ranking.score(np.array([features(t) for t in texts]))) if len(texts) else pd.Series([], dtype=float)
+        x = np.array([features(t.as_py()) for t in texts]).reshape(len(texts), len(ranking.centre))
+        return pa.array(ranking.score(x), pa.float64())
 
     return docs.where(quality(F.col("text").cast("string")) >= THRESHOLD)

@@ -23,6 +23,7 @@ from .pieces import sections
 
 if TYPE_CHECKING:
     import numpy as np
+    import pyarrow as pa
 
 MOST_LABELLED = 20_000  # labelled rows that are learned from, picked by a hash of the id
 FEATURES, LEAST_DOCS, STARTS, GRADES = 1024, 5, (4, 5), 3
@@ -267,10 +268,10 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     model = learn(docs, labels)
 
-    @F.pandas_udf("double")
-    def chance(texts):  # type: ignore[no-untyped-def]
-        import pandas as pd
+    @F.arrow_udf("double")
+    def chance(texts: pa.Array) -> pa.Array:
+        import pyarrow as pa
 
-        return pd.Series([float(model.chances(t)[0]) for t in texts], dtype=float)
+        return pa.array([float(model.chances(t.as_py())[0]) for t in texts], pa.float64())
 
     return docs.where(chance(F.col("text").cast("string")) < model.bar)

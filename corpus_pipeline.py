@@ -14,12 +14,20 @@ from callweave.llm.storage import written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the pairwise ranking rejects."""
+    """Drops the documents that the pairwise ranking rejects.
+
+    A row is judged by its text: null, empty and blank ones as texts without
+    words, equal ones alike, of any length; ids may be null or repeat, other
+    columns may have any name; an empty table stays empty.
+    """
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that are toxic more likely than not."""
+    """Drops the documents whose chance of being toxic reaches the learned bar.
+
+    Rows and cases as in the quality stage.
+    """
     return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -29,7 +37,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     It is the row with the smallest id, nulls last, and the smallest hash among
     rows of that id.  Rows are judged by their texts alone, so different texts
-    with the same id, or without one, each stay.
+    with the same id, or without one, each stay.  Null and blank texts are one
+    group; columns may have any name; an empty table stays empty.
+
+    Operator 2 finds the links: SimHash balls first, and for the pairs that
+    fingerprints cannot reach at 0.8, a search on shared first shingles.
     """
     named = written(jaccard.near_duplicates(docs), "components")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_a", "row_b")
@@ -41,12 +53,20 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a passage of the benchmark."""
+    """Drops the documents that hold a passage of the benchmark.
+
+    Null and wordless texts stay, repeated rows stay repeated, ids may be null
+    and columns may have any name; an empty table or benchmark drops nothing.
+    """
     return winnow.keep_uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of each document's ids and of the text decoded from them."""
+    """Token counts and digests of each document's ids and of the text decoded from them.
+
+    One row a row of ``docs``: null counts as empty, ids may be null or repeat,
+    other columns are left out; an empty table gives no rows.
+    """
     return bpe.digests(docs)
 
 
