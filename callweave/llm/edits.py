@@ -10,12 +10,13 @@ way to the root, which holds the document's count.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .bpe import opened, small_batches
 from .pieces import PieceCoder, library_coder, sections, split_pieces, vocabulary_path
+from .storage import written
 
 LEAF_PIECES = 24
 #: Personal data and secrets that a redaction replaces: e-mail addresses, IPv4
@@ -161,8 +162,36 @@ def redactions(text: Column, pattern: str = REDACTED, replacement: str = "0") ->
     return found(text)
 
 
-def recount(states: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """Applies the edits in column ``edits`` of ``token_states`` rows.
+def mixed_edits(text: str, pattern: re.Pattern = re.compile(REDACTED)) -> list[tuple[int, int, str]]:
+    """(position, deleted, inserted): every redaction, and one insertion, deletion and
+    replacement, in the first, second and last third of the text.
+
+    Places and inserted characters come from the text itself and a hash of it, so
+    equal texts get equal edits.  Of these three, one that would touch a redaction
+    is left out.  An empty text has no edits.
+    """
+    import xxhash
+
+    out = [(m.start(), m.end() - m.start(), "0") for m in pattern.finditer(text)]
+    if not text:
+        return out
+    digest, n, taken = xxhash.xxh64_intdigest(text.encode("utf-8", "replace"), 42), len(text), list(out)
+    for third, longest in enumerate((0, 24, 7)):
+        start, stop = n * third // 3, n * (third + 1) // 3
+        if stop <= start:
+            continue
+        at = start + (digest >> 20 * third) % (stop - start)
+        deleted = min(longest, stop - 1 - at)
+        source = (digest >> 7 * third) % n
+        inserted = "" if third == 1 else text[source : source + 12]
+        if (deleted or inserted) and all(at + deleted < a or at > a + size for a, size, _ in taken):
+            out.append((at, deleted, inserted))
+    return out
+
+
+def recount(states: DataFrame, vocabulary: str | None = None, edits_of: Callable[[str], list[tuple[int, int, str]]] | None = None) -> DataFrame:
+    """Applies the edits in column ``edits`` of ``token_states`` rows, or those that
+    ``edits_of`` makes of a text.
 
     (doc_id, n_tokens, n_edits, n_tokens_after, chars_encoded): the count before,
     the edits, the count after them, and the characters that were encoded again.
@@ -179,20 +208,28 @@ def recount(states: DataFrame, vocabulary: str | None = None) -> DataFrame:
         for whole in batches:
             for b in small_batches(whole):
                 rows = []
-                for doc, text, n, chars, tokens, edits in zip(*(c.to_pylist() for c in b.columns)):
+                for doc, text, n, chars, tokens, *given in zip(*(c.to_pylist() for c in b.columns)):
+                    edits = edits_of(text or "") if edits_of else [(e["pos"], e["deleted"], e["inserted"]) for e in given[0] or []]
                     after, again = n, 0
                     if edits:
                         tree = SegmentTree(chars, tokens)
-                        _, again = apply_edits(text or "", tree, [(e["pos"], e["deleted"], e["inserted"]) for e in edits], coder)
+                        _, again = apply_edits(text or "", tree, edits, coder)
                         after = tree.tokens[1]
-                    rows.append((doc, n, len(edits or []), after, again))
+                    rows.append((doc, n, len(edits), after, again))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    src = states.select("doc_id", "text", "n_tokens", "leaf_chars", "leaf_tokens", "edits")
+    src = states.select("doc_id", "text", "n_tokens", "leaf_chars", "leaf_tokens", *([] if edits_of else ["edits"]))
     return src.mapInArrow(run, "doc_id long, n_tokens long, n_edits long, n_tokens_after long, chars_encoded long")
 
 
+def edited_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """Counts before and after ``mixed_edits``, columns and cases as in ``recount``: the
+    trees are kept as a table, and a second job reads them and encodes only what edits touch."""
+    states = written(token_states(docs, id_col, text_col, vocabulary), "token-states")
+    return recount(states, vocabulary, mixed_edits)
+
+
 def redacted_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pattern: str = REDACTED, replacement: str = "0", vocabulary: str | None = None) -> DataFrame:
     """Token counts of each whole text before and after redaction, with only the
     touched regions encoded again; columns and cases as in ``recount``.  States,

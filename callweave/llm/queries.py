@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import language, media, quality, toxicity
 from .bpe import digests
-from .edits import redacted_counts
+from .edits import edited_counts
 from .repair import token_index, write_shards
 from .sharding import shard
 from .simhash import near_duplicates
@@ -59,7 +59,7 @@ def op8_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_edit_aware_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return redacted_counts(_table(spark, sf_dir, "documents"))
+    return edited_counts(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -6,7 +6,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from callweave.llm import media, pieces, queries
+from callweave.llm import media, queries
 from tests.llm.cases import IDS, TEXTS, documents
 
 COLUMNS = {
@@ -80,15 +80,3 @@ def test_media_features_equal_plain_sums(spark):
         for key, want, places in (("mean", mean, 3), ("rms", rms, 3), ("entropy", entropy, 4), ("crossings", crossings, 4)):
             assert abs(float(got[key]) - want) < 0.6 * 10**-places + 1e-12, (key, text)
         assert (row["n_bytes"], row["payload_bytes"], row["tail_crc32"]) == (len(raw), len(x), zlib.crc32(x[-32:]))
-
-
-def test_token_counts_before_and_after_redaction(spark):
-    from tokenizers import Tokenizer
-
-    from callweave.llm import edits
-
-    tok, rule = Tokenizer.from_file(pieces.vocabulary_path()), __import__("re").compile(edits.REDACTED)
-    count = lambda t: len(tok.encode(t, add_special_tokens=False).ids)
-    want = sorted((str(i), count(t or ""), count(rule.sub("0", t or ""))) for i, t in zip(IDS, TEXTS))
-    got = sorted((str(r["doc_id"]), r["n_tokens"], r["n_tokens_after"]) for r in edits.redacted_counts(documents(spark)).collect())
-    assert got == want

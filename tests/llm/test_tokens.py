@@ -34,6 +34,9 @@ def test_coders_equal_the_library(library, make):
     want = [packed(library, t) for t in texts]
     assert coder.pack(texts) == want
     assert coder.pack(texts) == want  # from the memory
+    assert [make(PATH).pack([t])[0] for t in texts[:30]] == want[:30]
+    coder = make(PATH)
+    assert [coder.pack([t])[0] for t in texts] == want  # one by one, without arrays
 
 
 def test_small_memories_and_sections(library, monkeypatch):
@@ -183,6 +186,23 @@ def test_recounts(spark, library):
     assert pairs(apart, "doc_id", "n_tokens", "n_tokens_after") == got
 
 
+def test_recounts_of_mixed_edits(spark, library):
+    """Insertions, deletions and replacements in every document, through the kept trees."""
+
+    def edited(text):
+        for at, n, s in sorted(edits.mixed_edits(text), reverse=True):
+            text = text[:at] + s + text[at + n :]
+        return text
+
+    got = pairs(edits.edited_counts(documents(spark)), "doc_id", "n_tokens", "n_edits", "n_tokens_after")
+    want = [(i, len(packed(library, t)) // 4, len(edits.mixed_edits(t or "")), len(packed(library, edited(t or ""))) // 4) for i, t in zip(IDS, TEXTS)]
+    assert got == sorted(want, key=lambda t: [(x is not None, x) for x in t])
+    kinds = [e for t in TEXTS for e in edits.mixed_edits(t or "")]
+    assert any(n == 0 for _, n, s in kinds) and any(s == "" and n for _, n, s in kinds) and any(s and n for _, n, s in kinds)
+    (row,) = edits.edited_counts(documents(spark, [TEXTS[18]])).collect()
+    assert 0 < row["chars_encoded"] < len(TEXTS[18]) / 50
+
+
 def test_media_column(spark):
     rows = media.media_column(documents(spark)).collect()
     want = []
