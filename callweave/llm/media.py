@@ -3,9 +3,9 @@ by a Spark data source.
 
 A payload is a row of frames of 576 samples of 8 bits and is stored as a PNG of
 that width, without loss.  Images are members of stored (not deflated) ZIP
-archives.  The source plans byte ranges of the archives; the task of a range
-reads the archive's central directory, takes the members whose header starts in
-the range, and streams them in small Arrow batches.  Every member is read and
+archives.  The source plans byte ranges of the archives; a task opens the archive
+of a range once, reads its central directory, takes the members whose header
+starts in the range, and streams them in small Arrow batches.  Every member is read and
 decoded on its own at its offset, and retried on its own.
 """
 
@@ -28,6 +28,7 @@ from .storage import open_filesystem, shared_folder
 
 FRAME, PAD = 576, b"\xff"
 ARCHIVE_BYTES, RANGE_BYTES, BATCH_BYTES, ATTEMPTS = 32 << 20, 8 << 20, 4 << 20, 3
+MOST_TASKS = 100_000  # that a read is planned as
 PNG_MAGIC = b"\x89PNG\r\n\x1a\n"  # fixed value of the format
 SCHEMA = "archive string, member string, offset long, media binary, payload binary, attempts int"
 
@@ -120,10 +121,10 @@ def write_archives(docs: DataFrame, folder: str | None = None, id_col: str = "do
 
 
 @dataclass
-class ByteRange(InputPartition):
-    archive: str
-    start: int
-    stop: int
+class ByteRanges(InputPartition):
+    """What one task reads: (archive, start, stop) of some ranges."""
+
+    ranges: list[tuple[str, int, int]]
 
 
 class MediaReader(DataSourceReader):
@@ -149,22 +150,20 @@ class MediaReader(DataSourceReader):
         found = fs.get_file_info(pafs.FileSelector(at, recursive=True))
         return sorted((f"{base}/{f.path[len(at.rstrip('/')) + 1:]}", f.size) for f in found if f.path.endswith(".zip"))
 
-    def partitions(self) -> list[ByteRange]:
-        """One row for each archive is read here; members are never listed on the driver."""
+    def partitions(self) -> list[ByteRanges]:
+        """One row for each archive is read here; members are never listed on the driver.
+        Of very many ranges, several in a row make a task."""
         step = self.range_bytes
-        return [ByteRange(a, at, min(at + step, n)) for a, n in self._archives() for at in range(0, n, step)] or [ByteRange("", 0, 0)]
+        ranges = [(a, at, min(at + step, n)) for a, n in self._archives() for at in range(0, n, step)]
+        each = -(-len(ranges) // MOST_TASKS) or 1
+        return [ByteRanges(ranges[i : i + each]) for i in range(0, len(ranges), each)] or [ByteRanges([])]
 
-    def _member(self, archive: str, info: zipfile.ZipInfo) -> tuple[bytes, bytes, int]:
-        """Stored bytes, payload and attempts of one member, read at its offset."""
+    def _member(self, file, archive: str, info: zipfile.ZipInfo) -> tuple[bytes, bytes, int]:
+        """Stored bytes, payload and attempts of one member, read at its offset: first
+        from the file that is open for the range, then from the archive opened anew."""
         for attempt in range(1, self.attempts + 1):
             try:
-                fs, at = open_filesystem(archive)
-                with fs.open_input_file(at) as f:
-                    f.seek(info.header_offset)
-                    head = f.read(30)
-                    name, extra = struct.unpack("<HH", head[26:30])
-                    f.seek(info.header_offset + 30 + name + extra)
-                    media = f.read(info.file_size)
+                media = _stored(file, info) if attempt == 1 else self._opened_anew(archive, info)
                 if len(media) != info.file_size or zlib.crc32(media) != info.CRC:
                     raise ValueError(f"{archive} at {info.header_offset}: damaged member")
                 return media, decode_png(media), attempt
@@ -174,26 +173,43 @@ class MediaReader(DataSourceReader):
                 time.sleep(0.1 * 2**attempt)
         raise AssertionError("attempts must be positive")
 
-    def read(self, partition: ByteRange) -> Iterator:
+    def _opened_anew(self, archive: str, info: zipfile.ZipInfo) -> bytes:
+        fs, at = open_filesystem(archive)
+        with fs.open_input_file(at) as f:
+            return _stored(f, info)
+
+    def _members(self, ranges: list[tuple[str, int, int]]) -> Iterator[tuple]:
+        for archive, start, stop in ranges:
+            fs, at = open_filesystem(archive)
+            with fs.open_input_file(at) as f, zipfile.ZipFile(f) as z:
+                for info in z.infolist():
+                    if start <= info.header_offset < stop:
+                        yield (archive, info.filename, info.header_offset, *self._member(f, archive, info))
+
+    def read(self, partition: ByteRanges) -> Iterator:
         import pyarrow as pa
 
-        if not partition.archive:
-            return
         schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("offset", pa.int64()), ("media", pa.binary()), ("payload", pa.binary()), ("attempts", pa.int32())])
-        fs, at = open_filesystem(partition.archive)
-        with fs.open_input_file(at) as f, zipfile.ZipFile(f) as z:
-            infos = [i for i in z.infolist() if partition.start <= i.header_offset < partition.stop]
+        batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
         rows: list[tuple] = []
         size = 0
-        for info in infos:
-            media, payload, attempts = self._member(partition.archive, info)
-            rows.append((partition.archive, info.filename, info.header_offset, media, payload, attempts))
-            size += len(media) + len(payload)
+        for row in self._members(partition.ranges):
+            rows.append(row)
+            size += len(row[3]) + len(row[4])
             if size > BATCH_BYTES:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                yield batch(rows)
                 rows, size = [], 0
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            yield batch(rows)
+
+
+def _stored(file, info: zipfile.ZipInfo) -> bytes:
+    """The bytes of a stored member, at its offset in the archive."""
+    file.seek(info.header_offset)
+    head = file.read(30)
+    name, extra = struct.unpack("<HH", head[26:30])
+    file.seek(info.header_offset + 30 + name + extra)
+    return file.read(info.file_size)
 
 
 class MediaArchives(DataSource):
