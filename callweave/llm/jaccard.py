@@ -105,11 +105,11 @@ def common_shingles(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray
     return found[order], times[order]
 
 
-def row_hashes(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with two hashes (row_a, row_b) of each whole row."""
+def row_hashes(docs: DataFrame) -> DataFrame:
+    """(row, row_a, row_b): each row of ``docs`` as a struct, and two hashes of the whole of it."""
     whole = [F.col(f"`{c}`") for c in docs.columns]
     nulls = F.concat_ws("", *[F.when(c.isNull(), "n").otherwise("v") for c in whole])
-    return docs.withColumns({"row_a": F.xxhash64(nulls, *whole), "row_b": F.xxhash64(*whole[::-1], nulls, F.lit(1))})
+    return docs.select(F.struct(*whole).alias("row"), F.xxhash64(nulls, *whole).alias("row_a"), F.xxhash64(*whole[::-1], nulls, F.lit(1)).alias("row_b"))
 
 
 def _key(s: np.ndarray) -> int:
@@ -120,7 +120,7 @@ def _key(s: np.ndarray) -> int:
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return row_hashes(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), "row_a", "row_b")
+    return row_hashes(docs).select(F.col(f"row.`{id_col}`").cast("long").alias("id"), F.col(f"row.`{text_col}`").cast("string").alias("text"), "row_a", "row_b")
 
 
 def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,7 +164,7 @@ def _sets(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
                 sets = pa.array([shingles(t) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([b.column(0), sets], ["key", "shingles"])
 
-    texts = row_hashes(docs).select("row_a", "row_b", F.col(text_col).cast("string").alias("text"))
+    texts = row_hashes(docs).select("row_a", "row_b", F.col(f"row.`{text_col}`").cast("string").alias("text"))
     met = texts.join(small(keys), ["row_a", "row_b"]).select("key", "text").dropDuplicates(["key"])
     return met.mapInArrow(run, "key long, shingles array<long>")
 

@@ -49,7 +49,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     out = jaccard.row_hashes(docs).join(kept.hint("merge"), ["row_a", "row_b"], "left_semi")
     if not named.groupBy("row_a", "row_b").count().where("count > 1").isEmpty():
         out = out.dropDuplicates(["row_a", "row_b"])  # rows that are equal in all columns
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
