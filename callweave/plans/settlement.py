@@ -103,6 +103,25 @@ def settlement_documents(q: DataFrame) -> DataFrame:
     return out.select("query_id", "total_transaction", F.coalesce("mou_mbs", "mou_minutes").cast("double").alias("measure"))
 
 
+def document_sql(number: int) -> str:
+    """A line as the document store reads it: unknown numbers and destinations count, no length is tested."""
+    where, keys, n, _, minutes, mbs = SQL_LINES[number]
+    where = where.replace(" AND LENGTH(opposite_number) > 10", "").replace(AWAY, "roaming_destination_id IS DISTINCT FROM 87").replace(FOREIGN, f"COALESCE({FOREIGN}, TRUE)")
+    by_minute = _once(UPD, 60) if number == 7 else f"SUM({_even(UPD, 60)}) / 100.0"
+    group = f" GROUP BY {', '.join(keys)}" if keys else ""
+    return (
+        f"SELECT {number} AS query_id, {n} AS total_transaction, CAST(SUM({UPD}) AS DOUBLE) AS mou, {by_minute if minutes != NONE else NONE} AS mou_minutes,"
+        f" {f'SUM({_even(UPD, 1048576)}) / 100.0' if mbs != NONE else NONE} AS mou_mbs FROM request_log WHERE {where} AND {IN_REQUEST}{group}"
+    )
+
+
+@on_request("settlement_documents_by_line", " UNION ALL ".join(f"({document_sql(i)})" for i in SQL_LINES))
+def settlement_documents_by_line(q: DataFrame) -> DataFrame:
+    """All lines in the document store's reading."""
+    rules = st.Rules(documents=True, volume="update_used_volume")
+    return as_doubles(st.settle(q, START, END, None, rules)).drop(*st.KEYS)
+
+
 def _cell(cell: str) -> str:
     found = tp.PLACEHOLDER.fullmatch(cell)
     if not found:
