@@ -225,6 +225,16 @@ def opened(kind, path: str):
     return _OPEN[kind, path]
 
 
+def close_all() -> None:
+    """Gives back what coders and decoders hold.  Spark keeps worker processes from one
+    job to the next; operators that need memory themselves call this first."""
+    import gc
+
+    if _OPEN:
+        _OPEN.clear()
+        gc.collect()
+
+
 def small_batches(batch, size: int = 1 << 22) -> Iterator:
     """Slices of a record batch whose second column holds about ``size`` bytes each."""
     import pyarrow.compute as pc

@@ -29,7 +29,7 @@ from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .bpe import small_batches
+from .bpe import close_all, small_batches
 from .components import connected_components
 from .simhash import links, majority
 from .storage import small, written
@@ -89,6 +89,7 @@ def common_shingles(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        close_all()
         sets = [shingles(t) for whole in batches for b in small_batches(whole) for t in b.column(1).to_pylist()]
         if sets:
             found, counts = np.unique(np.concatenate(sets), return_counts=True)
@@ -132,6 +133,7 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         import numpy as np
         import pyarrow as pa
 
+        close_all()
         found, counts = common.value
 
         def front(s: np.ndarray) -> np.ndarray:
@@ -159,6 +161,7 @@ def _sets(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        close_all()
         for whole in batches:
             for b in small_batches(whole):
                 sets = pa.array([shingles(t) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))

@@ -18,7 +18,7 @@ from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, functions as F
 
-from .bpe import small_batches
+from .bpe import close_all, small_batches
 from .labelled import fold, labelled_texts
 
 if TYPE_CHECKING:
@@ -201,6 +201,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
+        close_all()
         x = np.array([features(t.as_py()) for t in texts]).reshape(len(texts), len(ranking.centre))
         return pa.array(ranking.score(x), pa.float64())
 

@@ -17,7 +17,7 @@ from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, functions as F
 
-from .bpe import small_batches
+from .bpe import close_all, small_batches
 from .labelled import labelled_texts
 from .pieces import sections
 
@@ -271,6 +271,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def chance(texts):  # type: ignore[no-untyped-def]
         import pyarrow as pa
 
+        close_all()
         return pa.array([float(model.chances(t.as_py())[0]) for t in texts], pa.float64())
 
     return docs.where(chance(F.col("text").cast("string")) < model.bar)
