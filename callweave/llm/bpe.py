@@ -230,13 +230,18 @@ def close_all() -> None:
     job to the next; operators that need memory themselves call this first."""
     import gc
 
+    import pyarrow as pa
+
     if _OPEN:
         _OPEN.clear()
         gc.collect()
+        pa.default_memory_pool().release_unused()
 
 
 def small_batches(batch, size: int = 1 << 22) -> Iterator:
-    """Slices of a record batch whose second column holds about ``size`` bytes each."""
+    """Slices of a record batch whose second column holds about ``size`` bytes each.
+    After each whole batch, memory that Arrow keeps for later is given back."""
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
@@ -248,6 +253,7 @@ def small_batches(batch, size: int = 1 << 22) -> Iterator:
         held += n
     if at < len(sizes):
         yield batch.slice(at)
+    pa.default_memory_pool().release_unused()
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
