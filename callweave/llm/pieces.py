@@ -111,8 +111,9 @@ class PieceCoder:
         encode_whole: Callable[[str], bytes],
         specials: list[str],
         limit: int = 80_000,
+        block: int = BLOCK,
     ) -> None:
-        self.encode_pieces, self.encode_whole, self.specials = encode_pieces, encode_whole, specials
+        self.encode_pieces, self.encode_whole, self.specials, self.block = encode_pieces, encode_whole, specials, block
         self.after_blank, self.heads = Recent(limit), Recent(limit // 8)
 
     def _encode_new(self, seen: set[str], firsts: set[str]) -> None:
@@ -184,13 +185,13 @@ class PieceCoder:
                 continue
             held.append(t)
             size += len(t)
-            if size > BLOCK:
+            if size > self.block:
                 flush()
         flush()
         return out
 
 
-def library_coder(path: str, limit: int = 400_000) -> PieceCoder:
+def library_coder(path: str, limit: int = 600_000, block: int = 2 * BLOCK) -> PieceCoder:
     """A coder whose pieces are encoded by the tokenizers library."""
     import os
 
@@ -230,4 +231,4 @@ def library_coder(path: str, limit: int = 400_000) -> PieceCoder:
 
     with open(path, encoding="utf-8") as f:
         added = [t["content"] for t in json.load(f)["added_tokens"]]
-    return PieceCoder(encode_pieces, encode_whole, added, limit)
+    return PieceCoder(encode_pieces, encode_whole, added, limit, block)

@@ -32,7 +32,7 @@ if TYPE_CHECKING:
 
 MAGIC = b"CWPAIR01"
 SHARD_IDS = 1 << 21
-FILE_BYTES, LEAST_FILES = 256 << 20, 64  # text in a file of a large corpus, and the files of a small one
+FILE_BYTES, LEAST_FILES = 256 << 20, 24  # text in a file of a large corpus, and the files of a small one
 SHARDS_A_TASK = 32  # that one task reads back
 LEAST_COUNT = 4  # a rule takes 12 bytes of a file and each use of it saves a symbol of 3: a rarer pair does not pay
 SLOT_BITS = 20
