@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from .pieces import WORDS, PieceCoder, Recent, vocabulary_path
 
 SCAN_LIMIT = 48  # longer words are merged with a heap
-PAIR_MEMORY = 200_000
+PAIR_MEMORY = 120_000
 
 
 def byte_symbols() -> dict[int, str]:
@@ -160,7 +160,7 @@ class Speculator:
         return out
 
 
-def speculative_coder(path: str, word_limit: int = 80_000) -> PieceCoder:
+def speculative_coder(path: str, word_limit: int = 50_000) -> PieceCoder:
     """A coder that cuts pieces into pre-tokens and speculates on the words it has not met."""
     import numpy as np
     import regex

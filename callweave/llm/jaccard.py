@@ -38,7 +38,7 @@ if TYPE_CHECKING:
     import numpy as np
 
 WORDS = 5
-FEW, PIVOTS = 16, 8
+FEW, PIVOTS = 4, 4
 PARITIES = 2048
 SAMPLE, SAMPLE_TASKS, COMMON = 16_000, 4, 500_000  # documents and shingles that the order is learned from
 
@@ -205,10 +205,10 @@ def _long_enough(n: str, reach: str, m: str, other: str) -> Column:
     return (4 * F.col(m) <= F.col(reach)) & (4 * F.col(n) <= F.col(other))
 
 
-def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+def _pairs(left: DataFrame, right: DataFrame, of: str = "x <> y") -> DataFrame:
     """Distinct pairs (a, b), a < b, of members of the same shingle that are not connected and may be similar."""
     right = right.select("k", F.col("key").alias("y"), F.col("n").alias("m"), F.col("reach").alias("other"), F.col("root").alias("s"))
-    met = left.select("k", F.col("key").alias("x"), "n", "reach", "root").join(right, "k").where("root <> s").where(_long_enough("n", "reach", "m", "other"))
+    met = left.select("k", F.col("key").alias("x"), "n", "reach", "root").join(right, "k").where(of).where("root <> s").where(_long_enough("n", "reach", "m", "other"))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -230,7 +230,7 @@ def components(docs: DataFrame, uniq: DataFrame, text_col: str = "text") -> Data
     central = F.struct(F.col("reach") / F.col("n"), "key")
     salted = crowd.groupBy("k", F.pmod(F.xxhash64("key"), F.lit(PIVOTS)).alias("salt")).agg(F.max_by(F.struct("key", "n", "reach", "root"), central).alias("p"))
     pivots = salted.select("k", "p.*")
-    first = written(_pairs(few, few).unionByName(_pairs(crowd, pivots)).distinct(), "pairs")
+    first = written(_pairs(few, few, "x < y").unionByName(_pairs(crowd, pivots)).distinct(), "pairs")
     edges = edges.unionByName(written(_verified(docs, first, uniq, text_col), "links"))
     roots = connected_components(edges)
     if crowd.isEmpty():

@@ -24,7 +24,7 @@ SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 WIDE_GAPS = tuple(f" {c}" for c in SPACES)
 NARROW_GAPS = tuple(f" {c}" for c in SPACES if c < "\x80")
 MARKS = ".,;:!?|*#$%&"  # ASCII marks that never share a pre-token with letters before them
-SECTION, BLOCK, SHORT = 1 << 20, 1 << 21, 1 << 14
+SECTION, BLOCK, SHORT = 1 << 20, 1 << 20, 1 << 14
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -110,7 +110,7 @@ class PieceCoder:
         encode_pieces: Callable[[list[str]], list[bytes]],
         encode_whole: Callable[[str], bytes],
         specials: list[str],
-        limit: int = 80_000,
+        limit: int = 50_000,
         block: int = BLOCK,
     ) -> None:
         self.encode_pieces, self.encode_whole, self.specials, self.block = encode_pieces, encode_whole, specials, block
@@ -191,7 +191,7 @@ class PieceCoder:
         return out
 
 
-def library_coder(path: str, limit: int = 600_000, block: int = 2 * BLOCK) -> PieceCoder:
+def library_coder(path: str, limit: int = 600_000, block: int = 4 * BLOCK) -> PieceCoder:
     """A coder whose pieces are encoded by the tokenizers library."""
     import os
 
