@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, media, quality, toxicity
+from . import infill, language, media, quality, toxicity
 from .bpe import digests
 from .edits import edited_counts
 from .repair import token_index, write_shards
 from .sharding import shard
 from .simhash import near_duplicates
+from .suffixes import remove_repeats
+from .whitening import whiten
 from .winnow import decontaminate
 
 
@@ -62,6 +64,18 @@ def op9_edit_aware_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_counts(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"), length=200)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(_table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), most=16)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_speculative_bpe,
         op9_edit_aware_token_counts,
         op10_bradley_terry_quality,
+        op11_prefix_free_dedup,
+        op12_fill_in_middle,
+        op13_embedding_whitening,
     )
 }
 
@@ -96,4 +113,14 @@ named AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
     sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)""",
+    "op12_fill_in_middle": r"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS text, sha256(concat('42:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS d FROM documents),
+drawn AS (SELECT doc_id, text, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+    CAST('0x' || d[1:8] AS BIGINT) AS h1, CAST('0x' || d[9:16] AS BIGINT) AS h2, CAST('0x' || d[17:24] AS BIGINT) AS h3, CAST('0x' || d[25:32] AS BIGINT) AS h4 FROM doc),
+formed AS (SELECT doc_id, text, u, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+cut AS (SELECT doc_id, text, n, form, array_to_string(u[1 : a], '') AS p, array_to_string(u[a + 1 : b], '') AS m, array_to_string(u[b + 1 : n], '') AS s FROM formed)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', p, '<S>', s, '<M>', m) ELSE concat('<S>', s, '<P>', p, '<M>', m) END) AS output_sha256, sha256(text) AS restored_sha256
+FROM cut""",
 }
