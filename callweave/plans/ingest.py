@@ -46,10 +46,21 @@ def read_usage_csv(u: DataFrame) -> DataFrame:
     return good.select("usage_log_id", "msisdn", "rat_type", "usage_start_time", F.col("usage_unit").cast("double").alias("usage_unit"), F.col("last_grant_shared_bucket_type_ids").alias("bucket_types"))
 
 
-@on_usage("quarantine_bad_rows", "SELECT 'usage_log' AS table_name, CAST(usage_log_id AS VARCHAR) AS row_identifier, 'usage_unit' AS column_name, 'many' AS bad_value FROM usage_log WHERE usage_log_id % 50 = 3")
+@on_usage(
+    "quarantine_bad_rows",
+    "SELECT 'usage_log' AS table_name, source_file, row_number, row_identifier, column_name, bad_value, error_message FROM"
+    " (SELECT usage_log_id, CAST(usage_log_id % 4 AS VARCHAR) AS source_file, ROW_NUMBER() OVER (PARTITION BY usage_log_id % 4 ORDER BY usage_log_id) AS row_number, CAST(usage_log_id AS VARCHAR) AS row_identifier,"
+    " 'usage_unit' AS column_name, 'many' AS bad_value, 'not a decimal(32,16)' AS error_message FROM usage_log) WHERE usage_log_id % 50 = 3",
+)
 def quarantine_bad_rows(u: DataFrame) -> DataFrame:
-    _, bad = delimited.read_usage_csv(u.sparkSession, csv_file(usage_cells(u, spoil=True), "usage-csv"))
-    return bad.select("table_name", "row_identifier", "column_name", "bad_value")
+    """Bad cells in four files, whose rows are in the order of ids and have notes of several lines."""
+    cells = usage_cells(u, spoil=True).withColumn("notes", F.when(F.col("usage_log_id").cast("long") % 3 == 0, 'two\nlines, "quoted"').otherwise("NULL"))
+    number = F.col("usage_log_id").cast("long")
+    files = cells.withColumn("file", number % 4).repartition(4, "file").sortWithinPartitions("file", number)
+    path = scratch(u.sparkSession, "usage-csv")
+    files.write.partitionBy("file").option("header", True).option("escape", '"').csv(path)
+    _, bad = delimited.read_usage_csv(u.sparkSession, path)
+    return bad.withColumn("source_file", F.regexp_extract("source_path", "file=([0-9]+)", 1)).drop("source_path")
 
 
 @on_request("read_request_csv", "SELECT request_log_id, session_id, rating_group, CAST(act_update_used_volume AS DOUBLE) AS volume, req_time FROM request_log")

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
+from .records import numbered_cells
+from .scratch import scratch
 
 Layout = list[tuple[str, str]]
+WHITE = " \t\n\r\x0b\x0c"
 DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm", "yyyy-MM-dd HH:mm"]
 
 
 def nullify(cell: Column, dates: bool = False) -> Column:
     """Trimmed cell; empty and NULL in any case become null, for dates N/A too."""
-    text = F.trim(cell)
+    text = F.btrim(cell, F.lit(WHITE))
     spelled = ["", "NULL", "N/A"] if dates else ["", "NULL"]
     return F.when(~F.upper(text).isin(spelled), text)
 
@@ -59,30 +62,39 @@ def cast_cells(cells: DataFrame, layout: Layout, key: str) -> DataFrame:
     )
 
 
-def good_and_bad(cells: DataFrame, layout: Layout, table: str, key: str, row_number: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows that cast, and (table_name, row_number, row_identifier, column_name,
-    bad_value, error_message) of those that do not."""
+def good_and_bad(cells: DataFrame, layout: Layout, table: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that cast, and (table_name, source_path, row_number, row_identifier,
+    column_name, bad_value, error_message) of those that do not.
+
+    All rows are handed over as a table first: files are read and cells are cast once for
+    both, and a filter on the good rows does not make Spark look for constraints
+    in some hundred renamed and cast columns, which takes minutes.
+    """
     rows = cast_cells(cells, layout, key)
-    number = F.col(row_number).cast("long") if row_number else F.lit(None).cast("long")
-    bad = rows.where(F.col("bad").isNotNull()).select(F.lit(table).alias("table_name"), number.alias("row_number"), "row_identifier", "bad.*")
+    path = scratch(cells.sparkSession, "cast-cells")
+    rows.write.parquet(path)
+    rows = cells.sparkSession.read.schema(rows.schema).parquet(path)
+    bad = rows.where(F.col("bad").isNotNull()).select(F.lit(table).alias("table_name"), "source_path", "row_number", "row_identifier", "bad.*")
     return rows.where(F.col("bad").isNull()).select(*[n for n, _ in layout]), bad
 
 
 def read_usage_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return good_and_bad(read_cells(spark, path, [n for n, _ in schemas.USAGE_LOG]), schemas.USAGE_LOG, "usage_log", "usage_log_id")
+    """Rejected rows are numbered from 1 in their file, without the header."""
+    return good_and_bad(numbered_cells(spark, path, [n for n, _ in schemas.USAGE_LOG]), schemas.USAGE_LOG, "usage_log", "usage_log_id")
 
 
 def read_request_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """The header must name the 62 columns in order."""
+    """The header must name the 62 columns in order.  It is row 1, so rejected rows count from 2."""
     names = [n for n, _ in schemas.REQUEST_LOG]
     found = [h.strip().strip('"') for h in header_of(spark, path).split(",")]
     if found != names:
         raise ValueError(f"unexpected header: {found[:5]}... has {len(found)} columns")
-    return good_and_bad(read_cells(spark, path, names), schemas.REQUEST_LOG, "request_log", "request_log_id")
+    return good_and_bad(numbered_cells(spark, path, names, first=2), schemas.REQUEST_LOG, "request_log", "request_log_id")
 
 
 def read_service_plan_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return good_and_bad(read_cells(spark, path, [n for n, _ in schemas.SERVICE_PLAN]), schemas.SERVICE_PLAN, "sim_service_plan", "sim_service_plan_id")
+    """As in request files, the header is row 1."""
+    return good_and_bad(numbered_cells(spark, path, [n for n, _ in schemas.SERVICE_PLAN], first=2), schemas.SERVICE_PLAN, "sim_service_plan", "sim_service_plan_id")
 
 
 def read_country_codes(spark: SparkSession, path: str) -> DataFrame:

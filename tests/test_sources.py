@@ -34,6 +34,56 @@ def test_usage_cells(spark, tmp_path):
     assert got == {("2", "usage_unit"), ("three", "usage_log_id"), ("4", "sim_id"), (None, "usage_log_id")}
 
 
+def test_rejected_rows_have_their_number_in_splits_and_multi_line_cells(spark, tmp_path):
+    """Line breaks, quotes and separators inside cells, blank lines, and splits that begin anywhere."""
+    n = len(USAGE) - 1
+    for name in ("a", "b"):
+        rows = []
+        for i in range(1, 301):
+            cells = [str(i)] + [""] * n
+            cells[USAGE.index("notes")] = '"one\n""two"", three\r\n' + "x" * (i % 7) + '\n"' if i % 3 == 0 else "plain"
+            cells[USAGE.index("usage_unit")] = "bad" if i % 50 == 0 else "1.5"
+            rows.append(",".join(cells) + ("\n\n" if i % 11 == 0 else "\r\n" if name == "b" else "\n"))
+        (tmp_path / f"{name}.csv").write_text("\ufeff" + ",".join(USAGE) + "\n" + "".join(rows), encoding="utf-8", newline="")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7001")
+    try:
+        good, bad = delimited.read_usage_csv(spark, str(tmp_path))
+        assert good.rdd.getNumPartitions() > 6
+        assert good.count() == 588 and {r["notes"] for r in good.where("usage_log_id = 7 or usage_log_id = 9").collect()} == {"plain", 'one\n"two", three\r\nxx'}
+        got = sorted((r["source_path"].rsplit("/", 1)[-1], r["row_number"], r["row_identifier"]) for r in bad.collect())
+        assert got == [(f"{f}.csv", i, str(i)) for f in "ab" for i in range(50, 301, 50)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_records_equal_the_csv_module(spark, tmp_path):
+    import csv
+    import io
+    import random
+
+    from callweave.sources.records import numbered_records
+
+    rnd, want = random.Random(1), {}
+    pieces = ["a", "b", "é", '"', '""', '"x"', "\n", "\r\n", ",", ",", '","', '"\n', '\n"', " "]
+    for k in range(12):
+        text = "".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 200)))
+        (tmp_path / f"f{k}.csv").write_text(text, encoding="utf-8", newline="")
+        want[f"f{k}.csv"] = [r for r in csv.reader(io.StringIO(text, newline="")) if r]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
+    try:
+        got: dict = {}
+        for r in numbered_records(spark, str(tmp_path)).collect():
+            got.setdefault(r["source_path"].rsplit("/", 1)[-1], {})[r["record"]] = next(csv.reader(io.StringIO(r["text"], newline="")))
+        ends = lambda rows: [[c.strip("\r\n") for c in row] for row in rows]
+        for name, rows in want.items():
+            numbered = got.get(name, {})
+            assert sorted(numbered) == list(range(1, len(rows) + 1)) and ends(numbered[i] for i in sorted(numbered)) == ends(rows), name
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_request_header_must_match(spark, tmp_path):
     path = tmp_path / "r.csv"
     path.write_text("request_log_id,other\n1,2\n")
