@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from .. import schemas
-from ..functions import camel
-from ..operators import settlement as st, template as tp, upsert
+from ..functions import camel, classify as c
+from ..operators import dated, settlement as st, template as tp, upsert
 from ..sources import delimited, fixtures as fx, smsc
 from ..sources.scratch import scratch
 from ..streaming.consumption import consumption
-from ..streaming.sync import current, sync
-from .catalogue import REQUEST_CTE, USAGE_CTE, on_request, on_smsc, on_usage, query
+from ..streaming.sync import sync
+from .catalogue import IN_USAGE, REQUEST_CTE, USAGE_CTE, on_request, on_smsc, on_usage, query
 from .classification import request_document, usage_document
 from .settlement import REPORT_SQL
 
@@ -276,47 +277,110 @@ def ops_5min_consumption(u: DataFrame) -> DataFrame:
     return consumption(u)
 
 
-def _synced(spark: SparkSession, sf_dir: str, table: str, view: str, enrich, keys: list[str], order: str) -> DataFrame:  # type: ignore[no-untyped-def]
+def _synced(spark: SparkSession, sf_dir: str, table: str, view: str, enrich, keys: list[str], time_col: str, unit: str) -> DataFrame:  # type: ignore[no-untyped-def]
+    """A table by day that a stream of files keeps up to date by key."""
     schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
-    sink, checkpoint = scratch(spark, "sync"), scratch(spark, "sync-state")
+    path, checkpoint = scratch(spark, "synced"), scratch(spark, "sync-state")
 
     def document(batch: DataFrame) -> DataFrame:
-        return enrich(batch.sparkSession.sql(view.replace(f"FROM {table}", "FROM {src}"), src=batch))
+        rows = enrich(batch.sparkSession.sql(view.replace(f"FROM {table}", "FROM {src}"), src=batch))
+        return dated.with_day(rows, time_col, unit)
 
-    sync(spark, sf_dir, schema, sink, checkpoint, document, f"{table}.parquet")
-    return current(spark, sink, keys, order)
+    sync(spark, sf_dir, schema, checkpoint, lambda batch, _: dated.upsert(batch.sparkSession, path, document(batch), keys, time_col), f"{table}.parquet")
+    return dated.stored(spark, path, document(spark.createDataFrame([], schema)).schema)
 
 
 @query("stream_usage_sync", f"WITH {USAGE_CTE} SELECT usage_log_id, rat_type, {SERVICE_SQL} AS service_type FROM usage_log")
 def stream_usage_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _synced(spark, sf_dir, "events", fx.USAGE_LOG, lambda u: usage_document(u, "usage_log"), ["usage_log_id"], "usage_start_time")
+    out = _synced(spark, sf_dir, "events", fx.USAGE_LOG, lambda u: usage_document(u, "usage_log"), ["usage_log_id"], "usage_start_time", "day")
     return out.select("usage_log_id", "rat_type", "derived.service_type")
 
 
 @query("stream_request_sync", f"WITH {REQUEST_CTE} SELECT request_log_id, rat_type FROM request_log")
 def stream_request_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _synced(spark, sf_dir, "lineitem", fx.REQUEST_LOG, lambda q: request_document(q, "request_log"), ["request_log_id"], "req_time").select("request_log_id", "rat_type")
+    return _synced(spark, sf_dir, "lineitem", fx.REQUEST_LOG, lambda q: request_document(q, "request_log"), ["request_log_id"], "req_time", "month").select("request_log_id", "rat_type")
 
 
-def ingest_logs(spark: SparkSession, logs: str, sink: str, manifest: str, today: str, layout: list[str] = schemas.SMSC_FIELDS) -> tuple[DataFrame, int]:
+@on_usage("report_window_dated", f"SELECT usage_log_id, rat_type FROM usage_log WHERE {IN_USAGE}")
+def report_window_dated(u: DataFrame) -> DataFrame:
+    """A report's window over the usage log stored by day: only the folders of its days are read."""
+    spark, path = u.sparkSession, scratch(u.sparkSession, "usage-by-day")
+    rows = dated.with_day(u, "usage_start_time")
+    dated.load(spark, path, rows, rows.select("usage_log_id").limit(0))
+    return dated.in_days(dated.stored(spark, path, rows.schema), "usage_start_time", *fx.USAGE_WINDOW).select("usage_log_id", "rat_type")
+
+
+@on_usage("upsert_by_day", "SELECT usage_log_id, CASE WHEN usage_start_time >= TIMESTAMP '2024-01-20 00:00:00' AND usage_log_id % 3 = 0 THEN 'again' ELSE rat_type END AS rat_type FROM usage_log")
+def upsert_by_day(u: DataFrame) -> DataFrame:
+    """Last wins over a table by day: an update of some days, loaded twice, rewrites only these."""
+    spark, path = u.sparkSession, scratch(u.sparkSession, "usage-by-day")
+    rows = dated.with_day(u, "usage_start_time").select("usage_log_id", "rat_type", "usage_start_time", dated.DAY)
+    dated.upsert(spark, path, rows, ["usage_log_id"], "usage_start_time")
+    again = rows.where((F.col("usage_start_time") >= F.lit("2024-01-20").cast("timestamp_ntz")) & (F.col("usage_log_id") % 3 == 0)).withColumn("rat_type", F.lit("again"))
+    for _ in range(2):
+        dated.upsert(spark, path, again, ["usage_log_id"], "usage_start_time")
+    return dated.stored(spark, path, rows.schema).select("usage_log_id", "rat_type")
+
+
+@on_usage("detail_listing_by_day", f"SELECT CAST(usage_start_time AS DATE) AS day, usage_log_id, ROW_NUMBER() OVER (PARTITION BY CAST(usage_start_time AS DATE) ORDER BY usage_start_time, usage_log_id) AS place FROM usage_log WHERE rat_type = 'VO' AND service_type_sub_cd = 'MO' AND roaming_destination_id <> 87 AND {IN_USAGE}")
+def detail_listing_by_day(u: DataFrame) -> DataFrame:
+    """The listing as dated files, read back with each row's place in the files of its day."""
+    path = scratch(u.sparkSession, "listing")
+    rows = u.where("rat_type = 'VO' and service_type_sub_cd = 'MO' and roaming_destination_id <> 87").where(c.report_window("usage_start_time", *fx.USAGE_WINDOW))
+    dated.write_in_order(rows.select("usage_log_id", "msisdn", "opposite_number", "usage_start_time", "usage_unit"), path, "usage_start_time", "usage_log_id")
+    listed = u.sparkSession.read.parquet(path).select(dated.DAY, "usage_log_id", F.struct("_metadata.file_name", "_metadata.row_index").alias("at"))
+    return listed.select(dated.DAY, "usage_log_id", F.row_number().over(Window.partitionBy(dated.DAY).orderBy("at")).cast("long").alias("place"))
+
+
+class LogLoad(NamedTuple):
+    """What a load of log files did: files found, loaded and skipped, and their lines."""
+
+    files: int
+    loaded: int
+    skipped: int
+    lines: int
+    rows: int
+    invalid_prefix: int
+    parse_errors: int
+
+
+def _log_rows(lines: DataFrame, layout: list[str] = schemas.SMSC_FIELDS, seen: Observation | str = "log-lines") -> DataFrame:
+    """Parsed lines without error, by the day of their file; ``seen`` observes all of them on the way."""
+    lines = lines.withColumn("source_path", smsc.plain_path(F.col("source_path")))
+    parsed = smsc.parse_lines(lines, layout).observe(seen, *smsc.line_counts())
+    return dated.with_day(parsed.where("error is null").drop("error"), smsc.file_date("source_path"))
+
+
+def _log_table(spark: SparkSession, path: str, layout: list[str] = schemas.SMSC_FIELDS) -> DataFrame:
+    lines = spark.createDataFrame([], "source_path string, line_number long, raw_line string")
+    return dated.stored(spark, path, _log_rows(lines, layout).schema)
+
+
+def ingest_logs(spark: SparkSession, logs: str, sink: str, manifest: str, today: str, layout: list[str] = schemas.SMSC_FIELDS) -> tuple[DataFrame, LogLoad]:
     """Loads the log files of complete days that are new or changed, and returns the
-    table by file and line, and how many files were loaded.
+    table by day, and what was done.
 
-    Each load is a batch of its own number in ``sink``; the manifest gets its
-    files after that, so a load that broke off is done again by the next one.
+    The rows of a file replace all its earlier ones, so a file that comes again with
+    fewer lines leaves none of the old ones.  The manifest gets the files after
+    that: a load that broke off is done again by the next one.
     """
     names = ["path", "length", "modification_time"]
     listed = spark.createDataFrame([], "path string, length long, modification_time timestamp")
     done = _stored(spark, manifest, listed.schema)
     files = smsc.discover(smsc.list_files(spark, logs), F.lit(today).cast("date"))
-    fresh = upsert.handed_over(smsc.skip_processed(files, done).select(*names), "fresh-files")
+    found = files.count()
+    fresh = upsert.handed_over(smsc.skip_processed(files, done).select(*names, "file_date"), "fresh-files")
     paths = [r["path"] for r in fresh.select("path").collect()]  # the reader takes a list: some hundred files a load
+    counts = {"lines": 0, "rows": 0, "invalid_prefix": 0, "parse_errors": 0}
     if paths:
         number = done.select("load").distinct().count()
-        parsed = smsc.parse_lines(smsc.numbered_lines(spark, paths), layout).where("error is null")
-        parsed.write.mode("overwrite").parquet(f"{sink}/batch={number}")
-        fresh.write.mode("overwrite").parquet(f"{manifest}/load={number}")
-    return current(spark, sink, ["source_path", "line_number"], "line_number"), len(paths)
+        seen = Observation("log-load")
+        rows = upsert.handed_over(_log_rows(smsc.numbered_lines(spark, paths), layout, seen), "log-rows")
+        counts = seen.get
+        replaced = fresh.select(smsc.plain_path(F.col("path")).alias("source_path"))
+        dated.load(spark, sink, rows, replaced, fresh.select(F.col("file_date").alias(dated.DAY)))
+        fresh.select(*names).write.mode("overwrite").parquet(f"{manifest}/load={number}")
+    return _log_table(spark, sink, layout), LogLoad(found, len(paths), found - len(paths), **counts)
 
 
 def _stored(spark: SparkSession, folder: str, schema) -> DataFrame:  # type: ignore[no-untyped-def]
@@ -355,7 +419,7 @@ def smsc_log_ingest(s: DataFrame) -> DataFrame:
     sink, manifest = scratch(spark, "log-table"), scratch(spark, "log-manifest")
     ingest_logs(spark, logs, sink, manifest, "1998-01-01")
     table, again = ingest_logs(spark, logs, sink, manifest, "1998-01-01")
-    if again:
+    if again.loaded:
         raise RuntimeError("a file was loaded twice")
     return table.select(F.element_at(F.split("source_path", "/"), -1).alias("source_path"), "line_number", "addr_src_digits", "sms_text")
 
@@ -368,11 +432,12 @@ def smsc_log_ingest(s: DataFrame) -> DataFrame:
 def stream_smsc_ingest(s: DataFrame) -> DataFrame:
     """The same logs as a stream of files, whole or in splits, each micro-batch numbered and parsed."""
     spark, logs = s.sparkSession, log_files(s)
-    sink, checkpoint = scratch(spark, "sync"), scratch(spark, "sync-state")
+    path, checkpoint = scratch(spark, "log-table"), scratch(spark, "sync-state")
 
-    def parse(batch: DataFrame) -> DataFrame:
-        return smsc.parse_lines(smsc.numbered(batch)).where("error is null")
+    def load(batch: DataFrame, _: int) -> None:
+        rows = upsert.handed_over(_log_rows(smsc.numbered(batch)), "log-rows")
+        files = upsert.handed_over(batch.select(smsc.plain_path(F.col("source_path")).alias("source_path")).distinct(), "log-files")
+        dated.load(batch.sparkSession, path, rows, files, files.select(smsc.file_date("source_path").alias(dated.DAY)))
 
-    sync(spark, logs, StructType.fromDDL("value string"), sink, checkpoint, parse, "cdr.log.*", "text", tuple(map(F.expr, smsc.PLACED_LINE)))
-    table = current(spark, sink, ["source_path", "line_number"], "line_number")
-    return table.select(F.element_at(F.split("source_path", "/"), -1).alias("source_path"), "line_number", "addr_src_digits", "sms_text")
+    sync(spark, logs, StructType.fromDDL("value string"), checkpoint, load, "cdr.log.*", "text", tuple(map(F.expr, smsc.PLACED_LINE)))
+    return _log_table(spark, path).select(F.element_at(F.split("source_path", "/"), -1).alias("source_path"), "line_number", "addr_src_digits", "sms_text")

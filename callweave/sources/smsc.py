@@ -22,10 +22,20 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", "length", F.col("modificationTime").alias("modification_time"))
 
 
+def plain_path(path: Column) -> Column:
+    """A path in one spelling: readers and listings write local ones with one or three slashes."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def file_date(path: Column | str) -> Column:
+    """The day in a log file's name; null for other names."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return F.try_to_date(F.nullif(F.regexp_extract(name, FILE_NAME, 1), F.lit("")))
+
+
 def discover(listing: DataFrame, today: Column) -> DataFrame:
     """Log files of complete days, with file_date, in the order of date and path."""
-    name = F.element_at(F.split("path", "/"), -1)
-    dated = listing.withColumn("file_date", F.try_to_date(F.nullif(F.regexp_extract(name, FILE_NAME, 1), F.lit(""))))
+    dated = listing.withColumn("file_date", file_date("path"))
     return dated.where(F.col("file_date") < today).orderBy("file_date", "path")
 
 
@@ -105,6 +115,15 @@ def parse_lines(lines: DataFrame, layout: list[str] = SMSC_FIELDS, least_fields:
     return rows.select("source_path", "line_number", "raw_line", "raw_cdr", "raw_fields_count", "error", *[field(i).alias(f) for i, f in enumerate(layout)], extra.alias("extra_fields"))
 
 
+def line_counts() -> list[Column]:
+    """Counts of parsed lines: all, without error, and by error."""
+    error = F.col("error")
+    return [
+        F.count("*").alias("lines"), F.count_if(error.isNull()).alias("rows"),
+        F.count_if(error.eqNullSafe("INVALID_PREFIX")).alias("invalid_prefix"), F.count_if(error.eqNullSafe("CSV_ERROR")).alias("parse_errors"),
+    ]
+
+
 def file_stats(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("source_path").agg(
         F.count("*").alias("total"),

@@ -1,40 +1,25 @@
-"""Incremental copies: new files are enriched and upserted by key, restart-safe.
+"""Incremental copies: new files are enriched and loaded, restart-safe.
 
-Every micro-batch writes its rows to a folder of its own number, so a batch that
-runs again replaces itself.  The current table is the last row of each key over
-all batches; ``compact`` folds them into one.
+Spark's checkpoint remembers the files that are done.  A micro-batch that runs again
+loads the same rows again, so ``load`` has to give the same table then, as the dated
+tables of ``operators.dated`` do.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
 def sync(
-    spark: SparkSession, folder: str, schema: StructType, sink: str, checkpoint: str,
-    enrich: Callable[[DataFrame], DataFrame], name_filter: str = "*.parquet", file_format: str = "parquet", columns: tuple[Column | str, ...] = ("*",),
+    spark: SparkSession, folder: str, schema: StructType, checkpoint: str, load: Callable[[DataFrame, int], None],
+    name_filter: str = "*.parquet", file_format: str = "parquet", columns: tuple[Column | str, ...] = ("*",),
 ) -> None:
-    """Loads what is new in ``folder`` and stops; schedule it, or give a processing-time
-    trigger to run on.  The checkpoint remembers the files that are done.  ``columns`` are
-    what ``enrich`` gets of each batch; they may name the files' hidden metadata."""
+    """Gives what is new in ``folder`` to ``load`` with the number of the micro-batch, and
+    stops; schedule it.  ``columns`` are what is read of the files, and may name their
+    hidden metadata.  A folder without files loads nothing."""
     reader = spark.readStream.schema(schema).format(file_format).option("pathGlobFilter", name_filter)
-
-    def load(batch: DataFrame, number: int) -> None:
-        enrich(batch).write.mode("overwrite").parquet(f"{sink}/batch={number}")
-
     query = reader.load(folder).select(*columns).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-
-
-def current(spark: SparkSession, sink: str, keys: list[str], order: str) -> DataFrame:
-    """The last row of each key: of the latest batch, and in it the one with the largest ``order``."""
-    rows = spark.read.parquet(sink)
-    newest = Window.partitionBy(*keys).orderBy(F.desc("batch"), F.desc_nulls_last(order))
-    return rows.withColumn("__rank", F.row_number().over(newest)).where("__rank = 1").drop("__rank", "batch")
-
-
-def compact(spark: SparkSession, sink: str, keys: list[str], order: str, out: str) -> None:
-    current(spark, sink, keys, order).write.mode("overwrite").parquet(f"{out}/batch=0")

@@ -153,16 +153,6 @@ def test_last_wins_keeps_the_last_row_of_a_file(spark):
     assert got == {(1, "third"), (2, "only"), (None, "m")}
 
 
-def test_current_keeps_the_last_row_of_the_last_batch(spark, tmp_path):
-    from callweave.streaming.sync import compact, current
-
-    for batch, rows in enumerate([[(1, 5, "old"), (2, 1, "a"), (2, 2, "b")], [(1, 2, "newer"), (1, 1, "new")]]):
-        spark.createDataFrame(rows, "k int, line int, v string").write.parquet(f"{tmp_path}/sink/batch={batch}")
-    assert {(r["k"], r["v"]) for r in current(spark, f"{tmp_path}/sink", ["k"], "line").collect()} == {(1, "newer"), (2, "b")}
-    compact(spark, f"{tmp_path}/sink", ["k"], "line", f"{tmp_path}/small")
-    assert spark.read.parquet(f"{tmp_path}/small").count() == 2
-
-
 def test_last_wins_is_idempotent(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y"), (None, "n")], "k int, v string")
     once = upsert.last_wins(a, [spark.createDataFrame([(2, "z")], "k int, v string")], ["k"], "v")

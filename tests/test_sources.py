@@ -165,12 +165,27 @@ def test_logs_from_files_to_table(spark, tmp_path):
     (logs / "cdr.log.2024-01-01").write_text("\n".join([line.format("a"), "broken", line.format("b")]) + "\n")
     (logs / "cdr.log.2024-01-02").write_text(line.format("c") + "\n")
     (logs / "cdr.log.2024-01-05").write_text(line.format("today") + "\n")
-    first, _ = ingest_logs(spark, str(logs), sink, manifest, "2024-01-05")
+    first, did = ingest_logs(spark, str(logs), sink, manifest, "2024-01-05")
+    assert tuple(did) == (2, 2, 0, 4, 3, 1, 0)
     assert sorted((r["line_number"], r["addr_src_digits"]) for r in first.collect()) == [(1, "a"), (1, "c"), (3, "b")]
     with open(logs / "cdr.log.2024-01-01", "a") as f:
         f.write(line.format("d") + "\n")
-    second, loaded = ingest_logs(spark, str(logs), sink, manifest, "2024-01-05")
-    assert loaded == 1
+    second, did = ingest_logs(spark, str(logs), sink, manifest, "2024-01-05")
+    assert tuple(did) == (2, 1, 1, 4, 3, 1, 0)
     assert sorted((r["line_number"], r["addr_src_digits"]) for r in second.collect()) == [(1, "a"), (1, "c"), (3, "b"), (4, "d")]
-    third, loaded = ingest_logs(spark, str(logs), sink, manifest, "2024-01-05")
-    assert loaded == 0 and third.count() == 4
+    third, did = ingest_logs(spark, str(logs), sink, manifest, "2024-01-05")
+    assert did.loaded == 0 and third.count() == 4
+    (logs / "cdr.log.2024-01-01").write_text(line.format("shorter") + "\n")
+    fourth, did = ingest_logs(spark, str(logs), sink, manifest, "2024-01-05")
+    assert sorted((r["line_number"], r["addr_src_digits"]) for r in fourth.collect()) == [(1, "c"), (1, "shorter")]
+    (logs / "cdr.log.2024-01-02").write_text("nothing valid\n")
+    fifth, did = ingest_logs(spark, str(logs), sink, manifest, "2024-01-05")
+    assert [r["addr_src_digits"] for r in fifth.collect()] == ["shorter"]
+
+
+def test_no_logs_are_an_empty_table(spark, tmp_path):
+    from callweave.plans.ingest import ingest_logs
+
+    (tmp_path / "logs").mkdir()
+    table, did = ingest_logs(spark, str(tmp_path / "logs"), str(tmp_path / "sink"), str(tmp_path / "manifest"), "2024-01-05")
+    assert table.collect() == [] and did.files == 0 and "addr_src_digits" in table.columns
