@@ -1,4 +1,4 @@
-"""Idempotent loads: last wins, first wins, and increments by id."""
+"""Idempotent loads: last wins and first wins."""
 
 from __future__ import annotations
 
@@ -26,28 +26,95 @@ def last_wins(target: DataFrame, updates: list[DataFrame], keys: list[str], orde
     return every.withColumn("__rank", F.row_number().over(newest)).where("__rank = 1").drop("__seq", "__rank")
 
 
-def first_wins(target: DataFrame | None, rows: DataFrame, uniques: list[list[str]], order: str) -> DataFrame:
+def _firsts(left: DataFrame, uniques: list[list[str]], order: str) -> DataFrame:
+    """The rows that come first under all their keys."""
+    firsts = left
+    for i, k in enumerate(uniques):
+        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in k])
+        # rows without a whole key are ranked alone, so that they do not meet in one task
+        rank = F.row_number().over(Window.partitionBy(*k, F.when(~whole, F.col(order))).orderBy(order))
+        firsts = firsts.withColumn(f"__rank{i}", F.when(whole, rank).otherwise(1))
+    return firsts.where(" and ".join(f"__rank{i} = 1" for i in range(len(uniques)))).select(*left.columns)
+
+
+def _groups(links: DataFrame) -> DataFrame:
+    """(node, root) of the connected nodes of ``links`` (node, other), the root being the least
+    of them.  Each round a node and its root take the least root among the node's
+    neighbours, and roots are followed one step further, so rounds grow with the logarithm of a chain."""
+    both = handed_over(links.unionByName(links.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct(), "links")
+    now = handed_over(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("root")), "roots")
+    mark = None
+    while (after := tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("node", "root"))).first())) != mark:
+        mark = after
+        near = both.join(now.select(F.col("node").alias("other"), F.col("root").alias("m")), "other").groupBy("node").agg(F.min("m").alias("m"))
+        told = now.join(near, "node").select("node", "root", F.least("root", "m").alias("m"))
+        told = told.select("node", "m").unionByName(told.select(F.col("root").alias("node"), "m")).groupBy("node").agg(F.min("m").alias("root"))
+        further = told.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        now = handed_over(told.join(further, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "roots")
+    return now
+
+
+def _in_order(left: DataFrame, uniques: list[list[str]], order: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (node) that win in groups of conflicts of at most ``most`` rows, each taken in
+    order by one task, and the rows (node) of larger groups."""
+    keys = []
+    for i, k in enumerate(uniques):
+        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in k])
+        keys.append(F.when(whole, F.to_json(F.array(*[F.col(c).cast("string") for c in k]))).alias(f"k{i}"))
+    named = handed_over(left.select(F.col(order).alias("node"), *keys), "keys")
+    links = []
+    for i in range(len(uniques)):
+        first = named.where(F.col(f"k{i}").isNotNull()).groupBy(f"k{i}").agg(F.min("node").alias("other"))
+        links.append(named.join(first, f"k{i}").select("node", "other"))
+    grouped = named.join(_groups(reduce(DataFrame.unionByName, links)), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = grouped.groupBy("root").agg((F.count("*") <= most).alias("fits"))
+    grouped = handed_over(grouped.join(sizes, "root"), "groups")
+
+    def run(rows):  # type: ignore[no-untyped-def]
+        rows = rows.sort_values("node")
+        seen: list[set] = [set() for _ in uniques]
+        won = []
+        for keys in zip(*[rows[f"k{i}"] for i in range(len(uniques))]):
+            free = all(k is None or k not in s for k, s in zip(keys, seen))
+            won.append(free)
+            if free:
+                for k, s in zip(keys, seen):
+                    s.add(k)
+        return rows.loc[won, ["node"]]
+
+    kind = left.schema[order].dataType.simpleString()
+    return grouped.where("fits").drop("fits").groupBy("root").applyInPandas(run, f"node {kind}"), grouped.where("not fits").select("node")
+
+
+ROUNDS = 3  # rounds before what is left is taken by groups of conflicts
+MOST_ROWS = 1_000_000  # rows of a group that one task takes in order; larger groups go on by rounds
+
+
+def first_wins(target: DataFrame | None, rows: DataFrame, uniques: list[list[str]], order: str, most: int = MOST_ROWS) -> DataFrame:
     """The rows that a load with ON CONFLICT DO NOTHING inserts, in file order.
 
-    ``uniques`` are the unique keys; a key with a null part never conflicts.  ``order`` is unique.  Each
-    round inserts the rows that come first under all their keys, then drops those
-    in conflict with them, so a row that was not inserted blocks no later one.
-    Rounds end when nothing is left; clean data needs one.
+    ``uniques`` are the unique keys; a key with a null part never conflicts.  ``order`` is
+    unique and not null.  A row that was not inserted blocks no later one.  A round inserts the
+    rows that come first under all their keys and drops those in conflict with them;
+    clean data needs one, and rows that are repeated often are gone after it.  What
+    ROUNDS leave are chains of conflicts: they are cut into groups that do not touch each
+    other, in a number of passes that grows with the logarithm of a chain, and each group is
+    taken in order at once.
     """
     left = rows if target is None else reduce(lambda df, k: df.join(target.select(*k), k, "left_anti"), uniques, rows)
-    inserted = None
+    inserted, done = None, 0
     while True:
-        firsts = left
-        for i, k in enumerate(uniques):
-            whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in k])
-            # rows without a whole key are ranked alone, so that they do not meet in one task
-            rank = F.row_number().over(Window.partitionBy(*k, F.when(~whole, F.col(order))).orderBy(order))
-            firsts = firsts.withColumn(f"__rank{i}", F.when(whole, rank).otherwise(1))
-        won = firsts.where(" and ".join(f"__rank{i} = 1" for i in range(len(uniques)))).select(*rows.columns)
-        won = handed_over(won, "inserted")
+        if done and done % ROUNDS == 0:
+            taken, larger = _in_order(left, uniques, order, most)
+            won = left.join(taken.withColumnRenamed("node", order), order, "left_semi").select(*rows.columns)
+            left = left.join(larger.withColumnRenamed("node", order), order, "left_semi").select(*rows.columns)
+            won, left = handed_over(won, "inserted"), handed_over(left, "waiting")
+        else:
+            won = handed_over(_firsts(left, uniques, order), "inserted")
+            rest = left.join(won.select(F.col(order).alias("__won")), F.col(order) == F.col("__won"), "left_anti")
+            left = handed_over(reduce(lambda df, k: df.join(won.select(*k), k, "left_anti"), uniques, rest).select(*rows.columns), "waiting")
         inserted = won if inserted is None else inserted.unionByName(won)
-        rest = left.join(won.select(F.col(order).alias("__won")), F.col(order) == F.col("__won"), "left_anti")
-        left = handed_over(reduce(lambda df, k: df.join(won.select(*k), k, "left_anti"), uniques, rest).select(*rows.columns), "waiting")
+        done += 1
         if left.isEmpty():
             return inserted
 
@@ -56,9 +123,3 @@ def audit(rows: DataFrame, inserted: DataFrame) -> DataFrame:
     """(valid, inserted, skipped) counts of a load."""
     both = rows.agg(F.count("*").alias("valid")).crossJoin(inserted.agg(F.count("*").alias("inserted")))  # one row each
     return both.select("valid", "inserted", (F.col("valid") - F.col("inserted")).alias("skipped"))
-
-
-def after_checkpoint(rows: DataFrame, key: str, checkpoint: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with a larger id than ``checkpoint``, and the next checkpoint."""
-    fresh = rows.where(F.col(key) > checkpoint)
-    return fresh, fresh.agg(F.coalesce(F.max(key), F.lit(checkpoint)).alias("checkpoint"))

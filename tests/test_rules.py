@@ -190,3 +190,38 @@ def test_half_empty_country_rows(spark, tmp_path, bad):
     (tmp_path / "c.csv").write_text("﻿Country,Country code\n" + "".join(f"{a},{b}\n" for a, b in bad))
     with pytest.raises(ValueError):
         delimited.read_country_codes(spark, str(tmp_path / "c.csv"))
+
+
+def greedy(rows):
+    seen, out = [set(), set()], []
+    for i, a, b in sorted(rows):
+        if (a is None or a not in seen[0]) and (b is None or b not in seen[1]):
+            out.append(i)
+            seen[0].add(a)
+            seen[1].add(b)
+    return out
+
+
+def test_first_wins_over_a_long_chain_of_conflicts(spark, monkeypatch):
+    """Row i conflicts with i - 1 by one key and with i + 1 by the other."""
+    from callweave.operators import upsert
+
+    rows = [(i, i // 2, (i + 1) // 2) for i in range(1000)]
+    made = []
+    hand = upsert.handed_over
+    monkeypatch.setattr(upsert, "handed_over", lambda df, label: made.append(label) or hand(df, label))
+    got = upsert.first_wins(None, spark.createDataFrame(rows, "i long, a long, b long"), [["a"], ["b"]], "i")
+    assert sorted(r["i"] for r in got.collect()) == greedy(rows) == list(range(0, 1000, 2))
+    assert len(made) < 30  # tables written; a round for each second row would write a thousand
+
+
+def test_first_wins_in_groups_and_in_groups_that_are_too_large(spark):
+    import random
+
+    from callweave.operators import upsert
+
+    rnd = random.Random(9)
+    rows = [(i, rnd.choice([None, *range(150)]), rnd.choice([None, *range(170)])) for i in rnd.sample(range(10_000), 260)]
+    df = spark.createDataFrame(rows, "i long, a long, b long")
+    for most in (1_000_000, 3):
+        assert sorted(r["i"] for r in upsert.first_wins(None, df, [["a"], ["b"]], "i", most).collect()) == greedy(rows)
