@@ -15,6 +15,9 @@ MOST_SPLITS = 1_000_000  # rows about splits that are broadcast
 #: quoted without a closing quote, plain, or empty.
 CELL = r'\G,("[^"]*+(?:""[^"]*+)*+(?:"[^,]*+|$)|[^",][^,]*+|)'
 
+#: Lines whose quotes open and close whole cells, without doubled ones.
+REGULAR = r'\A(?:"[^"\x01]*+"|[^",\x01]*+)(?:,(?:"[^"\x01]*+"|[^",\x01]*+))*+\z'
+
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, length, modification_time) of all files below ``folder``; contents are not read."""
@@ -77,8 +80,11 @@ def cells_of(payload: Column) -> Column:
 
     A cell that begins with a quote runs to the closing one, or to the end where
     there is none, and two quotes in it stand for one; elsewhere quotes are plain
-    characters.  Lines without quotes are split at the commas.
+    characters.  Lines without quotes are split at the commas, and so are regular ones
+    after commas between quotes have been put aside; only others are matched cell by cell.
     """
+    parts = F.transform(F.split(payload, '"', -1), lambda x, i: F.when(i % 2 == 1, F.translate(x, ",", "\1")).otherwise(x))
+    regular = F.transform(F.split(F.array_join(parts, ""), ",", -1), lambda x: F.translate(x, "\1", ","))
     quoted = F.regexp_extract_all(F.concat(F.lit(","), payload), F.lit(CELL), F.lit(1))
     inside, rest = F.lit('^"([^"]*+(?:""[^"]*+)*+)'), F.lit('^"[^"]*+(?:""[^"]*+)*+"?')
 
@@ -86,7 +92,7 @@ def cells_of(payload: Column) -> Column:
         text = F.concat(F.replace(F.regexp_substr(cell, inside), F.lit('""'), F.lit('"')), F.regexp_replace(cell, rest, F.lit("")))
         return F.when(cell.startswith('"'), F.substring(text, F.lit(2), F.length(text))).otherwise(cell)
 
-    return F.when(payload.contains('"'), F.transform(quoted, plain)).otherwise(F.split(payload, ",", -1))
+    return F.when(~payload.contains('"'), F.split(payload, ",", -1)).when(payload.rlike(REGULAR), regular).otherwise(F.transform(quoted, plain))
 
 
 def parse_lines(lines: DataFrame, layout: list[str] = SMSC_FIELDS, least_fields: int = 0, exact_null: bool = False) -> DataFrame:
@@ -102,7 +108,9 @@ def parse_lines(lines: DataFrame, layout: list[str] = SMSC_FIELDS, least_fields:
     payload = F.when(at > 0, F.nullif(F.trim(F.expr("substring(raw_line, instr(raw_line, '] ') + 2)")), F.lit("")))
     rows = lines.withColumn("raw_cdr", payload).withColumn("cells", cells_of(F.col("raw_cdr")))
     size = F.coalesce(F.size("cells"), F.lit(0))
-    error = F.when(F.col("raw_cdr").isNull(), "INVALID_PREFIX").when(size < least_fields, "CSV_ERROR")
+    error = F.when(F.col("raw_cdr").isNull(), "INVALID_PREFIX")
+    if least_fields:  # otherwise a filter on the error needs no cells
+        error = error.when(size < least_fields, "CSV_ERROR")
     rows = rows.select("*", error.alias("error"), size.alias("raw_fields_count"))
 
     def field(i: int) -> Column:
