@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from ..sources.scratch import scratch
 
@@ -90,7 +90,7 @@ ROUNDS = 3  # rounds before what is left is taken by groups of conflicts
 MOST_ROWS = 1_000_000  # rows of a group that one task takes in order; larger groups go on by rounds
 
 
-def first_wins(target: DataFrame | None, rows: DataFrame, uniques: list[list[str]], order: str, most: int = MOST_ROWS) -> DataFrame:
+def first_wins(target: DataFrame | None, rows: DataFrame, uniques: list[list[str]], order: str, most: int = MOST_ROWS, audit: dict[str, int] | None = None) -> DataFrame:
     """The rows that a load with ON CONFLICT DO NOTHING inserts, in file order.
 
     ``uniques`` are the unique keys; a key with a null part never conflicts.  ``order`` is
@@ -100,7 +100,19 @@ def first_wins(target: DataFrame | None, rows: DataFrame, uniques: list[list[str
     ROUNDS leave are chains of conflicts: they are cut into groups that do not touch each
     other, in a number of passes that grows with the logarithm of a chain, and each group is
     taken in order at once.
+
+    ``audit`` gets the counts valid, inserted and skipped, observed while the load writes.
     """
+    seen = [Observation("valid")]
+    if audit is not None:
+        rows = rows.observe(seen[0], F.count("*").alias("n"))
+
+    def write_won(won: DataFrame) -> DataFrame:
+        if audit is None:
+            return handed_over(won, "inserted")
+        seen.append(Observation(f"inserted-{len(seen)}"))
+        return handed_over(won.observe(seen[-1], F.count("*").alias("n")), "inserted")
+
     left = rows if target is None else reduce(lambda df, k: df.join(target.select(*k), k, "left_anti"), uniques, rows)
     inserted, done = None, 0
     while True:
@@ -108,18 +120,16 @@ def first_wins(target: DataFrame | None, rows: DataFrame, uniques: list[list[str
             taken, larger = _in_order(left, uniques, order, most)
             won = left.join(taken.withColumnRenamed("node", order), order, "left_semi").select(*rows.columns)
             left = left.join(larger.withColumnRenamed("node", order), order, "left_semi").select(*rows.columns)
-            won, left = handed_over(won, "inserted"), handed_over(left, "waiting")
+            won, left = write_won(won), handed_over(left, "waiting")
         else:
-            won = handed_over(_firsts(left, uniques, order), "inserted")
+            won = write_won(_firsts(left, uniques, order))
             rest = left.join(won.select(F.col(order).alias("__won")), F.col(order) == F.col("__won"), "left_anti")
             left = handed_over(reduce(lambda df, k: df.join(won.select(*k), k, "left_anti"), uniques, rest).select(*rows.columns), "waiting")
         inserted = won if inserted is None else inserted.unionByName(won)
         done += 1
         if left.isEmpty():
-            return inserted
-
-
-def audit(rows: DataFrame, inserted: DataFrame) -> DataFrame:
-    """(valid, inserted, skipped) counts of a load."""
-    both = rows.agg(F.count("*").alias("valid")).crossJoin(inserted.agg(F.count("*").alias("inserted")))  # one row each
-    return both.select("valid", "inserted", (F.col("valid") - F.col("inserted")).alias("skipped"))
+            break
+    if audit is not None:
+        valid, *won = [o.get["n"] for o in seen]
+        audit.update(valid=valid, inserted=sum(won), skipped=valid - sum(won))
+    return inserted

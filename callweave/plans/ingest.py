@@ -195,8 +195,9 @@ def target_anti(q: DataFrame) -> DataFrame:
 
 @on_request("load_audit", f"SELECT COUNT(*) AS valid, (SELECT COUNT(*) FROM ({INSERTED})) AS inserted, COUNT(*) - (SELECT COUNT(*) FROM ({INSERTED})) AS skipped FROM request_log")
 def load_audit(q: DataFrame) -> DataFrame:
-    rows = q.select("request_log_id", *REQUEST_KEYS[1])
-    return upsert.audit(rows, upsert.first_wins(None, rows, REQUEST_KEYS, "request_log_id"))
+    counts: dict[str, int] = {}
+    upsert.first_wins(None, q.select("request_log_id", *REQUEST_KEYS[1]), REQUEST_KEYS, "request_log_id", audit=counts)
+    return q.sparkSession.createDataFrame([(counts["valid"], counts["inserted"], counts["skipped"])], "valid long, inserted long, skipped long")
 
 
 @on_usage(

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import classify as c
+from ..operators import sketches
 from ..operators.report import count, grouped, value_counts
+from ..operators.upsert import handed_over
 from ..sources import fixtures as fx
 from .catalogue import on_smsc
 
@@ -49,3 +51,13 @@ def delivery_states(s: DataFrame) -> DataFrame:
 @on_smsc("distinct_values_delivery_status", "SELECT DISTINCT message_delivery_status FROM smsc")
 def distinct_states(s: DataFrame) -> DataFrame:
     return s.select("message_delivery_status").distinct()
+
+
+@on_smsc("smsc_distinct_senders_by_day", "SELECT COUNT(*) AS total, COUNT(DISTINCT addr_src_digits) AS senders, TRUE AS within_bound FROM smsc WHERE day >= '1996-01-01' AND day < '1997-01-01'")
+def smsc_distinct_senders_by_day(s: DataFrame) -> DataFrame:
+    """Senders of a year from the sketches of its days, held against the exact count."""
+    days = handed_over(sketches.daily_sketches(s.withColumn("day", F.to_date("day")), "day", "addr_src_digits"), "sender-sketches")
+    found = sketches.distinct_in(days, *fx.SMSC_WINDOW)
+    exact = s.where(in_year()).agg(F.count_distinct("addr_src_digits").alias("senders"))
+    both = found.crossJoin(exact)  # one row each
+    return both.select(F.col("rows").alias("total"), "senders", (F.abs(F.col("estimate") - F.col("senders")) <= sketches.ERROR * F.col("senders")).alias("within_bound"))

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import classify as c
 from ..functions.dates import report_bounds
+from ..operators import clustered
 from ..operators.lookup import country_by_prefix, country_by_row_number, roaming_network
 from ..operators.report import count, grouped, minutes_of_sum, sum_of_rounded, sum_rounded, value_counts
 from ..sources import fixtures as fx
+from ..sources.scratch import scratch
 from .catalogue import DIMENSION_CTES, IN_USAGE, USAGE_CTE, on_request, on_usage, query
 
 # Columns need a running session, so conditions, keys and measures are functions here.
@@ -274,6 +276,22 @@ def prefix_lookup(u: DataFrame) -> DataFrame:
     return u.where(VOICE() & col("opposite_number").startswith("1246")).select("usage_log_id", "opposite_number").orderBy("usage_log_id")
 
 
+@on_request("session_lookup_clustered", "SELECT request_log_id, session_id, session_req_num, req_time, rat_type FROM request_log WHERE session_id = 's7'")
+def session_lookup_clustered(q: DataFrame) -> DataFrame:
+    """The same from a table clustered by session, of which few row groups are read."""
+    path = scratch(q.sparkSession, "requests-by-session")
+    rows = q.select("request_log_id", "session_id", "session_req_num", "req_time", "rat_type")
+    clustered.write_clustered(rows, path, "session_id", 1_000_000, "req_time")
+    return clustered.with_key(q.sparkSession, path, "session_id", "s7").orderBy("req_time", "session_req_num")
+
+
+@on_usage("prefix_lookup_clustered", "SELECT usage_log_id, opposite_number FROM usage_log WHERE rat_type = 'VO' AND opposite_number LIKE '1246%'")
+def prefix_lookup_clustered(u: DataFrame) -> DataFrame:
+    path = scratch(u.sparkSession, "usage-by-number")
+    clustered.write_clustered(u.where(VOICE()).select("usage_log_id", "opposite_number"), path, "opposite_number", 1_000_000, "usage_log_id")
+    return clustered.with_prefix(u.sparkSession, path, "opposite_number", "1246").orderBy("usage_log_id")
+
+
 @on_usage("params_cross", f"SELECT DATE '2024-01-05' AS report_start_date, DATE '2024-01-18' AS report_end_date, rat_type, COUNT(*) AS n FROM usage_log WHERE {IN_USAGE} GROUP BY rat_type")
 def params_cross(u: DataFrame) -> DataFrame:
     return dated(value_counts(u, "rat_type", where=WINDOW()))
