@@ -23,8 +23,6 @@ if TYPE_CHECKING:
     import numpy as np
 
 DOCS_A_LANGUAGE = 4_000  # documents a language that are learned from, picked by a hash of the id
-LEAST_RATE = 2e-5  # an n-gram with a smaller share of its language's is left out: at most 50,000 remain
-PEER_SHARE = 0.25  # of the n-gram's rate in the language where it is most common
 SLOTS, HASHES = 1 << 20, 3
 MOST_LANGUAGES = 256  # filters of that many take 32 MB; more values of ``lang`` are refused
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)  # odd 64-bit mixing constants
@@ -63,6 +61,13 @@ class Filters:
         shift = np.uint64(64 - SLOTS.bit_length() + 1)
         return [((keys ^ (keys >> np.uint64(17))) * np.uint64(m) >> shift).astype(np.int64) for m in MULTIPLIERS[:HASHES]]
 
+    def mark(self, language: int, keys: np.ndarray) -> None:
+        """Enters n-grams into a language's filter."""
+        import numpy as np
+
+        for s in self.slots(keys):
+            self.masks[language // 64][s] |= np.uint64(1 << language % 64)
+
     def counts(self, text: str) -> tuple[np.ndarray, int]:
         """For each language, the n-grams that its filter claims, corrected; and all n-grams."""
         import numpy as np
@@ -88,28 +93,23 @@ class Filters:
         return self.languages[best], float(sums[best] / sums.sum()) if sums.sum() > 0 else 0.0
 
 
-def build(languages: list[str], lang: list[str], keys: np.ndarray) -> Filters:
-    """Filters in which the language lang[i] holds the n-gram keys[i]."""
+def build(languages: list[str], word: np.ndarray | None = None, slot: np.ndarray | None = None, mask: np.ndarray | None = None) -> Filters:
+    """Filters of the masks of slots (none: empty ones); the share of slots that a language fills tells its false positives."""
     import numpy as np
 
     masks = np.zeros(((len(languages) + 63) // 64 or 1, SLOTS), np.uint64)
-    out = Filters(languages, masks, np.zeros(len(languages)))
-    number = {l: i for i, l in enumerate(languages)}
-    of, keys = np.array([number[l] for l in lang], np.int64), np.asarray(keys).astype(np.uint64)
-    for i in range(len(languages)):
-        for s in out.slots(keys[of == i]):
-            masks[i // 64][s] |= np.uint64(1 << i % 64)
-        fill = np.count_nonzero(masks[i // 64] & np.uint64(1 << i % 64)) / SLOTS
-        out.false_rate[i] = fill**HASHES
-    return out
+    if word is not None and slot is not None and mask is not None:
+        masks[word, slot] = mask.view(np.uint64)
+    fill = [np.count_nonzero(masks[i // 64] & np.uint64(1 << i % 64)) / SLOTS for i in range(len(languages))]
+    return Filters(languages, masks, np.array(fill) ** HASHES)
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = DOCS_A_LANGUAGE) -> Filters:
     """Filters from documents outside fold 0 with a language and a text.
 
-    N-grams are counted in Spark over about ``most`` documents a language; the
-    driver gets those of LEAST_RATE or more, hence at most 1 / LEAST_RATE for
-    each of at most MOST_LANGUAGES languages.
+    Every n-gram of about ``most`` documents a language enters its filter.  Tasks mark the
+    slots of theirs, Spark joins the masks of a slot by OR, and the driver gets a table of
+    at most SLOTS masks for each 64 of at most MOST_LANGUAGES languages.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where((fold("doc_id") != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -119,32 +119,26 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     found = sorted(((r[1], r[0]) for r in counted), key=lambda x: (-x[0], x[1]))
     languages = [l for _, l in found]
     if not languages:
-        return build([], [], [])
+        return build([])
     part = F.create_map(*[F.lit(x) for n, l in found for x in (l, min(1 << 30, int((1 << 30) * most / n)))])
     sample = rows.where(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) < part[F.col("lang")])
 
-    def count(batches: Iterator) -> Iterator:
+    number = {l: i for i, l in enumerate(languages)}
+
+    def mark(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
+        filters = build(languages)
         for whole in batches:
-            texts = whole.select(["lang", "text"])
-            for b in small_batches(texts):
-                by: dict[str, list] = {}
+            for b in small_batches(whole.select(["lang", "text"])):
                 for l, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    by.setdefault(l, []).append(ngrams(t))
-                for l, grams in by.items():
-                    keys, n = np.unique(np.concatenate(grams), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([l] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "k", "n"])
-
-    counts = sample.mapInArrow(count, "lang string, k long, n long").groupBy("lang", "k").agg(F.sum("n").alias("n")).persist()
-    totals = {r[0]: r[1] for r in counts.groupBy("lang").agg(F.sum("n")).collect()}
-    share = F.create_map(*[F.lit(x) for l, n in totals.items() for x in (l, float(n))]) if totals else None
-    rates = counts.select("lang", "k", (F.col("n") / share[F.col("lang")]).alias("rate")) if totals else counts.select("lang", "k", F.lit(0.0).alias("rate"))
-    peers = rates.groupBy("k").agg(F.max("rate").alias("most"))
-    kept = rates.where(F.col("rate") >= LEAST_RATE).join(peers, "k").where(F.col("rate") >= PEER_SHARE * F.col("most")).select("lang", "k").toArrow()
-    counts.unpersist()
-    return build(languages, kept.column("lang").to_pylist(), kept.column("k").to_numpy())
+                    filters.mark(number[l], ngrams(t))
+        word, slot = np.nonzero(filters.masks)
+        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(slot), pa.array(filters.masks[word, slot].view(np.int64))], ["word", "slot", "mask"])
+
+    marked = sample.mapInArrow(mark, "word long, slot long, mask long").groupBy("word", "slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    return build(languages, *(marked.column(c).to_numpy() for c in ("word", "slot", "mask")))
 
 
 def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -228,18 +228,16 @@ def test_language_equals_sets_of_ngrams(spark, tables):
     """Dictionaries and sets instead of Bloom filters: the same sums but for rare false positives."""
     docs, _ = tables
     filters = language.learn(docs)
-    counts = {}
+    sets = {}
     for r in docs.where((fold("doc_id") != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()).collect():
-        of = counts.setdefault(r["lang"], {})
-        for g in plain_grams(r["text"]):
-            of[g] = of.get(g, 0) + 1
-    totals = {l: sum(c.values()) for l, c in counts.items()}
-    peers = {}
-    for l, c in counts.items():
-        for g, n in c.items():
-            peers[g] = max(peers.get(g, 0.0), n / totals[l])
-    sets = {l: {g for g, n in c.items() if n / totals[l] >= language.LEAST_RATE and n / totals[l] >= language.PEER_SHARE * peers[g]} for l, c in counts.items()}
+        sets.setdefault(r["lang"], set()).update(plain_grams(r["text"]))
     assert set(filters.languages) == set(sets)
+    for l, grams in sets.items():  # every n-gram is in its language's filter
+        i = filters.languages.index(l)
+        keys = np.unique(np.concatenate([language.ngrams(r["text"]) for r in docs.where((fold("doc_id") != 0) & (F.col("lang") == l) & F.col("text").isNotNull()).collect()]))
+        assert len(keys) == len(grams)
+        hit = np.bitwise_and.reduce([filters.masks[0][s] for s in filters.slots(keys)]) >> np.uint64(i) & np.uint64(1)
+        assert hit.all() and 0 < filters.false_rate[i] < 0.3
     for r in docs.where("text is not null").limit(150).collect():
         grams = plain_grams(r["text"])
         want = {l: sum(g in s for g in grams) for l, s in sets.items()}
@@ -253,7 +251,7 @@ def test_language_equals_sets_of_ngrams(spark, tables):
 
 
 def test_language_letters_and_many_languages(spark):
-    filters = language.build(["en"], ["en"], np.array([1]))
+    filters = language.build(["en"])
     assert [filters.predict(t)[0] for t in ("²½①Ⅷ", "12_34", "", None, "a", "日", "ª")] == ["und"] * 4 + ["en"] * 3
     docs = spark.range(3000).selectExpr("id doc_id", "concat('l', id) lang", "'some text' text")
     with pytest.raises(ValueError, match="more than"):
@@ -268,7 +266,13 @@ def test_language_on_held_out_rows(spark, tables):
 
 def test_bloom_false_positives_are_corrected():
     rng = np.random.default_rng(0)
-    filters = language.build(["a", "b"], ["a"] * 150_000 + ["b"] * 1000, rng.integers(0, 2**40, 151_000))
+    made = language.build(["a", "b"])
+    keys = rng.integers(0, 2**40, 151_000).astype(np.uint64)
+    made.mark(0, keys[:150_000])
+    made.mark(1, keys[150_000:])
+    slot = np.flatnonzero(made.masks[0])
+    filters = language.build(["a", "b"], np.zeros_like(slot), slot, made.masks[0][slot].view(np.int64))
+    assert (filters.masks == made.masks).all()
     assert 1e-3 < filters.false_rate[0] < 0.1 and filters.false_rate[1] < 1e-6
     keys = rng.integers(0, 2**40, 20_000).astype(np.uint64)
     places = filters.slots(keys)
