@@ -19,17 +19,20 @@ ROWS_A_FILE = 5_000_000
 MOST_KEYS = 1_000_000  # keys of a load that are broadcast; more are joined by a shuffle
 
 
-def _at(path: str):  # type: ignore[no-untyped-def]
-    from pyarrow import fs
+def _at(spark: SparkSession, path: str):  # type: ignore[no-untyped-def]
+    """The store that Spark itself uses for a path, and the path in it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
-    return fs.FileSystem.from_uri(path)
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    store, place = _at(spark, path)
+    return store.exists(place)
 
-def _exists(path: str) -> bool:
-    from pyarrow import fs
 
-    store, inner = _at(path)
-    return store.get_file_info(inner).type != fs.FileType.NotFound
+def _delete(spark: SparkSession, path: str) -> None:
+    store, place = _at(spark, path)
+    store.delete(place, True)
 
 
 def with_day(df: DataFrame, time_col: str | Column, unit: str = "day") -> DataFrame:
@@ -40,7 +43,7 @@ def with_day(df: DataFrame, time_col: str | Column, unit: str = "day") -> DataFr
 
 def stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table at ``path``, of ``schema`` with its day; no rows where nothing was loaded yet."""
-    if not _exists(path):
+    if not _exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", path).parquet(path).select(*schema.names)
 
@@ -57,19 +60,16 @@ def in_days(table: DataFrame, time_col: str, start: str, end: str, unit: str = "
 def _finish(spark: SparkSession, path: str, schema: StructType) -> None:
     """Puts the days of a complete pending load in place, and forgets an incomplete one."""
     pending = f"{path}/{PENDING}"
-    if not _exists(pending):
+    if not _exists(spark, pending):
         return
-    if _exists(f"{pending}/rows/_SUCCESS"):
+    if _exists(spark, f"{pending}/rows/_SUCCESS"):
         days = spark.read.schema(schema).option("basePath", f"{pending}/rows").parquet(f"{pending}/rows")
         days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", ROWS_A_FILE).partitionBy(DAY).parquet(path)
         # A touched day of which nothing is left has no folder that could overwrite it.
         gone = spark.read.parquet(f"{pending}/days").join(days.select(DAY).distinct(), DAY, "left_anti").collect()
         for r in gone:
-            store, inner = _at(f"{path}/{DAY}={r[DAY]}")
-            if _exists(f"{path}/{DAY}={r[DAY]}"):
-                store.delete_dir(inner)
-    store, inner = _at(pending)
-    store.delete_dir(inner)
+            _delete(spark, f"{path}/{DAY}={r[DAY]}")
+    _delete(spark, pending)
 
 
 def merged(table: DataFrame, rows: DataFrame, replaced: DataFrame) -> DataFrame:

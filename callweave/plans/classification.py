@@ -116,7 +116,7 @@ def sender_groups(s: DataFrame) -> DataFrame:
     return s.select("line_number", c.sender_group().alias("sender_group"))
 
 
-@on_smsc("a2p_senders", "SELECT line_number FROM smsc WHERE message_type = 'message' AND addr_src_digits IN ('22200','22200Brand','601170337777') AND message_delivery_status IN ('success','success_esme')")
+@on_smsc("a2p_senders", "SELECT line_number FROM smsc WHERE message_type = 'message' AND addr_src_digits IN ('22200','22200Brand','60119990001') AND message_delivery_status IN ('success','success_esme')")
 def a2p_lines(s: DataFrame) -> DataFrame:
     return s.where(c.a2p_message(fx.A2P_SENDERS)).select("line_number")
 

@@ -11,7 +11,7 @@ from ..operators.upsert import handed_over
 from ..sources import fixtures as fx
 from .catalogue import on_smsc
 
-A2P = "message_type = 'message' AND addr_src_digits IN ('22200','22200Brand','601170337777') AND message_delivery_status IN ('success','success_esme') AND day >= '1996-01-01' AND day < '1997-01-01'"
+A2P = "message_type = 'message' AND addr_src_digits IN ('22200','22200Brand','60119990001') AND message_delivery_status IN ('success','success_esme') AND day >= '1996-01-01' AND day < '1997-01-01'"
 
 
 def in_year() -> Column:

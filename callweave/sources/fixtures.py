@@ -73,7 +73,7 @@ FROM k
 SMSC_FIELDS = """
 SELECT concat('cdr.log.', substr(CAST(CAST(o_orderdate AS DATE) AS STRING),1,10)) AS source_path, o_orderkey + 1 AS line_number,
  substr(CAST(CAST(o_orderdate AS DATE) AS STRING),1,10) AS day,
- CASE o_orderkey % 6 WHEN 0 THEN '22200Brand' WHEN 1 THEN '22200' WHEN 3 THEN '22200Other' WHEN 2 THEN '601170337777' ELSE concat('6011', lpad(CAST(o_custkey AS STRING),8,'0')) END AS addr_src_digits,
+ CASE o_orderkey % 6 WHEN 0 THEN '22200Brand' WHEN 1 THEN '22200' WHEN 3 THEN '22200Other' WHEN 2 THEN '60119990001' ELSE concat('6011', lpad(CAST(o_custkey AS STRING),8,'0')) END AS addr_src_digits,
  concat('6012', lpad(CAST(o_custkey * 3 AS STRING),8,'0')) AS addr_dst_digits,
  CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'success_esme' ELSE CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'temp_failed' END END AS message_delivery_status,
  CASE WHEN o_orderkey % 4 = 0 THEN 'dlr' ELSE 'message' END AS message_type,
@@ -83,7 +83,7 @@ FROM orders
 """
 
 #: Senders of application-to-person messages in the SMS-centre view, which also holds one that only begins like them.
-A2P_SENDERS = ["22200", "22200Brand", "601170337777"]
+A2P_SENDERS = ["22200", "22200Brand", "60119990001"]
 
 #: Report windows (inclusive dates) in which every report has rows.
 USAGE_WINDOW = ("2024-01-05", "2024-01-18")
