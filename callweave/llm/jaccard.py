@@ -107,10 +107,12 @@ def common_shingles(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray
 
 
 def row_hashes(docs: DataFrame) -> DataFrame:
-    """(row, row_a, row_b): each row of ``docs`` as a struct, and two hashes of the whole of it."""
+    """(row, row_a, row_b): each row of ``docs`` as a struct, and two hashes of the whole of it.
+    Maps, which Spark does not hash, count by their text."""
     whole = [F.col(f"`{c}`") for c in docs.columns]
     nulls = F.concat_ws("", *[F.when(c.isNull(), "n").otherwise("v") for c in whole])
-    return docs.select(F.struct(*whole).alias("row"), F.xxhash64(nulls, *whole).alias("row_a"), F.xxhash64(*whole[::-1], nulls, F.lit(1)).alias("row_b"))
+    parts = [F.to_json(F.struct(c)) if "map<" in kind else c for c, (_, kind) in zip(whole, docs.dtypes)]
+    return docs.select(F.struct(*whole).alias("row"), F.xxhash64(nulls, *parts).alias("row_a"), F.xxhash64(*parts[::-1], nulls, F.lit(1)).alias("row_b"))
 
 
 def _key(s: np.ndarray) -> int:

@@ -67,6 +67,18 @@ def test_pipeline_takes_odd_rows_and_columns(spark, folder):
     assert cp.run(spark, folder).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def test_pipeline_takes_nested_columns(spark, folder):
+    """Maps, structs and arrays, in columns of any name; one map differs between rows of one id and text."""
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("key", F.create_map(F.lit("k"), F.monotonically_increasing_id()))
+    docs = docs.withColumn("n", F.struct("doc_id", F.array("lang").alias("odd"))).withColumn("front", F.array(F.create_map(F.lit(1), F.col("source"))))
+    for name, stage in cp.STAGES[:-1]:
+        after = stage(spark, docs, folder)
+        assert after.schema.simpleString() == docs.schema.simpleString() and after.count() <= docs.count(), name
+        assert name != "near duplicates" or after.count() > 5
+
+
 def test_media_features_equal_plain_sums(spark):
     """Mean, root mean square, entropy and crossings of the mean, by plain Python."""
     import math
