@@ -5,8 +5,10 @@ that are verified on the whole sets connect most copies.  A similarity of 0.8
 leaves 9 or 10 of 64 bits different, which no ball can reach, so a second search
 finds the rest.  Of two sets with a similarity of 0.8 or more, the first fifth
 (and one) of the shingles of both share one, in any order that is the same for
-all documents.  The order puts shingles that are common in a sample last, so
-that few documents share a first one; it decides the work and not the result.
+all documents.  The order puts common shingles last, so that few documents share
+a first one; it decides the work and not the result.  Shingles are counted over
+all documents, in a table of SLOTS counts that shingles share by their hash: what
+stands out of the mean of its slots is common, at any number of documents.
 
 Documents that share one, and are not connected yet, are candidates if what
 follows it in both sets is long enough.  Parities of hashed shingles rule out
@@ -15,8 +17,10 @@ are verified on the whole sets.
 
 Where more than FEW documents share a shingle, each is first compared with a few
 pivots, the members that have least before it.  Members that this leaves in
-another component than most are then compared with all members of other
-components, so no pair over the bar that could join two components is left out.
+another component than most are then compared with members of other components
+that share a second shingle with them among the first fifth and two: sets of a
+similarity of 0.8 do.  So no pair over the bar that could join two components is
+left out, and documents that have one shingle in common and no other don't meet.
 In any pair that counts, one member at least has no more than a ninth of its
 shingles before the first common one: such members are the left side of that join.
 """
@@ -40,7 +44,8 @@ if TYPE_CHECKING:
 WORDS = 5
 FEW, PIVOTS = 4, 4
 PARITIES = 2048
-SAMPLE, SAMPLE_TASKS, COMMON = 16_000, 4, 500_000  # documents and shingles that the order is learned from
+SLOTS, PART = 1 << 22, 1 << 16  # counts of shingles by their hash, and how many of them a row holds
+LOTS = 16  # tasks that add up a part first, so that the last sum of it has as few rows
 
 
 def shingle_hashes(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -82,28 +87,50 @@ def similar(both: Column, n: Column, m: Column) -> Column:
     return 9 * both >= 4 * (n + m)
 
 
-def common_shingles(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """(shingles, counts) in ascending order: those met again in a sample of the documents."""
+def slots(s: np.ndarray) -> np.ndarray:
+    """The slot of each shingle: other bits than those that ``parities`` takes."""
+    return (s >> 20) & (SLOTS - 1)
+
+
+def slot_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """SLOTS counts: in how many of all documents a shingle of the slot occurs (one
+    document counts once a shingle).  The driver gets this table, whose size is fixed."""
     import numpy as np
 
-    def run(batches: Iterator) -> Iterator:
+    def parts_of(total: np.ndarray) -> Iterator:
         import pyarrow as pa
 
-        close_all()
-        sets = [shingles(t) for whole in batches for b in small_batches(whole) for t in b.column(1).to_pylist()]
-        if sets:
-            found, counts = np.unique(np.concatenate(sets), return_counts=True)
-            again = counts > 1
-            yield pa.RecordBatch.from_arrays([pa.array(found[again]), pa.array(counts[again])], ["h", "c"])
+        for part in range(SLOTS // PART):
+            of = total[part * PART : (part + 1) * PART]
+            at = np.flatnonzero(of)
+            if len(at):
+                yield pa.RecordBatch.from_pydict({"part": [part], "at": [at.astype("<u2").tobytes()], "n": [of[at].astype("<i8").tobytes()]}, schema=pa.schema([("part", pa.int32()), ("at", pa.binary()), ("n", pa.binary())]))
 
+    def count(batches: Iterator) -> Iterator:
+        close_all()
+        total = np.zeros(SLOTS, np.int64)
+        for whole in batches:
+            for b in small_batches(whole):
+                sets = [slots(shingles(t)) for t in b.column(1).to_pylist()]
+                at, n = np.unique(np.concatenate(sets), return_counts=True)
+                total[at] += n
+        yield from parts_of(total)
+
+    def add(batches: Iterator) -> Iterator:
+        total = np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for part, at, n in zip(*(c.to_pylist() for c in b.columns)):
+                total[part * PART + np.frombuffer(at, "<u2").astype(np.int64)] += np.frombuffer(n, "<i8")
+        yield from parts_of(total)
+
+    kinds = "part int, at binary, n binary"
     src = docs.select(F.lit(0).alias("id"), F.col(text_col).cast("string").alias("text"))
-    one_in = max(1, src.count() // SAMPLE)
-    sample = src.where(F.pmod(F.xxhash64("text"), F.lit(one_in)) == 0).where(F.length("text") < 1 << 20).limit(2 * SAMPLE)
-    counts = sample.repartition(SAMPLE_TASKS).mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-    got = counts.orderBy(F.desc("c"), "h").limit(COMMON).toArrow()
-    found, times = (np.asarray(got.column(c).to_numpy(), np.int64) for c in ("h", "c"))
-    order = np.argsort(found)
-    return found[order], times[order]
+    lot = F.pmod(F.spark_partition_id(), F.lit(LOTS))
+    first = src.mapInArrow(count, kinds).withColumn("lot", lot).repartition("part", "lot").drop("lot").mapInArrow(add, kinds)
+    out = np.zeros(SLOTS, np.int64)
+    for r in first.repartition("part").mapInArrow(add, kinds).toLocalIterator():
+        out[r["part"] * PART + np.frombuffer(r["at"], "<u2").astype(np.int64)] += np.frombuffer(r["n"], "<i8")
+    return out
 
 
 def row_hashes(docs: DataFrame) -> DataFrame:
@@ -128,21 +155,19 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, row_a, row_b, key, n, fp, front, odd) with one row per row of ``docs``: a hash
-    of the set of shingles, its size, the SimHash fingerprint, the shingles at its front, and its parities."""
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text_col))
+    of the set of shingles, its size, the SimHash fingerprint, the shingles at its front (one more
+than ``prefix_length``), and its parities."""
+    counted = docs.sparkSession.sparkContext.broadcast(slot_counts(docs, text_col))
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         close_all()
-        found, counts = common.value
+        counts = counted.value
 
         def front(s: np.ndarray) -> np.ndarray:
-            if not len(found):
-                return s[: prefix_length(len(s))]
-            at = np.minimum(np.searchsorted(found, s), len(found) - 1)
-            return s[np.lexsort((s, np.where(found[at] == s, counts[at], 0)))[: prefix_length(len(s))]]
+            return s[np.lexsort((s, counts[slots(s)]))[: prefix_length(len(s)) + 1]]
 
         for whole in batches:
             for b in small_batches(whole):
@@ -225,7 +250,8 @@ def components(docs: DataFrame, uniq: DataFrame, text_col: str = "text") -> Data
     roots = written(connected_components(edges), "roots")
 
     keys = uniq.select("key", "n", F.posexplode_outer("front").alias("i", "k")).where("k is not null")
-    keys = keys.select("k", "key", "n", (5 * F.col("n") - 9 * F.col("i")).alias("reach"))
+    # Those before the last n * 4 / 5, rounded up, and one more: the front without its last.
+    keys = keys.where(F.col("i") <= F.floor(F.col("n") / 5)).select("k", "key", "n", (5 * F.col("n") - 9 * F.col("i")).alias("reach"), "i")
     met = keys.groupBy("k").agg(F.count("*").alias("members")).where("members > 1")
     members = written(_rooted(keys.join(met, "k"), roots), "met-members")
     few, crowd = members.where(F.col("members") <= FEW), members.where(F.col("members") > FEW)
@@ -242,8 +268,16 @@ def components(docs: DataFrame, uniq: DataFrame, text_col: str = "text") -> Data
     sizes = named.groupBy("k", "root").agg(F.count("*").alias("size"))
     split = sizes.groupBy("k").agg(F.max_by("root", F.struct("size", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
     named = named.join(split.select("k", "most"), "k")
+    # Members meet on the shingle and a second one behind it, so that a crowd of
+    # documents with nothing else in common makes no pairs.  Seconds that no minor
+    # member has make none either.
     ahead, minor = F.col("reach") >= 4 * F.col("n"), F.col("root") != F.col("most")
-    met = _pairs(named.where(ahead & minor), named).unionByName(_pairs(named.where(ahead), named.where(minor)))
+    behind = F.slice("front", F.col("i") + 2, F.size("front"))
+    named = named.join(uniq.select("key", "front"), "key").withColumn("t", F.explode(behind)).withColumn("k", F.xxhash64("k", "t"))
+    named = named.select("k", "key", "n", "reach", "root", "most")
+    minors = written(named.where(minor), "minor-members")
+    named = written(named.join(small(written(minors.select("k").distinct(), "minor-keys")), "k", "left_semi"), "second-shingles")
+    met = _pairs(minors.where(ahead), named).unionByName(_pairs(named.where(ahead), minors))
     again = written(_verified(docs, written(met.distinct(), "pairs"), uniq, text_col), "links")
     return roots if again.isEmpty() else connected_components(edges.unionByName(again))
 
@@ -255,8 +289,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     every = written(described(docs, id_col, text_col), "sets")
     uniq = written(every.drop("doc_id").dropDuplicates(["key"]), "distinct-sets")
     roots = written(components(docs, uniq, text_col), "roots")
-    # A key has many rows where a text is often repeated: the roots are joined to it once.
-    rows = every.select("doc_id", "row_a", "row_b", "key")
-    named = rows.select("key").distinct().join(roots.withColumnRenamed("node", "key"), "key", "left")
-    named = named.select("key", F.coalesce("root", "key").alias("component"))
-    return rows.join(named, "key").drop("key")
+    # Only sets with a link have a root; others are their own.
+    roots = small(roots).withColumnRenamed("node", "key")
+    named = every.select("doc_id", "row_a", "row_b", "key").join(roots, "key", "left")
+    return named.select("doc_id", "row_a", "row_b", F.coalesce("root", "key").alias("component"))

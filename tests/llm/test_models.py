@@ -378,6 +378,31 @@ def test_pipeline_near_duplicates_equal_jaccard_brute_force(spark, monkeypatch,
     assert jaccard.near_duplicates(documents(spark, []).select("doc_id", "text")).collect() == []
 
 
+def test_documents_with_one_common_shingle_make_no_pairs(spark, monkeypatch):
+    """Even where the order puts it first: pairs don't grow with the square of a crowd."""
+    import numpy as np
+
+    compared = []
+    verified = jaccard._verified
+
+    def counted(docs, pairs, uniq, text_col):
+        compared.append(pairs.count())
+        return verified(docs, pairs, uniq, text_col)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    line = "one line that they share"
+    texts = [f"{line} " + " ".join(f"w{i}x{j}" for j in range(60)) for i in range(300)]
+    docs = documents(spark, texts).select("doc_id", "text")
+    shared = jaccard.slots(jaccard.shingles(line))
+    counts = jaccard.slot_counts(docs)
+    assert counts.sum() == sum(len(jaccard.shingles(t)) for t in texts) and counts[shared] >= 300
+    for order in (counts, np.where(np.arange(jaccard.SLOTS) == shared[0], 0, counts + 1)):
+        monkeypatch.setattr(jaccard, "slot_counts", lambda *_, order=order: order)
+        compared.clear()
+        assert len({r["component"] for r in jaccard.near_duplicates(docs).collect()}) == 300
+        assert sum(compared) <= jaccard.PIVOTS * 300
+
+
 def test_pipeline_near_duplicate_stage_judges_rows(spark):
     """Different texts with equal or no ids stay; of copies, one does, the same on every run."""
     import corpus_pipeline as cp
