@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callweave.llm import bpe, jaccard, quality, toxicity, winnow
-from callweave.llm.storage import written
+from callweave.llm.storage import small, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +45,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     named = written(jaccard.near_duplicates(docs), "components")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_a", "row_b")
-    kept = named.groupBy("component").agg(F.min(order).alias("least")).select("least.row_a", "least.row_b")
-    out = jaccard.row_hashes(docs).join(kept.hint("merge"), ["row_a", "row_b"], "left_semi")
+    groups = named.groupBy("component").agg(F.min(order).alias("least"), F.count("*").alias("rows")).where("rows > 1")
+    groups = small(written(groups.select("component", "least.row_a", "least.row_b").withColumnsRenamed({"row_a": "kept_a", "row_b": "kept_b"}), "groups"))
+    gone = named.join(groups, "component").where("row_a <> kept_a or row_b <> kept_b").select("row_a", "row_b").distinct()
+    out = jaccard.row_hashes(docs).join(small(written(gone, "dropped-rows")), ["row_a", "row_b"], "left_anti")
     if not named.groupBy("row_a", "row_b").count().where("count > 1").isEmpty():
         out = out.dropDuplicates(["row_a", "row_b"])  # rows that are equal in all columns
     return out.select("row.*")
