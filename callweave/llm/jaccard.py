@@ -250,11 +250,12 @@ def components(docs: DataFrame, uniq: DataFrame, text_col: str = "text") -> Data
     roots = written(connected_components(edges), "roots")
 
     keys = uniq.select("key", "n", F.posexplode_outer("front").alias("i", "k")).where("k is not null")
-    # Those before the last n * 4 / 5, rounded up, and one more: the front without its last.
-    keys = keys.where(F.col("i") <= F.floor(F.col("n") / 5)).select("k", "key", "n", (5 * F.col("n") - 9 * F.col("i")).alias("reach"), "i")
+    keys = keys.select("k", "key", "n", (5 * F.col("n") - 9 * F.col("i")).alias("reach"), "i")
     met = keys.groupBy("k").agg(F.count("*").alias("members")).where("members > 1")
     members = written(_rooted(keys.join(met, "k"), roots), "met-members")
-    few, crowd = members.where(F.col("members") <= FEW), members.where(F.col("members") > FEW)
+    # Those before the last n * 4 / 5, rounded up, and one more: the front without its last.
+    firsts = members.where(F.col("i") <= F.floor(F.col("n") / 5))
+    few, crowd = firsts.where(F.col("members") <= FEW), firsts.where(F.col("members") > FEW)
     central = F.struct(F.col("reach") / F.col("n"), "key")
     salted = crowd.groupBy("k", F.pmod(F.xxhash64("key"), F.lit(PIVOTS)).alias("salt")).agg(F.max_by(F.struct("key", "n", "reach", "root"), central).alias("p"))
     pivots = salted.select("k", "p.*")
@@ -269,11 +270,11 @@ def components(docs: DataFrame, uniq: DataFrame, text_col: str = "text") -> Data
     split = sizes.groupBy("k").agg(F.max_by("root", F.struct("size", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
     named = named.join(split.select("k", "most"), "k")
     # Members meet on the shingle and a second one behind it, so that a crowd of
-    # documents with nothing else in common makes no pairs.  Seconds that no minor
-    # member has make none either.
+    # documents with nothing else in common makes no pairs.  Shingles of one document
+    # alone are no seconds, and those that no minor member has make no pairs either.
     ahead, minor = F.col("reach") >= 4 * F.col("n"), F.col("root") != F.col("most")
-    behind = F.slice("front", F.col("i") + 2, F.size("front"))
-    named = named.join(uniq.select("key", "front"), "key").withColumn("t", F.explode(behind)).withColumn("k", F.xxhash64("k", "t"))
+    behind = members.select("key", F.col("k").alias("t"), F.col("i").alias("j"))
+    named = named.join(behind, "key").where("j > i").withColumn("k", F.xxhash64("k", "t"))
     named = named.select("k", "key", "n", "reach", "root", "most")
     minors = written(named.where(minor), "minor-members")
     named = written(named.join(small(written(minors.select("k").distinct(), "minor-keys")), "k", "left_semi"), "second-shingles")
