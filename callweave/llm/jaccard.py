@@ -3,26 +3,31 @@
 SimHash comes first: fingerprints within 4 bits meet by ball hashing, and pairs
 that are verified on the whole sets connect most copies.  A similarity of 0.8
 leaves 9 or 10 of 64 bits different, which no ball can reach, so a second search
-finds the rest.  Of two sets with a similarity of 0.8 or more, the first fifth
-(and one) of the shingles of both share one, in any order that is the same for
-all documents.  The order puts common shingles last, so that few documents share
-a first one; it decides the work and not the result.  Shingles are counted over
-all documents, in a table of SLOTS counts that shingles share by their hash: what
-stands out of the mean of its slots is common, at any number of documents.
-
-Documents that share one, and are not connected yet, are candidates if what
-follows it in both sets is long enough.  Parities of hashed shingles rule out
+finds the rest.  It deals the shingles of a set out to P parts by their hash, and
+a token is all of a part: its number and its shingles.  Sets of n and m shingles
+with a similarity of 0.8 or more differ in d = (n + m) / 9 shingles at most, so
+in d of the P tokens, and the first d + 1 tokens of both share one, in any order
+that is the same for all documents.  P is the power of two up to the size of the
+larger set; a set of which the larger one may have the next power has tokens for
+that too.  The order puts tokens of many and of rare shingles first, so that a
+first one holds two or more shingles mostly, and sets share it by chance almost
+never, at any number of documents.  It decides the work and not the result.
+Shingles are counted over all documents, in a table of SLOTS counts that shingles
+share by their hash: what stands out of the mean of its slots is common.
+
+Documents that share one, and are not connected yet, are candidates if their
+sizes and the places of the token allow it.  Parities of hashed shingles rule out
 most of them: each bit that differs is a shingle that one set lacks.  The others
 are verified on the whole sets.
 
-Where more than FEW documents share a shingle, each is first compared with a few
+Where more than FEW documents share a token, each is first compared with a few
 pivots, the members that have least before it.  Members that this leaves in
 another component than most are then compared with members of other components
-that share a second shingle with them among the first fifth and two: sets of a
-similarity of 0.8 do.  So no pair over the bar that could join two components is
-left out, and documents that have one shingle in common and no other don't meet.
-In any pair that counts, one member at least has no more than a ninth of its
-shingles before the first common one: such members are the left side of that join.
+that share a second token with them among the first d + 2: sets of a similarity
+of 0.8 do.  Crowds that overlap are a family, and its pairs are looked at once;
+only where these would be more than WORK, members meet on pairs of tokens.  So no
+pair over the bar that could join two components is left out, and documents that
+have one token in common and no other are not compared.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from collections.abc import Iterator
 from itertools import islice
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .bpe import close_all, small_batches
 from .components import connected_components
@@ -45,7 +50,9 @@ WORDS = 5
 FEW, PIVOTS = 4, 4
 PARITIES = 2048
 SLOTS, PART = 1 << 22, 1 << 16  # counts of shingles by their hash, and how many of them a row holds
+WORK, SALTS = 1 << 22, 16  # pairs of a family that are looked at one by one, and the tasks that share in it
 LOTS = 16  # tasks that add up a part first, so that the last sum of it has as few rows
+MIXER = 0x9E3779B97F4A7C15  # an odd 64-bit mixing constant
 
 
 def shingle_hashes(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -69,9 +76,42 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(shingle_hashes(text, words).view(np.int64))
 
 
-def prefix_length(n: int) -> int:
-    """Of so many shingles of ``n`` at the front, two sets of similarity 0.8 share one."""
-    return n - (4 * n + 4) // 5 + 1 if n else 0
+def weights(counts: np.ndarray) -> np.ndarray:
+    """What a shingle of each slot adds to the rank of its token, from 1 to 255: the rarer, the more."""
+    import numpy as np
+
+    return np.clip(8 * np.log2((counts.max(initial=0) + 1.0) / (counts + 1.0)) + 1, 1, 255).astype(np.uint8)
+
+
+def tokens(s: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first d + 2 tokens of a set, in 2^k parts with k from its own size, and in twice as many
+    if larger sets of that class can be similar (else none).  d is the most that it may differ
+    from a set of a similarity of 0.8 there.  Sets of 3 or less are only similar if equal."""
+    import numpy as np
+
+    n, none = len(s), np.empty(0, np.int64)
+    if n < 4:
+        return none, none
+    mixed = s.view(np.uint64) * np.uint64(MIXER)
+    order = np.argsort(mixed)
+    mixed, w = mixed[order], weight[slots(s)][order].astype(np.int64)
+    h = (mixed ^ mixed >> np.uint64(29)) * np.uint64(MIXER)
+
+    def first(k: int, largest: int) -> np.ndarray:
+        part = (mixed >> np.uint64(64 - k)).astype(np.int64)
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        wanted = (n + largest) // 9 + 2
+        parts, sums, rank = part[starts], np.add.reduceat(h, starts), np.add.reduceat(w, starts)
+        if len(parts) < wanted:  # empty parts are tokens too, the last ones
+            empty = np.setdiff1d(np.arange(1 << k), parts)
+            parts, blank = np.r_[parts, empty], np.zeros(len(empty), np.int64)
+            sums, rank = np.r_[sums, blank.view(np.uint64)], np.r_[rank, blank]
+        token = (sums ^ (parts << 6 | k).astype(np.uint64) * np.uint64(MIXER)) * np.uint64(MIXER)
+        token ^= token >> np.uint64(31)
+        return token[np.lexsort((token, -rank))[:wanted]].view(np.int64)
+
+    k, most = n.bit_length() - 1, 5 * n // 4
+    return first(k, min(most, (2 << k) - 1)), first(k + 1, most) if most >> k + 1 else none
 
 
 def parities(s: np.ndarray) -> np.ndarray:
@@ -154,31 +194,27 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, row_a, row_b, key, n, fp, front, odd) with one row per row of ``docs``: a hash
-    of the set of shingles, its size, the SimHash fingerprint, the shingles at its front (one more
-than ``prefix_length``), and its parities."""
-    counted = docs.sparkSession.sparkContext.broadcast(slot_counts(docs, text_col))
+    """(doc_id, row_a, row_b, key, n, fp, own, above, odd) with one row per row of ``docs``: a hash
+    of the set of shingles, its size, the SimHash fingerprint, its ``tokens`` and its parities."""
+    weighed = docs.sparkSession.sparkContext.broadcast(weights(slot_counts(docs, text_col)))
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         close_all()
-        counts = counted.value
-
-        def front(s: np.ndarray) -> np.ndarray:
-            return s[np.lexsort((s, counts[slots(s)]))[: prefix_length(len(s)) + 1]]
-
+        weight = weighed.value
         for whole in batches:
             for b in small_batches(whole):
                 hashes = [shingle_hashes(t) for t in b.column(1).to_pylist()]
                 fps = np.array([majority(h) for h in hashes], np.uint64).view(np.int64)
                 sets = [np.unique(h.view(np.int64)) for h in hashes]
                 numbers = [pa.array([_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(fps)]
-                lists = [pa.array([f(s) for s in sets], pa.list_(pa.int64())) for f in (front, parities)]
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *numbers, *lists], ["doc_id", "row_a", "row_b", "key", "n", "fp", "front", "odd"])
+                own, above = zip(*[tokens(s, weight) for s in sets])
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in (own, above, [parities(s) for s in sets])]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *numbers, *lists], ["doc_id", "row_a", "row_b", "key", "n", "fp", "own", "above", "odd"])
 
-    kinds = "doc_id long, row_a long, row_b long, key long, n long, fp long, front array<long>, odd array<long>"
+    kinds = "doc_id long, row_a long, row_b long, key long, n long, fp long, own array<long>, above array<long>, odd array<long>"
     return _source(docs, id_col, text_col).mapInArrow(run, kinds)
 
 
@@ -199,6 +235,11 @@ def _sets(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
     return met.mapInArrow(run, "key long, shingles array<long>")
 
 
+def _apart() -> Column:
+    """In how many bits the parities odd_a and odd_b differ."""
+    return F.aggregate(F.zip_with("odd_a", "odd_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, uniq: DataFrame, text_col: str) -> DataFrame:
     """Those of the pairs (a, b) of keys that have a similarity of 0.8 or more."""
 
@@ -207,8 +248,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, uniq: DataFrame, text_col: str)
         left = by.select(F.col("key").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns])
         return pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
 
-    apart = F.aggregate(F.zip_with("odd_a", "odd_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    likely = joined(pairs, uniq, "n", "odd").where(9 * apart <= F.col("n_a") + F.col("n_b")).select("a", "b")
+    likely = joined(pairs, uniq, "n", "odd").where(9 * _apart() <= F.col("n_a") + F.col("n_b")).select("a", "b")
     likely = written(likely, "likely-pairs")
     ends = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     sets = written(_sets(docs, written(uniq.select("key", "row_a", "row_b").join(ends, "key", "left_semi"), "ends"), text_col), "shingles")
@@ -226,22 +266,19 @@ def _close(uniq: DataFrame) -> DataFrame:
     return equal.unionByName(linked.join(first, "fp").join(other, "other").select("a", "b"))
 
 
-def _long_enough(n: str, reach: str, m: str, other: str) -> Column:
-    """Whether sets of n and m, with i and j elements before their first common one, can have a
-    similarity of 0.8: both n - i and m - j must reach 4 (n + m) / 9.  reach is 5 n - 9 i."""
-    return (4 * F.col(m) <= F.col(reach)) & (4 * F.col(n) <= F.col(other))
-
-
 def _pairs(left: DataFrame, right: DataFrame, of: str = "x <> y") -> DataFrame:
-    """Distinct pairs (a, b), a < b, of members of the same shingle that are not connected and may be similar."""
-    right = right.select("k", F.col("key").alias("y"), F.col("n").alias("m"), F.col("reach").alias("other"), F.col("root").alias("s"))
-    met = left.select("k", F.col("key").alias("x"), "n", "reach", "root").join(right, "k").where(of).where("root <> s").where(_long_enough("n", "reach", "m", "other"))
+    """Distinct pairs (a, b), a < b, of members of the same token that are not connected and may be
+    similar: one of them is of the token's own class, the sizes are near enough, and no more
+    tokens than may differ come before the common one."""
+    right = right.select("k", F.col("key").alias("y"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("own").alias("theirs"), F.col("root").alias("s"))
+    met = left.select("k", F.col("key").alias("x"), "n", "i", "own", "root").join(right, "k").where(of).where("root <> s")
+    met = met.where("(own or theirs) and 4 * n <= 5 * m and 4 * m <= 5 * n and 9 * greatest(i, j) <= n + m")
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
     """``members`` with the root of their component, which is their own key if they have no link."""
-    return members.drop("root").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    return members.drop("root").join(small(roots).withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
 
 
 def components(docs: DataFrame, uniq: DataFrame, text_col: str = "text") -> DataFrame:
@@ -249,46 +286,75 @@ def components(docs: DataFrame, uniq: DataFrame, text_col: str = "text") -> Data
     edges = written(_verified(docs, written(_close(uniq), "pairs"), uniq, text_col), "links")
     roots = written(connected_components(edges), "roots")
 
-    keys = uniq.select("key", "n", F.posexplode_outer("front").alias("i", "k")).where("k is not null")
-    keys = keys.select("k", "key", "n", (5 * F.col("n") - 9 * F.col("i")).alias("reach"), "i")
-    met = keys.groupBy("k").agg(F.count("*").alias("members")).where("members > 1")
-    members = written(_rooted(keys.join(met, "k"), roots), "met-members")
-    # Those before the last n * 4 / 5, rounded up, and one more: the front without its last.
-    firsts = members.where(F.col("i") <= F.floor(F.col("n") / 5))
+    # Tokens that members of two components have; i is the place among the tokens of its class.
+    every = _rooted(uniq.select("key", "n", "own", "above"), roots)
+    every = every.select("key", "n", "root", F.size("own").alias("owns"), F.size("above").alias("others"), F.posexplode(F.concat("own", "above")).alias("at", "k"))
+    met = Window.partitionBy("k")  # one shuffle, whether few or many of them meet
+    every = every.withColumns({"least": F.min("root").over(met), "most": F.max("root").over(met)}).where("least <> most")
+    members = every.select("k", "key", "n", "root", F.expr("at < owns as own"), F.expr("if(at < owns, at, at - owns) as i"), F.expr("at + 1 in (owns, owns + others) as last"))
+    members = written(members, "met-members")
+    counted = members.where("not last").groupBy("k").agg(F.count("*").alias("members"))
+    firsts = members.where("not last").join(counted, "k")
     few, crowd = firsts.where(F.col("members") <= FEW), firsts.where(F.col("members") > FEW)
-    central = F.struct(F.col("reach") / F.col("n"), "key")
-    salted = crowd.groupBy("k", F.pmod(F.xxhash64("key"), F.lit(PIVOTS)).alias("salt")).agg(F.max_by(F.struct("key", "n", "reach", "root"), central).alias("p"))
+    central = F.struct(-F.col("i") / F.col("n"), "key")
+    salted = crowd.groupBy("k", F.pmod(F.xxhash64("key"), F.lit(PIVOTS)).alias("salt")).agg(F.max_by(F.struct("key", "n", "i", "own", "root"), central).alias("p"))
     pivots = salted.select("k", "p.*")
     first = written(_pairs(few, few, "x < y").unionByName(_pairs(crowd, pivots)).distinct(), "pairs")
     edges = edges.unionByName(written(_verified(docs, first, uniq, text_col), "links"))
-    roots = connected_components(edges)
+    roots = written(connected_components(edges), "roots")
     if crowd.isEmpty():
         return roots
 
-    named = written(_rooted(crowd, roots), "crowds")
-    sizes = named.groupBy("k", "root").agg(F.count("*").alias("size"))
-    split = sizes.groupBy("k").agg(F.max_by("root", F.struct("size", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
-    named = named.join(split.select("k", "most"), "k")
-    # Members meet on the shingle and a second one behind it, so that a crowd of
-    # documents with nothing else in common makes no pairs.  Shingles of one document
-    # alone are no seconds, and those that no minor member has make no pairs either.
-    ahead, minor = F.col("reach") >= 4 * F.col("n"), F.col("root") != F.col("most")
-    behind = members.select("key", F.col("k").alias("t"), F.col("i").alias("j"))
-    named = named.join(behind, "key").where("j > i").withColumn("k", F.xxhash64("k", "t"))
-    named = named.select("k", "key", "n", "reach", "root", "most")
-    minors = written(named.where(minor), "minor-members")
-    named = written(named.join(small(written(minors.select("k").distinct(), "minor-keys")), "k", "left_semi"), "second-shingles")
-    met = _pairs(minors.where(ahead), named).unionByName(_pairs(named.where(ahead), minors))
-    again = written(_verified(docs, written(met.distinct(), "pairs"), uniq, text_col), "links")
+    again = written(_verified(docs, written(_crowd_pairs(members, crowd, roots, uniq), "pairs"), uniq, text_col), "links")
     return roots if again.isEmpty() else connected_components(edges.unionByName(again))
 
 
+def _crowd_pairs(members: DataFrame, crowd: DataFrame, roots: DataFrame, uniq: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of a crowd that are not connected, may be similar and share two tokens."""
+    named = written(_rooted(crowd, roots), "crowds")
+    split = named.groupBy("k").agg(F.min("key").alias("least"), F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s")
+    named = written(named.join(small(written(split.select("k", "least"), "split-crowds")), "k"), "split-members")
+    # Crowds that overlap are one family, in which every pair meets once, on however many tokens.
+    families = connected_components(named.select(F.col("least").alias("a"), F.col("key").alias("b"))).select(F.col("node").alias("key"), F.col("root").alias("family"))
+    who = small(written(named.select("key").distinct(), "kin-keys"))
+    held = members.join(who, "key", "left_semi").groupBy("key", "n").agg(F.collect_list("k").alias("held"))
+    odd = uniq.select("key", "odd").join(who, "key", "left_semi")
+    kin = written(_rooted(held.join(families, "key").join(odd, "key"), roots), "families")
+    sizes = kin.groupBy("family", "root").agg(F.count("*").alias("size"))
+    sizes = sizes.groupBy("family").agg(F.max_by("root", F.struct("size", "root")).alias("most"), (F.sum("size") * (F.sum("size") - F.max("size"))).alias("work"))
+    kin = written(kin.join(sizes, "family"), "kin").withColumn("minor", F.col("root") != F.col("most"))
+
+    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).alias("salt")
+    right = kin.where(F.col("work") <= WORK).select("family", salt, F.col("key").alias("y"), F.col("n").alias("m"), F.col("root").alias("s"), F.col("held").alias("theirs"), F.col("odd").alias("odd_b"), F.col("minor").alias("other"))
+    left = kin.where(F.col("minor") & (F.col("work") <= WORK)).select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"), F.col("key").alias("x"), "n", "root", "held", F.col("odd").alias("odd_a"))
+    # The first d + 2 tokens of both were kept for the largest d of each, and for a smaller d more than two are common.
+    largest = "shiftleft(1L, length(bin(greatest(n, m)))) - 1"
+    least = f"(least(n, m) + least(5 * least(n, m) div 4, {largest})) div 9 + 2 - (n + m) div 9"
+    met = left.join(right, ["family", "salt"]).where("root <> s and 4 * n <= 5 * m and 4 * m <= 5 * n and (x < y or not other)")
+    met = met.where(9 * _apart() <= F.col("n") + F.col("m")).where(f"size(array_intersect(held, theirs)) >= {least}")
+    met = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+    # In a family too large for that, members meet on a token and a second one behind it.
+    # Tokens of one component alone are no seconds, and those that no minor member has make no pairs either.
+    large = kin.where(F.col("work") > WORK).select("key", "minor")
+    if large.isEmpty():
+        return met
+    behind = members.select("key", "own", F.col("k").alias("t"), F.col("i").alias("j"))
+    twice = named.join(large, "key").join(behind, ["key", "own"]).where("j > i").withColumn("k", F.xxhash64("k", "t"))
+    twice = twice.select("k", "key", "n", "i", "own", "root", "minor")
+    minors = written(twice.where("minor"), "minor-members")
+    twice = written(twice.join(small(written(minors.select("k").distinct(), "minor-keys")), "k", "left_semi"), "second-tokens")
+    return met.unionByName(_pairs(minors, twice))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, row_a, row_b, component), one row per row of ``docs``: the hashes of row_hashes, and
     one number for all rows that links of a similarity of 0.8 or more connect.  Null
     and blank texts are one component; an empty table gives no rows."""
-    every = written(described(docs, id_col, text_col), "sets")
-    uniq = written(every.drop("doc_id").dropDuplicates(["key"]), "distinct-sets")
+    every = written(described(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "sets")
+    copies = every.groupBy("key").agg(F.min("row").alias("least"), F.count("*").alias("rows")).where("rows > 1")
+    copies = small(written(copies.select("key", "least"), "copies"))
+    uniq = every.drop("doc_id").join(copies, "key", "left").where("least is null or row = least").drop("row", "least")
     roots = written(components(docs, uniq, text_col), "roots")
     # Only sets with a link have a root; others are their own.
     roots = small(roots).withColumnRenamed("node", "key")

@@ -403,6 +403,57 @@ def test_documents_with_one_common_shingle_make_no_pairs(spark, monkeypatch):
         assert sum(compared) <= jaccard.PIVOTS * 300
 
 
+def test_similar_sets_share_two_of_their_first_tokens():
+    rng = np.random.default_rng(4)
+    weight = jaccard.weights(rng.integers(0, 50, jaccard.SLOTS))
+    draw = lambda n: rng.integers(-(1 << 63), (1 << 63) - 1, n)
+    for _ in range(2000):
+        x = np.unique(draw(int(rng.integers(4, 300))))
+        lost, new = int(rng.integers(0, len(x) // 5 + 1)), int(rng.integers(0, len(x) // 4 + 1))
+        y = np.unique(np.r_[x[rng.permutation(len(x))[lost:]], draw(new)])
+        if len(y) < 4 or 9 * (len(x) - lost) < 4 * (len(x) + len(y)):
+            continue
+        largest, d = max(len(x), len(y)).bit_length(), (len(x) + len(y)) // 9
+        a, b = (jaccard.tokens(s, weight)[len(s).bit_length() < largest].tolist() for s in (x, y))
+        both = [t for t in a if t in b]
+        assert len(both) > 1 and max(a.index(both[0]), b.index(both[0])) <= d
+
+
+def test_crowds_of_long_documents_make_no_squares(spark, monkeypatch):
+    """Documents with half of their text in common, and an order that does not tell it from the rest."""
+    rows = {}
+    put = jaccard.written
+
+    def counted(table, label):
+        out = put(table, label)
+        rows[label] = max(rows.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    monkeypatch.setattr(jaccard, "slot_counts", lambda *_: np.ones(jaccard.SLOTS, np.int64))
+    half = " ".join(f"c{j}" for j in range(300))
+    texts = [f"{half} " + " ".join(f"w{i}x{j}" for j in range(200)) for i in range(12)]
+    docs = documents(spark, texts).select("doc_id", "text")
+    assert len({r["component"] for r in jaccard.near_duplicates(docs).collect()}) == 12
+    assert "families" in rows and max(rows.values()) <= 250 * len(texts), rows
+    monkeypatch.setattr(jaccard, "WORK", 0)  # the way for large families gives the same
+    assert len({r["component"] for r in jaccard.near_duplicates(docs).collect()}) == 12
+    assert "second-tokens" in rows
+
+
+@pytest.mark.parametrize("work", [0, 1 << 22])
+def test_families_equal_jaccard_brute_force(spark, monkeypatch, work):
+    monkeypatch.setattr(jaccard, "FEW", 2)
+    monkeypatch.setattr(jaccard, "PIVOTS", 1)
+    monkeypatch.setattr(jaccard, "WORK", work)
+    texts = near_texts(random.Random(7), [(60, 4), (40, 6), (25, 8)])
+    groups = {}
+    for r in jaccard.near_duplicates(documents(spark, texts).select("doc_id", "text")).collect():
+        groups.setdefault(r["component"], []).append(r["doc_id"])
+    want = jaccard_components(texts)
+    assert sorted(map(sorted, groups.values())) == sorted([i for i, w in enumerate(want) if w == x] for x in set(want))
+
+
 def test_pipeline_near_duplicate_stage_judges_rows(spark):
     """Different texts with equal or no ids stay; of copies, one does, the same on every run."""
     import corpus_pipeline as cp
