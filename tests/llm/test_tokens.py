@@ -58,6 +58,29 @@ def test_greedy_proposals_are_corrected():
     assert s._merge_long([s.single[b] for b in long.encode()]) == np.frombuffer(bpe.speculative_coder(PATH).pack([long])[0], "<u4").tolist()
 
 
+def test_merging_looks_up_each_new_pair_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return super().get(*a)
+
+    v = bpe.Vocabulary(PATH)
+    s, rnd = bpe.Speculator(v), random.Random(8)
+    v.merges = Counted(v.merges)
+    words = ["".join(rnd.choice("abcdeinorst") for _ in range(40)).encode() for _ in range(200)]
+    merged = [s.merge(w) for w in words]
+    assert Counted.asked <= sum(3 * len(w) for w in words)
+    assert merged == [s._merge_long([s.single[b] for b in w]) for w in words]
+
+
+def test_roomy_coder_equals_the_library(library):
+    coder = bpe.roomy_coder(PATH)
+    assert coder.after_blank.limit == 200_000
+    assert coder.pack(TEXTS) == [packed(library, t) for t in TEXTS]
+
+
 def test_decoder_equals_the_library(library):
     rng = np.random.default_rng(1)
     decoder = bpe.Decoder(PATH)
