@@ -80,11 +80,28 @@ def starts_piece(text: str) -> bool:
 
 def apply_edits(text: str, tree: SegmentTree, edits: list[tuple[int, int, str]], coder: PieceCoder) -> tuple[str, int]:
     """Applies (position, deleted, inserted) edits to ``tree`` and returns the new
-    text and the number of characters that were encoded again.
+    text and the number of characters that were encoded again."""
+    after, again, regions = place_edits(text, tree, edits)
+    put_tokens([(tree, regions)], coder)
+    return after, again
+
+
+def put_tokens(placed: list[tuple[SegmentTree, dict[int, str]]], coder: PieceCoder) -> None:
+    """Encodes the regions of all trees at once and gives their leaves the counts."""
+    packed = iter(coder.pack([r for _, regions in placed for r in regions.values()]))
+    for tree, regions in placed:
+        for leaf, region in regions.items():
+            tree.put(leaf, len(region), len(next(packed)) // 4)
+
+
+def place_edits(text: str, tree: SegmentTree, edits: list[tuple[int, int, str]]) -> tuple[str, int, dict[int, str]]:
+    """Applies edits to the characters of ``tree``: the new text, the number of characters to
+    be encoded again, and the leaves whose tokens are to be counted, with their texts.
 
     Positions refer to the text before any edit; edits must not overlap and are
     clipped to the text.  Work is from the end to the start, so positions stay valid.
     """
+    regions: dict[int, str] = {}
     again, done = 0, []  # done: what follows ``end_of_done`` in the new text, last part first
     end_of_done = len(text)
     for position, deleted, inserted in sorted(edits, reverse=True):
@@ -100,13 +117,15 @@ def apply_edits(text: str, tree: SegmentTree, edits: list[tuple[int, int, str]],
             at -= width
             region = text[at : at + width] + region
         # To the right no context is needed: the next leaf starts a pre-token by itself.
-        tree.put(first, len(region), len(coder.pack([region])[0]) // 4)
+        tree.put(first, len(region), 0)
+        regions[first] = region
         for i in range(first + 1, last + 1):
             tree.put(i, 0, 0)
+            regions.pop(i, None)
         again += len(region)
         done += [text[stop:end_of_done], inserted]
         end_of_done = position
-    return text[:end_of_done] + "".join(reversed(done)), again
+    return text[:end_of_done] + "".join(reversed(done)), again, regions
 
 
 def _from(start: str, done: list[str], length: int) -> str:
@@ -207,15 +226,18 @@ def recount(states: DataFrame, vocabulary: str | None = None, edits_of: Callable
         schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_edits", pa.int64()), ("n_tokens_after", pa.int64()), ("chars_encoded", pa.int64())])
         for whole in batches:
             for b in small_batches(whole):
-                rows = []
+                rows, placed = [], []
                 for doc, text, n, chars, tokens, *given in zip(*(c.to_pylist() for c in b.columns)):
                     edits = edits_of(text or "") if edits_of else [(e["pos"], e["deleted"], e["inserted"]) for e in given[0] or []]
-                    after, again = n, 0
+                    tree, again = None, 0
                     if edits:
                         tree = SegmentTree(chars, tokens)
-                        _, again = apply_edits(text or "", tree, edits, coder)
-                        after = tree.tokens[1]
-                    rows.append((doc, n, len(edits), after, again))
+                        _, again, regions = place_edits(text or "", tree, edits)
+                        placed.append((tree, regions))
+                    rows.append([doc, n, len(edits), tree, again])
+                put_tokens(placed, coder)
+                for row in rows:
+                    row[3] = row[3].tokens[1] if row[3] else row[1]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 

@@ -197,6 +197,21 @@ def test_only_touched_regions_are_encoded(spark, library):
     assert row["n_tokens_after"] == len(packed(library, text.replace("a@b.example", "0"))) // 4
 
 
+def test_regions_of_many_texts_are_encoded_at_once(library):
+    calls, coder = [], pieces.library_coder(PATH)
+    pack = coder.pack
+    coder.pack = lambda texts: calls.append(len(texts)) or pack(texts)
+    placed, want = [], []
+    for t in TEXTS:
+        tree, made = edits.build_tree(t or "", coder), edits.mixed_edits(t or "")
+        after, _, regions = edits.place_edits(t or "", tree, made)
+        placed.append((tree, regions))
+        want.append(len(packed(library, after)) // 4)
+    calls.clear()
+    edits.put_tokens(placed, coder)
+    assert [tree.tokens[1] for tree, _ in placed] == want and len(calls) == 1
+
+
 def test_recounts(spark, library):
     import re
 
