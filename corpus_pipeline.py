@@ -3,6 +3,9 @@
 Documents that are predicted to be of low quality or toxic go, one document of
 each group of near duplicates stays, documents with a benchmark passage go, and
 what is left is encoded.  Labels and the benchmark are read from ``sf_dir``.
+
+Stages with Python workers bound the session's Arrow batches by bytes (4 MB, or
+what the session has set), as workers and JVM share an executor's memory.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callweave.llm import bpe, jaccard, quality, toxicity, winnow
-from callweave.llm.storage import small, written
+from callweave.llm.storage import bound_batches, small, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,6 +23,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     words, equal ones alike, of any length; ids may be null or repeat, other
     columns may have any name; an empty table stays empty.
     """
+    bound_batches(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -28,6 +32,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Rows and cases as in the quality stage.
     """
+    bound_batches(spark)
     return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -43,6 +48,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Operator 2 finds the links: SimHash balls first, and for the pairs that
     fingerprints cannot reach at 0.8, a search on shared first shingles.
     """
+    bound_batches(spark)
     named = written(jaccard.near_duplicates(docs), "components")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_a", "row_b")
     groups = named.groupBy("component").agg(F.min(order).alias("least"), F.count("*").alias("rows")).where("rows > 1")
@@ -69,6 +75,7 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     One row a row of ``docs``: null counts as empty, ids may be null or repeat,
     other columns are left out; an empty table gives no rows.
     """
+    bound_batches(spark)
     return bpe.digests(docs)
 
 

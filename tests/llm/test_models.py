@@ -467,3 +467,27 @@ def test_pipeline_near_duplicate_stage_judges_rows(spark):
         assert sorted(kept, key=str) == sorted(want, key=str)
     kept = cp.near_duplicate_stage(spark, documents(spark).select("doc_id", "text"), "").collect()
     assert sorted(r["text"] for r in kept if r["doc_id"] is None) == sorted(t for i, t in zip(IDS, TEXTS) if i is None)
+
+
+def test_pipeline_bounds_arrow_batches(spark, sf_dir):
+    """Workers get long texts some at a time; a bound that the session has set stays."""
+    import corpus_pipeline as cp
+    from callweave.llm.storage import BATCH_CONF
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [b.nbytes]})
+
+    docs = spark.range(3000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 2000).alias("text"))
+    spark.conf.unset(BATCH_CONF)
+    try:
+        out = cp.encoding_stage(spark, docs, sf_dir)
+        assert max(r[0] for r in docs.mapInArrow(sizes, "bytes long").collect()) < 6_000_000  # of 30 MB
+        assert out.count() == 3000
+        spark.conf.set(BATCH_CONF, "1m")
+        cp.encoding_stage(spark, docs, sf_dir)
+        assert max(r[0] for r in docs.mapInArrow(sizes, "bytes long").collect()) < 2_000_000
+    finally:
+        spark.conf.unset(BATCH_CONF)
