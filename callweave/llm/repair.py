@@ -35,8 +35,7 @@ SHARD_IDS = 1 << 21
 FILE_BYTES, LEAST_FILES = 256 << 20, 24  # text in a file of a large corpus, and the files of a small one
 SHARDS_A_TASK = 32  # that one task reads back
 LEAST_COUNT = 4  # a rule takes 12 bytes of a file and each use of it saves a symbol of 3: a rarer pair does not pay
-SLOT_BITS = 20
-MIXER, STEP = 0x9E3779B97F4A7C15, 0x51ED27  # an odd 64-bit mixing constant, and what each round adds to it
+SCAN_SHARE = 16  # a round that asks about less than this part of the symbols does not look through all of them
 
 
 @dataclass
@@ -92,11 +91,9 @@ def compress(ids: np.ndarray, last: np.ndarray, first: int) -> tuple[Grammar, np
     """Grammar, symbols and their end-of-document marks for token ids below ``first``.
 
     ``last`` marks the ids that close a document.  Rounds end when no pair
-    is left that occurs LEAST_COUNT times.  A round counts pairs in hashed slots.  Each slot
-    counts one of its pairs exactly; others in the slot wait for a round with
-    other slots.  Of the pairs counted, each symbol takes the part (left, right
-    or both) of its most frequent pair, and pairs of fitting parts are replaced:
-    the most frequent pair of all always is.
+    is left that occurs LEAST_COUNT times.  A round sorts the pairs, which counts all of them.
+    Each symbol takes the part (left, right or both) of its most frequent pair, and
+    pairs of fitting parts are replaced: the most frequent pair of all always is.
     """
     import numpy as np
 
@@ -105,9 +102,10 @@ def compress(ids: np.ndarray, last: np.ndarray, first: int) -> tuple[Grammar, np
     alive = ~last  # whether the pair that starts here may still become frequent
     after, before = np.arange(1, len(seq) + 2, dtype=np.int32), np.arange(-1, len(seq), dtype=np.int32)  # neighbours
     gone = np.zeros(len(seq), bool)
-    turn = 0
-    while len(at := np.flatnonzero(alive)):
-        left, right = seq[at], seq[after[at]]
+    at = np.flatnonzero(alive)
+    while len(at):
+        asked = at
+        left, right = seq.take(at), seq.take(after.take(at))
         same = np.flatnonzero(left == right)
         if len(same):  # in a run of one symbol every other pair counts, from its start
             place, number = at[same], np.arange(len(same))
@@ -116,49 +114,63 @@ def compress(ids: np.ndarray, last: np.ndarray, first: int) -> tuple[Grammar, np
             counted = np.ones(len(at), bool)
             counted[same[(number - start) % 2 == 1]] = False
             at, left, right = at[counted], left[counted], right[counted]
-        bits = min(SLOT_BITS, max(8, len(at).bit_length()))
-        slots = _slots(left, right, turn, bits)
-        turn += 1
-        maybe = (np.bincount(slots, minlength=1 << bits) >= LEAST_COUNT)[slots]
-        alive[at[~maybe]] = False
-        at, left, right, slots = at[maybe], left[maybe], right[maybe], slots[maybe]
-        holder = np.empty(1 << bits, np.int32)
-        holder[slots] = np.arange(len(at), dtype=np.int32)
-        held = holder[slots]
-        mine = (left == left[held]) & (right == right[held])
-        counts = np.bincount(slots[mine], minlength=1 << bits)
-        alive[at[mine & (counts < LEAST_COUNT)[slots]]] = False
+        pairs, order, w = _sorted_pairs(left, right, size)
+        starts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+        counts = np.diff(np.r_[starts, len(pairs)])
         often = np.flatnonzero(counts >= LEAST_COUNT)
-        if not len(often):
-            continue
-        often = often[np.argsort(-counts[often], kind="stable")]
-        a, b = left[holder[often]], right[holder[often]]
-        picked = _fitting(a, b, size)
-        new = np.zeros(1 << bits, np.int32)
-        new[often[picked]] = size + np.arange(np.count_nonzero(picked))
-        rules.append(np.c_[a[picked], b[picked]])
-        size += len(rules[-1])
-        lengths = np.concatenate([lengths, lengths[a[picked]] + lengths[b[picked]]])
-
-        into = new[slots]
-        hit = mine & (into > 0)
-        at = at[hit]
-        lost = after[at]
-        seq[at], last[at], after[at] = into[hit], last[lost], after[lost]
-        gone[lost], alive[lost] = True, False
-        before[after[at]] = at
-        earlier = before[at]
-        earlier = earlier[earlier >= 0]
-        alive[at], alive[earlier] = ~last[at], ~last[earlier]
+        new = np.where(counts < LEAST_COUNT, np.int32(-1), np.int32(0))
+        earlier = at[:0]
+        if len(often):
+            ranked = often[np.argsort(-counts[often], kind="stable")]
+            both = pairs[starts[ranked]]
+            a, b = (both >> w).astype(np.int32), (both & (1 << w) - 1).astype(np.int32)
+            picked = _fitting(a, b, size)
+            new[ranked[picked]] = size + np.arange(np.count_nonzero(picked))
+            rules.append(np.c_[a[picked], b[picked]])
+            size += len(rules[-1])
+            lengths = np.concatenate([lengths, lengths[a[picked]] + lengths[b[picked]]])
+
+        into = np.empty(len(at), np.int32)
+        into[order] = np.repeat(new, counts)
+        alive[at.take(np.flatnonzero(into < 0))] = False
+        if len(often):
+            hit = np.flatnonzero(into > 0)
+            at = at.take(hit)
+            lost = after.take(at)
+            seq[at], last[at], after[at] = into.take(hit), last.take(lost), after.take(lost)
+            gone[lost], alive[lost] = True, False
+            before[after.take(at)] = at
+            earlier = before.take(at)
+            earlier = earlier[earlier >= 0]
+            alive[at], alive[earlier] = ~last.take(at), ~last.take(earlier)
+        if len(asked) > len(seq) // SCAN_SHARE:
+            at = np.flatnonzero(alive)
+        else:  # only pairs that were asked about, and those before a new symbol, can be alive
+            at = np.concatenate([asked, earlier])
+            at = at[alive.take(at)]
+            at.sort()
+            at = at[np.r_[True, at[1:] != at[:-1]][: len(at)]]
     return Grammar(first, np.concatenate(rules).astype(np.int64), lengths[first:]), seq[~gone], last[~gone]
 
 
-def _slots(left: np.ndarray, right: np.ndarray, turn: int, bits: int) -> np.ndarray:
-    """A number of ``bits`` bits for each pair, by another hash in every turn."""
+def _sorted_pairs(left: np.ndarray, right: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The pairs of symbols below ``size`` as sorted numbers (left above the bits of right), the place of
+    each, and those bits.  Numbers with the place in their low bits sort faster than a list of places."""
     import numpy as np
 
-    mixed = (left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)) * np.uint64(MIXER + 2 * turn * STEP)
-    return (mixed >> np.uint64(64 - bits)).view(np.int64)
+    w, bits = size.bit_length(), len(left).bit_length()
+    keys = left.astype(np.int64)
+    keys <<= w
+    keys |= right
+    if 2 * w + bits > 63:
+        order = np.argsort(keys, kind="stable")
+        return keys[order], order, w
+    keys <<= bits
+    keys |= np.arange(len(keys))
+    keys.sort()
+    order = keys & (1 << bits) - 1
+    keys >>= bits
+    return keys, order, w
 
 
 def _fitting(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
@@ -170,8 +182,10 @@ def _fitting(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
     best = np.full((3, size), len(a), np.int32)  # first pair that has the symbol as left, right, or both parts
     for part, symbols, which in ((0, a, a != b), (1, b, a != b), (2, a, a == b)):
         best[part, symbols[which][::-1]] = rank[which][::-1]
-    role = best.argmin(0)
-    return np.where(a == b, role[a] == 2, (role[a] == 0) & (role[b] == 1))
+    lefts, rights, both = best
+    is_left, is_right = (lefts <= rights) & (lefts <= both), (rights < lefts) & (rights <= both)
+    is_both = ~is_left & ~is_right
+    return np.where(a == b, is_both[a], is_left[a] & is_right[b])
 
 
 def to_bytes(packed: list[bytes], doc_ids: list[int | None], first: int) -> tuple[bytes, int]:

@@ -161,6 +161,30 @@ def test_grammar_equals_plain_pairing_on_runs_and_phrases(monkeypatch):
         assert len(symbols) <= plain(ids) + 3
 
 
+def test_late_rounds_do_not_look_through_the_shard(monkeypatch):
+    """Long repeated phrases take many rounds, of which only the first ones touch most ids."""
+    rng = np.random.default_rng(6)
+    phrases = [rng.integers(0, 3000, n) for n in rng.integers(50, 400, 30)]
+    ids = np.concatenate([x for k in rng.integers(0, 30, 400) for x in (phrases[k], rng.integers(0, 40_000, 300))])
+    last = np.zeros(len(ids), bool)
+    last[-1] = True
+    real, asked = np.flatnonzero, []
+    monkeypatch.setattr(np, "flatnonzero", lambda a: asked.append(len(a)) or real(a))
+    grammar, symbols, _ = repair.compress(ids, last, 50257)
+    assert grammar.expand(symbols).tolist() == ids.tolist() and len(symbols) < 0.8 * len(ids)
+    assert asked.count(len(ids)) <= 10
+
+
+def test_pairs_of_wide_symbols_sort_alike():
+    rng = np.random.default_rng(7)
+    left, right = rng.integers(0, 9, (2, 500)).astype(np.int32)
+    pairs, order, w = repair._sorted_pairs(left, right, 9)
+    wide, places, more = repair._sorted_pairs(left, right, 1 << 28)
+    assert order.tolist() == places.tolist() == np.lexsort((right, left)).tolist()
+    assert (pairs >> w).tolist() == (wide >> more).tolist() == left[order].tolist()
+    assert (pairs & (1 << w) - 1).tolist() == (wide & (1 << more) - 1).tolist() == right[order].tolist()
+
+
 def test_shards_on_spark(spark, library):
     manifest = repair.write_shards(documents(spark), shard_ids=20_000, file_bytes=100_000)
     got = repair.token_index(manifest).collect()
