@@ -27,8 +27,13 @@ def as_cells(df: DataFrame, layout: list[tuple[str, str]], given: dict[str, Colu
     return df.select(*[F.coalesce(given[n].cast("string"), F.lit("NULL")).alias(n) if n in given else F.lit("NULL").alias(n) for n, _ in layout])
 
 
-def csv_file(df: DataFrame, label: str, sep: str = ",") -> str:
+def csv_file(df: DataFrame, label: str, sep: str = ",", plain: bool = False) -> str:
+    """``plain``: no cell needs quotes, so that the same file can be written as one wide column of joined cells."""
     path = scratch(df.sparkSession, label)
+    if plain:
+        lines = df.select(F.concat_ws(sep, *df.columns).alias(sep.join(df.columns)))
+        lines.write.option("header", True).option("sep", "\1").option("quote", "").csv(path)
+        return path
     df.write.option("header", True).option("sep", sep).option("escape", '"').option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
     return path
 
@@ -69,7 +74,7 @@ def quarantine_bad_rows(u: DataFrame) -> DataFrame:
 def read_request_csv(q: DataFrame) -> DataFrame:
     names = ("request_log_id", "session_id", "session_req_num", "msisdn", "rat_type", "rating_group", "service_type_sub_cd", "roaming_destination_id", "opposite_number", "update_used_volume", "act_update_used_volume")
     given = {n: F.col(n) for n in names} | {"req_time": F.date_format("req_time", "yyyy-MM-dd HH:mm:ss")}
-    good, _ = delimited.read_request_csv(q.sparkSession, csv_file(as_cells(q, schemas.REQUEST_LOG, given), "request-csv"))
+    good, _ = delimited.read_request_csv(q.sparkSession, csv_file(as_cells(q, schemas.REQUEST_LOG, given), "request-csv", plain=True))
     return good.select("request_log_id", "session_id", "rating_group", F.col("act_update_used_volume").cast("double").alias("volume"), "req_time")
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from .records import numbered_cells
+from .records import WHITE, numbered_cells
 from .scratch import scratch
 
 Layout = list[tuple[str, str]]
-WHITE = " \t\n\r\x0b\x0c"
 DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm", "yyyy-MM-dd HH:mm"]
 
 
@@ -34,13 +36,13 @@ def read_cells(spark: SparkSession, path: str, names: list[str], sep: str = ",")
 
 
 def cast_cells(cells: DataFrame, layout: Layout, key: str) -> DataFrame:
-    """``cells`` cast to ``layout``, with ``bad``: the first cell in layout order that
+    """``cells``, as ``numbered_cells`` has them, cast to ``layout``, with ``bad``: the first cell in layout order that
     does not cast, or the key where it is missing; a row with a wrong number of
     cells is bad as a whole.  Three narrow steps keep the generated code small."""
     names = [n for n, _ in layout]
     extra = [c for c in cells.columns if c not in names and c != "_corrupt"]
     corrupt = F.col("_corrupt") if "_corrupt" in cells.columns else F.lit(None).cast("string")
-    clean = cells.select(*[nullify(F.col(n), kind == "timestamp_ntz").alias(n) for n, kind in layout], *extra, corrupt.alias("__corrupt"))
+    clean = cells.select(*[F.when(~F.col(n).isin("N/A", "N/a", "n/A", "n/a"), F.col(n)).alias(n) if kind == "timestamp_ntz" else n for n, kind in layout], *extra, corrupt.alias("__corrupt"))
     cast = clean.select("*", *[F.col(n).try_cast(kind).alias(f"__{n}") for n, kind in layout if kind != "string"])
     failed = [
         F.when((F.col(n).isNotNull() & F.col(f"__{n}").isNull()) if n != key else F.col(f"__{n}").isNull(), F.lit(i))
@@ -62,6 +64,19 @@ def cast_cells(cells: DataFrame, layout: Layout, key: str) -> DataFrame:
     )
 
 
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """Plans that run inside are not generated as methods that the JVM's compiler refuses for their
+    length (8,000 bytes) and interprets; some sixty columns make such methods."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), 8000))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def good_and_bad(cells: DataFrame, layout: Layout, table: str, key: str) -> tuple[DataFrame, DataFrame]:
     """Rows that cast, and (table_name, source_path, row_number, row_identifier,
     column_name, bad_value, error_message) of those that do not.
@@ -72,7 +87,8 @@ def good_and_bad(cells: DataFrame, layout: Layout, table: str, key: str) -> tupl
     """
     rows = cast_cells(cells, layout, key)
     path = scratch(cells.sparkSession, "cast-cells")
-    rows.write.parquet(path)
+    with small_methods(cells.sparkSession):
+        rows.write.parquet(path)
     rows = cells.sparkSession.read.schema(rows.schema).parquet(path)
     bad = rows.where(F.col("bad").isNotNull()).select(F.lit(table).alias("table_name"), "source_path", "row_number", "row_identifier", "bad.*")
     return rows.where(F.col("bad").isNull()).select(*[n for n, _ in layout]), bad

@@ -84,6 +84,47 @@ def test_records_equal_the_csv_module(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_cut_cells_equal_parsed_ones(spark, tmp_path):
+    """Records without quotes are cut at their separators; cells are as if each record were parsed and each cell cleaned."""
+    import random
+
+    from callweave.sources.records import numbered_cells, numbered_records
+
+    rnd, names = random.Random(2), ["a", "b", "c"]
+    pieces = ["x", "é", " ", "\t", "\x0b", "\r", "null", "NULL", "nUlL", " Null ", "N/A", "NULLx", "\0", ",", ",", ",", ",", '"', '""', '" y,"']
+    lines = ["x" + "".join(rnd.choice(pieces[:k]) for _ in range(rnd.randint(1, 9))) for k in [17] * 1500 + [20] * 500]
+    data = "\n".join(["a,b,c", *lines[:1500]]).encode() + b"\n7,\xff8,9\n,,\r\n" + "\n".join(lines[1500:]).encode()
+    (tmp_path / "plain.csv").write_bytes(data)
+    schema = "a string, b string, c string, _corrupt string"
+    options = {"sep": ",", "quote": '"', "escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
+    parsed = numbered_records(spark, str(tmp_path)).where("record > 1").select((F.col("record") - 1).alias("row_number"), F.inline(F.array(F.from_csv("text", schema, options))))
+    want = parsed.select("row_number", *[delimited.nullify(F.col(n)).alias(n) for n in names], "_corrupt")
+    got = numbered_cells(spark, str(tmp_path), names).select("row_number", *names, "_corrupt")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=lambda r: r[0])
+    assert rows(got) == rows(want) and len(rows(got)) > 1502 and got.where("_corrupt is null").count() > 200
+
+
+def test_files_without_multi_line_records_are_scanned_once(spark, tmp_path):
+    """After the pass over the splits, one more scan is enough, and no record is parsed that can be cut."""
+    from callweave.sources.records import numbered_cells
+
+    (tmp_path / "p.csv").write_text("a,b\n1,2\n3,4\n")
+    scans = lambda: numbered_cells(spark, str(tmp_path), ["a", "b"])._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+    assert scans() == 1
+    (tmp_path / "q.csv").write_text('a,b\n1,"2\n3"\n')
+    assert scans() == 2
+    assert numbered_cells(spark, str(tmp_path), ["a", "b"]).where("b is not null").count() == 3
+
+
+def test_wide_lines_are_the_same_file(spark):
+    """Request files are written as lines of joined cells, byte for byte what the writer of cells writes."""
+    from callweave.plans.ingest import csv_file
+
+    df = spark.range(40).repartition(2, "id").selectExpr("id AS a", "'NULL' AS b", "concat('s', id) AS c", "CAST(id AS STRING) AS d").sortWithinPartitions("a")
+    files = [sorted(r["value"] for r in spark.read.text(csv_file(df.selectExpr("CAST(a AS STRING) a", "b", "c", "d"), "wide", plain=p), wholetext=True).collect()) for p in (True, False)]
+    assert files[0] == files[1] and files[0][0].startswith("a,b,c,d\n")
+
+
 def test_request_header_must_match(spark, tmp_path):
     path = tmp_path / "r.csv"
     path.write_text("request_log_id,other\n1,2\n")
