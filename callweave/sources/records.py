@@ -82,7 +82,9 @@ def _cut(lines: pa.Array, n: int, sep: str) -> tuple[pa.Array, pa.Array]:
     cells = pc.if_else(pc.is_in(cells, pa.array(["", *NULLS])), pa.scalar(None, pa.string()), cells)
     sizes = np.where(plain.to_numpy(zero_copy_only=False), n, 0)
     offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-    return pa.ListArray.from_arrays(offsets, cells, mask=pc.invert(plain)), pc.if_else(plain, pa.scalar(None, pa.string()), lines)
+    # By take, as if_else gives wrong offsets for a slice of strings.
+    others = lines.take(pa.array(np.arange(len(lines)), mask=plain.to_numpy(zero_copy_only=False)))
+    return pa.ListArray.from_arrays(offsets, cells, mask=pc.invert(plain)), others
 
 
 def _scanned(lines: DataFrame, cells: int, sep: str) -> DataFrame:

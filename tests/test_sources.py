@@ -104,6 +104,21 @@ def test_cut_cells_equal_parsed_ones(spark, tmp_path):
     assert rows(got) == rows(want) and len(rows(got)) > 1502 and got.where("_corrupt is null").count() > 200
 
 
+def test_cells_of_several_files_in_one_batch(spark, tmp_path):
+    from callweave.sources.records import numbered_cells
+
+    for k in range(40):
+        (tmp_path / f"f{k}.csv").write_text("a,b\n" + "".join(f'{k}, {i}\n' if i % 3 else f'"{k}","{i} "\n' for i in range(k % 5)))
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = numbered_cells(spark, str(tmp_path), ["a", "b"])
+        assert got.rdd.getNumPartitions() < 40
+        assert sorted((r["a"], r["b"], r["row_number"]) for r in got.collect()) == sorted((str(k), str(i), i + 1) for k in range(40) for i in range(k % 5))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
 def test_files_without_multi_line_records_are_scanned_once(spark, tmp_path):
     """After the pass over the splits, one more scan is enough, and no record is parsed that can be cut."""
     from callweave.sources.records import numbered_cells
